@@ -15,7 +15,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,26 +33,31 @@ def _sort_expr(c) -> Column:
 
 
 def _local_numbering(group_cols: Sequence[str]):
+    """Per-partition numbering over Arrow batches; only the key columns are
+    converted, every other column passes through untouched (zero copy)."""
     keys = list(group_cols)
 
     def number(batches):
         carry_key, carry_n = None, 0
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            cur = pdf[keys]
+            cur = pd.DataFrame({k: batch.column(k).to_pandas() for k in keys})
             prev = cur.shift(1)
-            new = (cur.ne(prev) & ~(cur.isna() & prev.isna())).any(axis=1)
+            new = (cur.ne(prev) & ~(cur.isna() & prev.isna())).any(axis=1).to_numpy()
             first = tuple(cur.iloc[0])
             continues = carry_key is not None and all(
                 (a == b) or (pd.isna(a) and pd.isna(b)) for a, b in zip(first, carry_key))
-            new.iloc[0] = True
-            gid = new.cumsum()
-            rn = gid.groupby(gid).cumcount() + 1
+            new[0] = True
+            starts = np.flatnonzero(new)
+            gid = np.cumsum(new) - 1
+            rn = np.arange(n, dtype=np.int64) - starts[gid] + 1
             if continues:
-                rn = rn.where(gid != 1, rn + carry_n)
-            carry_key, carry_n = tuple(cur.iloc[-1]), int(rn.iloc[-1])
-            yield pdf.assign(_lrn=rn.astype("int64"))
+                rn[gid == 0] += carry_n
+            carry_key, carry_n = tuple(cur.iloc[-1]), int(rn[-1])
+            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(rn, pa.int64())],
+                                             names=batch.schema.names + ["_lrn"])
 
     return number
 
@@ -68,7 +75,7 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence,
     sorted_ = df.repartitionByRange(n, *sort_key).sortWithinPartitions(*sort_key) \
         .withColumn("_pid", F.spark_partition_id())
     schema = T.StructType(sorted_.schema.fields + [T.StructField("_lrn", T.LongType(), False)])
-    local = sorted_.mapInPandas(_local_numbering(group_cols), schema)
+    local = sorted_.mapInArrow(_local_numbering(group_cols), schema)
 
     counts = local.groupBy("_pid", *group_cols).agg(F.max("_lrn").alias("_cnt"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -33,11 +33,16 @@ def with_chart_points(charts: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) ->
 def weekly_aggregates(charts: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """``weekly_aggregates``: one row per (item, market, Monday week).
 
-    A hash aggregate with map-side partial aggregation: a hot item or market
-    is combined inside each scan task before anything is shuffled.
+    The rows are shuffled once on (item, market): that clustering satisfies
+    this aggregate AND every later (item, market) window (LAG, first week,
+    best week), so the chain has one exchange instead of two, and the sort
+    that groups the weeks is the sort the windows need.  A partition holds
+    one row per charted day of an item in a market — bounded by the length
+    of the calendar, not by the data volume.
     """
     pts = chart_points("daily_rank", t)
     return (charts
+            .repartition("spotify_id", "country")
             .groupBy("spotify_id", "country", week_of("snapshot_date").alias("chart_week"))
             .agg(F.max("track_name").alias("track_name"),
                  F.max("artists").alias("artists"),

@@ -44,7 +44,8 @@ def chart_rows(spark: SparkSession, sf_dir: str, max_rank: int = MAX_DAILY_RANK)
     orders = _orders_with_market(spark, sf_dir)
     lines = (li.join(orders, li.l_orderkey == orders.o_orderkey)
                .join(part, li.l_partkey == part.p_partkey))
-    cents = lambda c: F.col(c).cast("decimal(18,2)")
+    # money as exact integer cents (long sums keep HashAggregate and are order independent)
+    cents = lambda c: F.round(F.col(c) * 100).cast("long")
     day = (lines.groupBy(F.col("p_brand").alias("spotify_id"), "country",
                          F.col("l_shipdate").cast("date").alias("snapshot_date"))
            .agg(F.sum(cents("l_extendedprice")).alias("_revenue"),
@@ -84,11 +85,11 @@ def chart_rows(spark: SparkSession, sf_dir: str, max_rank: int = MAX_DAILY_RANK)
         (-F.col("_lines")).cast("double").alias("loudness"),
         (F.col("_lines") % 2).cast("int").alias("mode"),
         F.col("_min_qty").alias("speechiness"),
-        (F.col("_tax") * 100).cast("double").alias("acousticness"),
+        F.col("_tax").cast("double").alias("acousticness"),
         F.col("_max_qty").alias("instrumentalness"),
         F.col("_min_size").cast("double").alias("liveness"),
-        (F.col("_disc") * 100).cast("double").alias("valence"),
-        F.floor(F.col("_revenue") / 100).cast("double").alias("tempo"),
+        F.col("_disc").cast("double").alias("valence"),
+        F.floor(F.col("_revenue") / 10000.0).cast("double").alias("tempo"),
         F.lit(4).alias("time_signature"),
     )
 

@@ -48,7 +48,15 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """``sink_raw_table`` / ``sink_mart``: replace the Parquet table at ``path``."""
+    """``sink_raw_table`` / ``sink_mart``: replace the Parquet table at ``path``.
+
+    Partitioned writes first REBALANCE on the partition columns: rows of one
+    partition value meet in few tasks (few files per directory instead of one
+    per task), and AQE splits a hot value across several tasks and merges
+    small ones, so neither a skewed week nor the small-file problem appears.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
