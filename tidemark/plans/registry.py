@@ -295,6 +295,19 @@ def ing_project_order(spark, sf):
     return ingested(spark, sf)
 
 
+@q("stream_ingest_charts", "SELECT * FROM ing_out")
+def stream_ingest_charts(spark, sf):
+    """The chart file ingested by a file stream (one micro-batch per CSV part)."""
+    from tidemark.streaming.ingest_stream import ingest_charts_stream, stream_paths
+    raw_path = _once(spark, sf, "raw_charts_csv", lambda: FS.as_text(binding.chart_rows(spark, sf), RAW_CHART_NAMES))
+    key = (id(spark), os.path.abspath(sf), "stream_ingest")
+    if key not in _written:
+        out, ckpt = stream_paths(FS.io_path(spark, sf, "stream_ingest"))
+        ingest_charts_stream(spark, raw_path, out, ckpt, markets=markets(spark, sf), files_per_trigger=8)
+        _written[key] = out
+    return spark.read.parquet(_written[key])
+
+
 @q("ing_filtered_count", "SELECT COUNT(*) AS filtered_rows FROM ing_out")
 def ing_filtered_count(spark, sf):
     return ingested(spark, sf).agg(F.count(F.lit(1)).alias("filtered_rows"))
