@@ -118,8 +118,8 @@ def market_headline(mkt_f: DataFrame) -> DataFrame:
 
 
 def campaign_headline(camp_f: DataFrame) -> DataFrame:
-    """``dash_campaign_headline``."""
-    return camp_f.agg(F.sum("spend_eur").alias("total_spend"),
+    """``dash_campaign_headline``; spend is summed as exact decimals (order independent)."""
+    return camp_f.agg(F.sum(F.col("spend_eur").cast("decimal(18,4)")).cast("double").alias("total_spend"),
                       F.avg("roas_proxy").alias("avg_roas"),
                       F.avg("cost_per_stream").alias("avg_cps"),
                       F.countDistinct("campaign_id").alias("campaigns"))

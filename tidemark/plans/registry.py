@@ -121,6 +121,36 @@ def ingested(spark, sf) -> DataFrame:
     return I.clean_charts(raw_chart_csv(spark, sf), markets(spark, sf))
 
 
+class MartTables:
+    """The marts as written tables (the reference materialises marts as tables
+    and its dashboard and tests query them).  Built once per session and
+    binding under the shared checkpoint folder: the lifecycle table first,
+    then repertoire and market trends partitioned by ``chart_week`` (so a
+    dashboard date range prunes partitions) and the campaign mart."""
+
+    def __init__(self, spark, sf):
+        m = _m(spark, sf)
+        life = m.materialize_life(FS.io_path(spark, sf, "life"))
+        self.life_full = life
+        self.life = L.public(life)
+        rep = FS.write_table(M.repertoire(life), FS.io_path(spark, sf, "rep"), ["chart_week"])
+        mkt = FS.write_table(M.market_trends(life), FS.io_path(spark, sf, "mkt"), ["chart_week"])
+        camp = FS.write_table(C.campaign_performance(m.campaigns, life), FS.io_path(spark, sf, "camp"))
+        self.rep = spark.read.parquet(rep).select(*M.REP_COLUMNS)
+        self.mkt = spark.read.parquet(mkt).select(*M.MKT_COLUMNS)
+        self.camp = spark.read.parquet(camp).select(*C.CAMP_COLUMNS)
+
+
+_marts: dict[tuple, MartTables] = {}
+
+
+def marts(spark, sf) -> MartTables:
+    key = (id(spark), os.path.abspath(sf))
+    if key not in _marts:
+        _marts[key] = MartTables(spark, sf)
+    return _marts[key]
+
+
 O.CTES["raw_csv"] = f"\n  SELECT {_SQL_RAW_CSV} FROM charts"
 O.CTES["raw_table"] = f"\n  SELECT {_SQL_RAW_TABLE} FROM charts"
 O.CTES["raw_camp"] = f"\n  SELECT {_SQL_RAW_CAMP} FROM campaigns"
@@ -563,73 +593,71 @@ _RANGE_SQL = "chart_week BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"
 
 @q("dash_filter_rep", f"SELECT * FROM rep WHERE {_RANGE_SQL}")
 def dash_filter_rep(spark, sf):
-    return D.filter_rep(_m(spark, sf).rep, RANGE_FILTER)
+    return D.filter_rep(marts(spark, sf).rep, RANGE_FILTER)
 
 
 @q("dash_filter_mkt", f"SELECT * FROM mkt WHERE {_RANGE_SQL}")
 def dash_filter_mkt(spark, sf):
-    return D.filter_mkt(_m(spark, sf).mkt, RANGE_FILTER)
+    return D.filter_mkt(marts(spark, sf).mkt, RANGE_FILTER)
 
 
 @q("dash_filter_camp", "SELECT * FROM camp")
 def dash_filter_camp(spark, sf):
-    return D.filter_camp(_m(spark, sf).camp, ALL)
+    return D.filter_camp(marts(spark, sf).camp, ALL)
 
 
 @q("dash_date_bounds", "SELECT MIN(chart_week) AS min_date, MAX(chart_week) AS max_date FROM life")
 def dash_date_bounds(spark, sf):
-    return D.date_bounds(_m(spark, sf).life)
+    return D.date_bounds(marts(spark, sf).rep)
 
 
 @q("dash_countries", "SELECT DISTINCT country FROM life WHERE country IS NOT NULL")
 def dash_countries(spark, sf):
-    return D.countries(_m(spark, sf).life)
+    return D.countries(marts(spark, sf).rep)
 
 
 @q("dash_rep_headline", "SELECT COUNT(DISTINCT spotify_id) AS total_tracks, AVG(wow_growth_rate) AS avg_wow_growth, "
    "CAST(COUNT_IF(catalog_revival_flag) AS BIGINT) AS catalog_revivals, "
    "CAST(COUNT_IF(market_spike_flag) AS BIGINT) AS market_spikes FROM life")
 def dash_rep_headline(spark, sf):
-    return D.rep_headline(D.filter_rep(_m(spark, sf).life, ALL))
+    return D.rep_headline(D.filter_rep(marts(spark, sf).rep, ALL))
 
 
 @q("dash_lifecycle_counts", "SELECT lifecycle_stage, COUNT(*) AS row_count FROM life "
    "WHERE lifecycle_stage IS NOT NULL GROUP BY lifecycle_stage")
 def dash_lifecycle_counts(spark, sf):
-    return D.lifecycle_counts(D.filter_rep(_m(spark, sf).life, ALL))
+    return D.lifecycle_counts(D.filter_rep(marts(spark, sf).rep, ALL))
 
 
 @q("dash_top_tracks", "SELECT track_name, artists, CAST(SUM(weekly_chart_points) AS BIGINT) AS weekly_chart_points "
    "FROM life WHERE track_name IS NOT NULL AND artists IS NOT NULL GROUP BY track_name, artists "
    "ORDER BY weekly_chart_points DESC, track_name, artists LIMIT 10")
 def dash_top_tracks(spark, sf):
-    return D.top_tracks(D.filter_rep(_m(spark, sf).life, ALL))
+    return D.top_tracks(D.filter_rep(marts(spark, sf).rep, ALL))
 
 
 @q("dash_top_signals", "SELECT track_name, artists, country, chart_week, weekly_chart_points, wow_growth_rate, "
    "lifecycle_stage, repertoire_signal, cross_market_count FROM rep "
    "ORDER BY weekly_chart_points DESC, spotify_id, country, chart_week LIMIT 50")
 def dash_top_signals(spark, sf):
-    from tidemark.functions.columns import repertoire_signal
-    life = _m(spark, sf).life.withColumn("repertoire_signal", repertoire_signal())
-    return D.top_signals(D.filter_rep(life, ALL))
+    return D.top_signals(D.filter_rep(marts(spark, sf).rep, ALL))
 
 
 @q("dash_market_series", "SELECT country, chart_week, total_chart_points FROM mkt")
 def dash_market_series(spark, sf):
-    return D.market_series(D.filter_mkt(_m(spark, sf).mkt, ALL))
+    return D.market_series(D.filter_mkt(marts(spark, sf).mkt, ALL))
 
 
 @q("dash_latest_week", "SELECT country, chart_week, total_chart_points FROM mkt "
    "WHERE chart_week = (SELECT MAX(chart_week) FROM mkt)")
 def dash_latest_week(spark, sf):
-    return D.latest_week(D.filter_mkt(_m(spark, sf).mkt, ALL))
+    return D.latest_week(D.filter_mkt(marts(spark, sf).mkt, ALL))
 
 
 @q("dash_market_table", "SELECT country, chart_week, tracks_tracked, total_chart_points, growing_tracks, "
    "declining_tracks, market_spike_count, top_track_name, top_artists FROM mkt")
 def dash_market_table(spark, sf):
-    return D.market_table(D.filter_mkt(_m(spark, sf).mkt, ALL))
+    return D.market_table(D.filter_mkt(marts(spark, sf).mkt, ALL))
 
 
 @q("dash_market_headline", "SELECT CAST(SUM(market_spike_count) AS BIGINT) AS total_market_spikes, "
@@ -637,32 +665,32 @@ def dash_market_table(spark, sf):
    "CAST(SUM(cross_market_champions) AS BIGINT) AS cross_market_champions, "
    "AVG(avg_wow_growth_rate) AS avg_market_growth FROM mkt")
 def dash_market_headline(spark, sf):
-    return D.market_headline(D.filter_mkt(_m(spark, sf).mkt, ALL))
+    return D.market_headline(D.filter_mkt(marts(spark, sf).mkt, ALL))
 
 
 @q("dash_campaign_headline", "SELECT CAST(SUM(CAST(spend_eur AS DECIMAL(18,4))) AS DOUBLE) AS total_spend, "
    "AVG(roas_proxy) AS avg_roas, AVG(cost_per_stream) AS avg_cps, COUNT(DISTINCT campaign_id) AS campaigns FROM camp")
 def dash_campaign_headline(spark, sf):
-    return D.campaign_headline(D.filter_camp(_m(spark, sf).camp, ALL))
+    return D.campaign_headline(D.filter_camp(marts(spark, sf).camp, ALL))
 
 
 @q("dash_channel_roas", "SELECT channel, AVG(roas_proxy) AS roas_proxy FROM camp "
    "WHERE channel IS NOT NULL GROUP BY channel")
 def dash_channel_roas(spark, sf):
-    return D.channel_roas(D.filter_camp(_m(spark, sf).camp, ALL))
+    return D.channel_roas(D.filter_camp(marts(spark, sf).camp, ALL))
 
 
 @q("dash_campaign_table", "SELECT campaign_id, track_name, artists, country, channel, spend_eur, attributed_streams, "
    "cost_per_stream, roas_proxy, lift_vs_control, campaign_efficiency_alert, campaign_performance_signal FROM camp")
 def dash_campaign_table(spark, sf):
-    return D.campaign_table(D.filter_camp(_m(spark, sf).camp, ALL))
+    return D.campaign_table(D.filter_camp(marts(spark, sf).camp, ALL))
 
 
 @q("dash_spend_streams", "SELECT campaign_id, spend_eur, attributed_streams, channel, "
    "GREATEST(ABS(COALESCE(lift_vs_control, 0.0)), CAST(0.01 AS DOUBLE)) AS lift_size, track_name, artists, country, "
    "lift_vs_control, campaign_performance_signal FROM camp")
 def dash_spend_streams(spark, sf):
-    return D.spend_streams(D.filter_camp(_m(spark, sf).camp, ALL))
+    return D.spend_streams(D.filter_camp(marts(spark, sf).camp, ALL))
 
 
 # ----------------------------------------------------------------------------
@@ -797,9 +825,11 @@ NOT_NULL = {
 }
 
 
-def _frames(m: Models) -> dict[str, DataFrame]:
+def _frames(spark, sf) -> dict[str, DataFrame]:
+    """Tables the checks run on: views are computed, marts are the built tables."""
+    m, t = _m(spark, sf), marts(spark, sf)
     return {"charts": m.charts, "campaigns": m.campaigns, "weekly": m.weekly, "growth": m.growth,
-            "life": m.life, "mkt": m.mkt, "camp": m.camp}
+            "life": t.life, "rep": t.rep, "mkt": t.mkt, "camp": t.camp}
 
 
 @q("dq_not_null", " UNION ALL ".join(
@@ -807,7 +837,7 @@ def _frames(m: Models) -> dict[str, DataFrame]:
     f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS failing_rows FROM {t}"
     for t, cols in NOT_NULL.items() for c in cols))
 def dq_not_null(spark, sf):
-    fr = _frames(_m(spark, sf))
+    fr = _frames(spark, sf)
     return Q.union_all([Q.not_null(fr[t], t, cols) for t, cols in NOT_NULL.items()])
 
 
@@ -818,7 +848,7 @@ _UNIQUE = (("campaigns", "campaign_id"), ("camp", "campaign_id"))
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS check_name, COUNT(*) AS failing_rows "
     f"FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d" for t, c in _UNIQUE))
 def dq_unique(spark, sf):
-    fr = _frames(_m(spark, sf))
+    fr = _frames(spark, sf)
     return Q.union_all([Q.unique(fr[t], t, c) for t, c in _UNIQUE])
 
 
@@ -828,10 +858,9 @@ def dq_unique(spark, sf):
     f"('Debut', 'Growing', 'Peak', 'Declining', 'Revived', 'Stable')) AS BIGINT) AS failing_rows FROM {t}"
     for t in ("life", "rep")))
 def dq_accepted_values(spark, sf):
-    m = _m(spark, sf)
-    rep_stage = m.life.select("lifecycle_stage")  # rep carries life's stage column unchanged
-    return Q.union_all([Q.accepted_values(m.life, "life", "lifecycle_stage"),
-                        Q.accepted_values(rep_stage, "rep", "lifecycle_stage")])
+    fr = _frames(spark, sf)
+    return Q.union_all([Q.accepted_values(fr["life"], "life", "lifecycle_stage"),
+                        Q.accepted_values(fr["rep"], "rep", "lifecycle_stage")])
 
 
 _GRAIN = (("weekly", ("spotify_id", "country", "chart_week")), ("life", ("spotify_id", "country", "chart_week")),
@@ -842,7 +871,7 @@ _GRAIN = (("weekly", ("spotify_id", "country", "chart_week")), ("life", ("spotif
     f"SELECT '{t}' AS table_name, '{','.join(k)}' AS column_name, 'grain' AS check_name, COUNT(*) AS failing_rows "
     f"FROM (SELECT {', '.join(k)} FROM {t} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1) d" for t, k in _GRAIN))
 def dq_grain(spark, sf):
-    fr = _frames(_m(spark, sf))
+    fr = _frames(spark, sf)
     return Q.union_all([Q.grain(fr[t], t, list(k)) for t, k in _GRAIN])
 
 
