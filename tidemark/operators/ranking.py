@@ -9,6 +9,9 @@ and a piece of a group that began in an earlier partition adds the number of
 rows that group had there.  Only the first group of a partition can
 continue from an earlier one, so the offset table has at most one row per
 partition — a proven bound, safe to broadcast.
+
+The numbered rows are checkpointed once (``cut_lineage``), so the function
+runs a job when called.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import cut_lineage
+
 
 def _sort_expr(c) -> Column:
     if isinstance(c, Column):
@@ -75,9 +80,13 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence,
     sorted_ = df.repartitionByRange(n, *sort_key).sortWithinPartitions(*sort_key) \
         .withColumn("_pid", F.spark_partition_id())
     schema = T.StructType(sorted_.schema.fields + [T.StructField("_lrn", T.LongType(), False)])
-    local = sorted_.mapInArrow(_local_numbering(group_cols), schema)
-
-    counts = local.groupBy("_pid", *group_cols).agg(F.max("_lrn").alias("_cnt"))
+    # The range bounds come from sampling the input, whose row order after a
+    # shuffle is not deterministic: a second evaluation could cut the groups
+    # differently.  So the numbered rows are written once (reliable
+    # checkpoint in the shared checkpoint folder) and both the offsets and the
+    # result read that one copy.
+    local = cut_lineage(sorted_.mapInArrow(_local_numbering(group_cols), schema))
+    counts = local.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("_off", F.sum("_cnt").over(before))
                      .where(F.col("_off") > 0)

@@ -125,8 +125,8 @@ class MartTables:
     """The marts as written tables (the reference materialises marts as tables
     and its dashboard and tests query them).  Built once per session and
     binding under the shared checkpoint folder: the lifecycle table first,
-    then repertoire and market trends partitioned by ``chart_week`` (so a
-    dashboard date range prunes partitions) and the campaign mart."""
+    then the repertoire mart partitioned by ``chart_week`` (a dashboard date
+    range prunes partitions), market trends and the campaign mart."""
 
     def __init__(self, spark, sf):
         m = _m(spark, sf)
@@ -134,7 +134,9 @@ class MartTables:
         self.life_full = life
         self.life = L.public(life)
         rep = FS.write_table(M.repertoire(life), FS.io_path(spark, sf, "rep"), ["chart_week"])
-        mkt = FS.write_table(M.market_trends(life), FS.io_path(spark, sf, "mkt"), ["chart_week"])
+        # market trends has at most markets x weeks rows at any data size: one
+        # unpartitioned table (a week partitioning would only make tiny files)
+        mkt = FS.write_table(M.market_trends(life), FS.io_path(spark, sf, "mkt"))
         camp = FS.write_table(C.campaign_performance(m.campaigns, life), FS.io_path(spark, sf, "camp"))
         self.rep = spark.read.parquet(rep).select(*M.REP_COLUMNS)
         self.mkt = spark.read.parquet(mkt).select(*M.MKT_COLUMNS)
@@ -261,11 +263,12 @@ def sink_raw_table(spark, sf):
     return spark.read.parquet(path)
 
 
-@q("sink_mart", "SELECT * FROM mkt")
+@q("sink_mart", "SELECT * FROM rep")
 def sink_mart(spark, sf):
-    path = _once(spark, sf, "mart_market_trends", lambda: _m(spark, sf).mkt,
+    """The repertoire mart written as a table partitioned by ``chart_week``, read back."""
+    path = _once(spark, sf, "mart_repertoire", lambda: _m(spark, sf).rep,
                  lambda df, p: FS.write_table(df, p, ["chart_week"]))
-    return spark.read.parquet(path).select(*M.MKT_COLUMNS)
+    return spark.read.parquet(path).select(*M.REP_COLUMNS)
 
 
 # ----------------------------------------------------------------------------
