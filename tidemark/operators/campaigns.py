@@ -118,21 +118,26 @@ def channel_benchmarks(metrics: DataFrame) -> DataFrame:
         .agg(F.avg("cost_per_stream").alias("channel_avg_cost_per_stream"))
 
 
-def join_channel_benchmark(metrics: DataFrame) -> DataFrame:
+def join_channel_benchmark(metrics: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """``join_channel_benchmark``: LEFT JOIN the benchmark by channel.
 
-    The benchmark has one row per channel; the planner broadcasts it when its
-    measured size is under the broadcast threshold (AQE re-checks with the
-    real size) and uses a shuffle join otherwise.
+    ``rows`` (default ``metrics``) is what the benchmark averages over.  Cost
+    per stream depends on the campaign row alone and the market / control
+    joins are 1:1 per campaign row at the unique weekly grain, so the mart
+    passes the plain campaign rows: the benchmark then never re-runs the
+    market join.  The benchmark has one row per channel; the planner
+    broadcasts it when its measured size is small and shuffles otherwise.
     """
-    b = channel_benchmarks(metrics).withColumnRenamed("channel", "_b_channel")
-    return metrics.join(b, metrics.channel.eqNullSafe(b._b_channel) & metrics.channel.isNotNull(), "left") \
-        .drop("_b_channel")
+    src = rows if rows is not None else metrics
+    if "cost_per_stream" not in src.columns:
+        src = src.withColumn("cost_per_stream", cost_per_stream())
+    b = channel_benchmarks(src).withColumnRenamed("channel", "_b_channel")
+    return metrics.join(b, metrics.channel == b._b_channel, "left").drop("_b_channel")
 
 
 def campaign_performance(campaigns: DataFrame, life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """``mart_campaign_performance``: 29 columns, one row per campaign row."""
-    scored = join_channel_benchmark(campaign_metrics(campaigns, life, t))
+    scored = join_channel_benchmark(campaign_metrics(campaigns, life, t), campaign_base(campaigns))
     return (scored.withColumn("campaign_efficiency_alert", campaign_efficiency_alert(t=t))
                   .withColumn("campaign_performance_signal", campaign_performance_signal(t=t))
                   .select(*CAMP_COLUMNS))
