@@ -129,7 +129,13 @@ class MartTables:
     range prunes partitions), market trends and the campaign mart."""
 
     def __init__(self, spark, sf):
-        m = _m(spark, sf)
+        # raw tables first (the loaded chart and campaign tables), then the models over them
+        charts = FS.write_table(binding.chart_rows(spark, sf), FS.io_path(spark, sf, "raw_charts"))
+        campaigns = FS.write_table(binding.campaign_rows(spark, sf), FS.io_path(spark, sf, "raw_campaigns"))
+        self.charts = spark.read.parquet(charts)
+        self.campaigns = spark.read.parquet(campaigns)
+        m = Models(spark, sf, charts=self.charts, campaigns=self.campaigns)
+        self.models = m
         life = m.materialize_life(FS.io_path(spark, sf, "life"))
         self.life_full = life
         self.life = L.public(life)
@@ -702,31 +708,31 @@ def dash_spend_streams(spark, sf):
 @q("val_row_counts", "SELECT (SELECT COUNT(*) FROM charts) AS spotify_rows, "
    "(SELECT COUNT(*) FROM campaigns) AS campaign_rows")
 def val_row_counts(spark, sf):
-    m = _m(spark, sf)
+    m = marts(spark, sf)
     return Q.row_counts(m.charts, m.campaigns)
 
 
 @q("val_generation_mix", "SELECT generation_type, COUNT(*) AS row_count FROM campaigns GROUP BY generation_type")
 def val_generation_mix(spark, sf):
-    return Q.generation_mix(_m(spark, sf).campaigns)
+    return Q.generation_mix(marts(spark, sf).campaigns)
 
 
 @q("val_join_integrity", "SELECT COUNT(*) AS matching_campaign_rows FROM campaigns c JOIN charts s "
    "ON c.spotify_id = s.spotify_id AND c.country = s.country AND c.snapshot_date = s.snapshot_date")
 def val_join_integrity(spark, sf):
-    m = _m(spark, sf)
+    m = marts(spark, sf)
     return Q.join_integrity(m.campaigns, m.charts)
 
 
 @q("val_preview", "SELECT * FROM charts ORDER BY spotify_id, country, snapshot_date LIMIT 10")
 def val_preview(spark, sf):
-    return Q.preview(_m(spark, sf).charts, ["spotify_id", "country", "snapshot_date"])
+    return Q.preview(marts(spark, sf).charts, ["spotify_id", "country", "snapshot_date"])
 
 
 @q("campaign_orphans", "SELECT c.* FROM campaigns c WHERE NOT EXISTS (SELECT 1 FROM charts s "
    "WHERE s.spotify_id = c.spotify_id AND s.country = c.country AND s.snapshot_date = c.snapshot_date)")
 def campaign_orphans(spark, sf):
-    m = _m(spark, sf)
+    m = marts(spark, sf)
     return Q.campaign_orphans(m.campaigns, m.charts)
 
 
@@ -829,9 +835,9 @@ NOT_NULL = {
 
 
 def _frames(spark, sf) -> dict[str, DataFrame]:
-    """Tables the checks run on: views are computed, marts are the built tables."""
-    m, t = _m(spark, sf), marts(spark, sf)
-    return {"charts": m.charts, "campaigns": m.campaigns, "weekly": m.weekly, "growth": m.growth,
+    """Tables the checks run on: the built raw tables and marts; views computed over them."""
+    t = marts(spark, sf)
+    return {"charts": t.charts, "campaigns": t.campaigns, "weekly": t.models.weekly, "growth": t.models.growth,
             "life": t.life, "rep": t.rep, "mkt": t.mkt, "camp": t.camp}
 
 
