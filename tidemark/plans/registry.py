@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import threading
 from dataclasses import dataclass
 from typing import Callable
 
@@ -87,13 +88,15 @@ _SQL_RAW_TABLE = ", ".join(f"CAST({src} AS VARCHAR) AS {dst.upper()}" for src, d
 _SQL_RAW_CAMP = ", ".join(f"CAST({src} AS VARCHAR) AS {dst}" for src, dst in RAW_CAMPAIGN_NAMES.items())
 
 _written: dict[tuple, str] = {}
+_build_lock = threading.RLock()  # queries may be called from several threads
 
 
 def _once(spark, sf, name, make: Callable[[], DataFrame], writer=FS.write_csv) -> str:
     key = (id(spark), os.path.abspath(sf), name)
-    if key not in _written:
-        _written[key] = writer(make(), FS.io_path(spark, sf, name))
-    return _written[key]
+    with _build_lock:
+        if key not in _written:
+            _written[key] = writer(make(), FS.io_path(spark, sf, name))
+        return _written[key]
 
 
 def raw_chart_csv(spark, sf) -> DataFrame:
@@ -154,9 +157,10 @@ _marts: dict[tuple, MartTables] = {}
 
 def marts(spark, sf) -> MartTables:
     key = (id(spark), os.path.abspath(sf))
-    if key not in _marts:
-        _marts[key] = MartTables(spark, sf)
-    return _marts[key]
+    with _build_lock:
+        if key not in _marts:
+            _marts[key] = MartTables(spark, sf)
+        return _marts[key]
 
 
 O.CTES["raw_csv"] = f"\n  SELECT {_SQL_RAW_CSV} FROM charts"
@@ -340,11 +344,12 @@ def stream_ingest_charts(spark, sf):
     from tidemark.streaming.ingest_stream import ingest_charts_stream, stream_paths
     raw_path = _once(spark, sf, "raw_charts_csv", lambda: FS.as_text(binding.chart_rows(spark, sf), RAW_CHART_NAMES))
     key = (id(spark), os.path.abspath(sf), "stream_ingest")
-    if key not in _written:
-        out, ckpt = stream_paths(FS.io_path(spark, sf, "stream_ingest"))
-        ingest_charts_stream(spark, raw_path, out, ckpt, markets=markets(spark, sf), files_per_trigger=8)
-        _written[key] = out
-    return spark.read.parquet(_written[key])
+    with _build_lock:
+        if key not in _written:
+            out, ckpt = stream_paths(FS.io_path(spark, sf, "stream_ingest"))
+            ingest_charts_stream(spark, raw_path, out, ckpt, markets=markets(spark, sf), files_per_trigger=8)
+            _written[key] = out
+        return spark.read.parquet(_written[key])
 
 
 @q("ing_filtered_count", "SELECT COUNT(*) AS filtered_rows FROM ing_out")
