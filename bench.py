@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidemark.plans import registry  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
-# built from the driver tables each time
+# built over the loaded raw tables each time (weekly rollup, windows, joins)
 MODELS = ["weekly_aggregates", "model_weekly_growth", "model_lifecycle", "mart_repertoire",
           "mart_market_trends", "mart_campaign_performance", "join_control", "control_market_growth"]
 # dashboard and quality queries read the built mart tables (as the dashboard and tests do)
@@ -43,8 +43,11 @@ def main() -> None:
                                  "spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
     qs = registry.queries()
     # warm-up (untimed): JVM JIT, codegen, parquet footers, Python workers
-    run(qs["model_lifecycle"](spark, sf_dir))
+    run(qs["src_table_ref"](spark, sf_dir))
     times = {}
+    t0 = time.time()
+    registry.raw_tables(spark, sf_dir)   # ingestion: load the raw chart and campaign tables
+    times["load_raw"] = round(time.time() - t0, 3)
     for k in MODELS:  # noqa: B007
         t0 = time.time()
         run(qs[k](spark, sf_dir))

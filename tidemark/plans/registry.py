@@ -69,7 +69,10 @@ def q(name: str, sql: str | None = None):
 
 
 def _m(spark, sf) -> Models:
-    return Models(spark, sf)
+    """The models over the loaded raw tables (as the reference's models are
+    views over its raw warehouse tables)."""
+    r = raw_tables(spark, sf)
+    return Models(spark, sf, charts=r.charts, campaigns=r.campaigns)
 
 
 # ----------------------------------------------------------------------------
@@ -124,6 +127,28 @@ def ingested(spark, sf) -> DataFrame:
     return I.clean_charts(raw_chart_csv(spark, sf), markets(spark, sf))
 
 
+class RawTables:
+    """The raw chart and campaign tables, loaded once per session and binding
+    (the ingestion step): Parquet under the shared checkpoint folder."""
+
+    def __init__(self, spark, sf):
+        charts = FS.write_table(binding.chart_rows(spark, sf), FS.io_path(spark, sf, "raw_charts"))
+        campaigns = FS.write_table(binding.campaign_rows(spark, sf), FS.io_path(spark, sf, "raw_campaigns"))
+        self.charts = spark.read.parquet(charts)
+        self.campaigns = spark.read.parquet(campaigns)
+
+
+_raw: dict[tuple, RawTables] = {}
+
+
+def raw_tables(spark, sf) -> RawTables:
+    key = (id(spark), os.path.abspath(sf))
+    with _build_lock:
+        if key not in _raw:
+            _raw[key] = RawTables(spark, sf)
+        return _raw[key]
+
+
 class MartTables:
     """The marts as written tables (the reference materialises marts as tables
     and its dashboard and tests query them).  Built once per session and
@@ -132,11 +157,9 @@ class MartTables:
     range prunes partitions), market trends and the campaign mart."""
 
     def __init__(self, spark, sf):
-        # raw tables first (the loaded chart and campaign tables), then the models over them
-        charts = FS.write_table(binding.chart_rows(spark, sf), FS.io_path(spark, sf, "raw_charts"))
-        campaigns = FS.write_table(binding.campaign_rows(spark, sf), FS.io_path(spark, sf, "raw_campaigns"))
-        self.charts = spark.read.parquet(charts)
-        self.campaigns = spark.read.parquet(campaigns)
+        # the models over the loaded raw tables
+        r = raw_tables(spark, sf)
+        self.charts, self.campaigns = r.charts, r.campaigns
         m = Models(spark, sf, charts=self.charts, campaigns=self.campaigns)
         self.models = m
         life = m.materialize_life(FS.io_path(spark, sf, "life"))
