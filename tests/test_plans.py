@@ -40,3 +40,16 @@ def test_scan_prunes_columns(spark):
     plan = _plan(m.weekly)
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in plan
     assert "l_comment" not in plan and "l_returnflag" not in plan
+
+
+def test_no_cross_joins_in_registered_queries(spark):
+    from tidemark.plans import registry
+    qs = registry.queries()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for k in sorted(qs):
+            plan = _plan(qs[k](spark, SF001))
+            assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, k
+            assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, k   # no row UDFs
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
