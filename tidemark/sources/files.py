@@ -25,15 +25,20 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str],
-             pandas_null_tokens: bool = False) -> DataFrame:
+             pandas_null_tokens: bool = False, multiline: bool = True) -> DataFrame:
     """``src_chart_csv`` / ``src_campaign_csv``: header CSV, every column as text.
 
-    Quoted fields may hold commas and line breaks.  Empty fields are null;
-    with ``pandas_null_tokens`` the pandas reader's list (NA, None, ...) is
-    null too.
+    Quoted fields may hold commas and (with ``multiline``) line breaks.
+    Empty fields are null; with ``pandas_null_tokens`` the pandas reader's
+    list (NA, None, ...) is null too.
+
+    ``multiline=True`` reads each file whole (one task per file: a folder of
+    many files still reads in parallel).  For one very large file without
+    quoted line breaks, ``multiline=False`` lets Spark split it by
+    ``spark.sql.files.maxPartitionBytes``.
     """
     df = (spark.read.schema(string_schema(columns))
-          .option("header", True).option("escape", '"').option("multiLine", True)
+          .option("header", True).option("escape", '"').option("multiLine", multiline)
           .option("enforceSchema", False)
           .csv(path))
     if pandas_null_tokens:
