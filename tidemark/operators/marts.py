@@ -32,9 +32,18 @@ MKT_COLUMNS = SUMMARY_COLUMNS + TOP_COLUMNS
 
 
 def with_market_rank(life: DataFrame, name: str = "market_week_rank") -> DataFrame:
-    """``win_market_rank``: ROW_NUMBER by points desc within (market, week), ties by item."""
-    return group_row_number(life, ["country", "chart_week"],
-                            [("weekly_chart_points", False), ("spotify_id", True)], name)
+    """``win_market_rank``: ROW_NUMBER by points desc within (market, week), ties by item.
+
+    Only the four key columns go through the skew-safe ranker (its range
+    shuffle, Arrow numbering and lineage cut); the rank joins back on the
+    unique weekly grain (item, market, week), so the wide rows are shuffled
+    once by a hash join instead of being checkpointed whole.
+    """
+    keys = ["spotify_id", "country", "chart_week"]
+    ranked = group_row_number(life.select(*keys, "weekly_chart_points"), ["country", "chart_week"],
+                              [("weekly_chart_points", False), ("spotify_id", True)], name) \
+        .drop("weekly_chart_points")
+    return life.join(ranked, keys)
 
 
 def repertoire(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
