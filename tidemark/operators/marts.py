@@ -10,6 +10,7 @@ from tidemark.functions.columns import release_age_days, repertoire_signal
 from tidemark.operators.lifecycle import LIFE_COLUMNS
 from tidemark.operators.ranking import group_row_number, top1_per_group
 from tidemark.params import DEFAULT_THRESHOLDS, Thresholds
+from tidemark.session import cut_lineage
 
 REP_COLUMNS = (
     "spotify_id", "track_name", "artists", "country", "chart_week",
@@ -46,8 +47,16 @@ def with_market_rank(life: DataFrame, name: str = "market_week_rank") -> DataFra
     return life.join(ranked, keys)
 
 
-def repertoire(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """``mart_repertoire``: 30 columns."""
+def repertoire(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, cut: bool = False) -> DataFrame:
+    """``mart_repertoire``: 30 columns.
+
+    The rank reads the lifecycle rows twice (keys into the ranker, wide rows
+    for the join back).  When ``life`` is a lazy chain rather than a written
+    table, ``cut=True`` writes it once (reliable checkpoint) so the chain is
+    not computed twice.
+    """
+    if cut:
+        life = cut_lineage(life)
     base = life.select(*[c for c in LIFE_COLUMNS if c != "selected_market_avg_wow_growth"]) \
         .withColumn("release_age_days", release_age_days()) \
         .withColumn("repertoire_signal", repertoire_signal(t=t))

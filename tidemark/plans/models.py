@@ -75,7 +75,8 @@ class Models:
     # -- marts ------------------------------------------------------------
     @property
     def rep(self) -> DataFrame:
-        return M.repertoire(self.life_full, self.t)
+        # a lazy lifecycle chain is cut once; a written lifecycle table is read as is
+        return M.repertoire(self.life_full, self.t, cut=self._life_override is None)
 
     @property
     def mkt(self) -> DataFrame:
