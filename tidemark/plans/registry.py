@@ -91,11 +91,16 @@ _SQL_RAW_TABLE = ", ".join(f"CAST({src} AS VARCHAR) AS {dst.upper()}" for src, d
 _SQL_RAW_CAMP = ", ".join(f"CAST({src} AS VARCHAR) AS {dst}" for src, dst in RAW_CAMPAIGN_NAMES.items())
 
 _written: dict[tuple, str] = {}
+
+
+def _app(spark) -> str:
+    """Memo key of a session: its application id (unique per Spark application)."""
+    return spark.sparkContext.applicationId
 _build_lock = threading.RLock()  # queries may be called from several threads
 
 
 def _once(spark, sf, name, make: Callable[[], DataFrame], writer=FS.write_csv) -> str:
-    key = (id(spark), os.path.abspath(sf), name)
+    key = (_app(spark), os.path.abspath(sf), name)
     with _build_lock:
         if key not in _written:
             _written[key] = writer(make(), FS.io_path(spark, sf, name))
@@ -142,7 +147,7 @@ _raw: dict[tuple, RawTables] = {}
 
 
 def raw_tables(spark, sf) -> RawTables:
-    key = (id(spark), os.path.abspath(sf))
+    key = (_app(spark), os.path.abspath(sf))
     with _build_lock:
         if key not in _raw:
             _raw[key] = RawTables(spark, sf)
@@ -179,7 +184,7 @@ _marts: dict[tuple, MartTables] = {}
 
 
 def marts(spark, sf) -> MartTables:
-    key = (id(spark), os.path.abspath(sf))
+    key = (_app(spark), os.path.abspath(sf))
     with _build_lock:
         if key not in _marts:
             _marts[key] = MartTables(spark, sf)
@@ -366,7 +371,7 @@ def stream_ingest_charts(spark, sf):
     """The chart file ingested by a file stream (one micro-batch per CSV part)."""
     from tidemark.streaming.ingest_stream import ingest_charts_stream, stream_paths
     raw_path = _once(spark, sf, "raw_charts_csv", lambda: FS.as_text(binding.chart_rows(spark, sf), RAW_CHART_NAMES))
-    key = (id(spark), os.path.abspath(sf), "stream_ingest")
+    key = (_app(spark), os.path.abspath(sf), "stream_ingest")
     with _build_lock:
         if key not in _written:
             out, ckpt = stream_paths(FS.io_path(spark, sf, "stream_ingest"))
