@@ -247,17 +247,23 @@ def _stg_chart_sql(src: str) -> str:
 
 
 O.CTES["stg_c"] = _stg_chart_sql("raw_table")
-O.CTES["stg_camp"] = """
+def whole(c: str) -> str:
+    """Text -> BIGINT when it is a whole number, else NULL (as the Spark side)."""
+    d = f"TRY_CAST({c} AS DOUBLE)"
+    return f"CAST(CASE WHEN {d} = FLOOR({d}) THEN TRY_CAST({d} AS INTEGER) END AS BIGINT)"
+
+
+O.CTES["stg_camp"] = f"""
   SELECT TRIM(CAMPAIGN_ID, ' ') AS campaign_id, TRIM(SPOTIFY_ID, ' ') AS spotify_id,
          TRIM(TRACK_NAME, ' ') AS track_name, TRIM(ARTISTS, ' ') AS artists, UPPER(TRIM(COUNTRY, ' ')) AS country,
          CAST(TRY_STRPTIME(SNAPSHOT_DATE, '%Y-%m-%d') AS DATE) AS snapshot_date,
          CAST(TRY_STRPTIME(CAMPAIGN_START_DATE, '%Y-%m-%d') AS DATE) AS campaign_start_date,
          CAST(TRY_STRPTIME(CAMPAIGN_END_DATE, '%Y-%m-%d') AS DATE) AS campaign_end_date,
          TRIM(CHANNEL, ' ') AS channel, TRY_CAST(SPEND_EUR AS DOUBLE) AS spend_eur,
-         CAST(TRY_CAST(IMPRESSIONS AS DOUBLE) AS BIGINT) AS impressions,
-         CAST(TRY_CAST(CLICKS AS DOUBLE) AS BIGINT) AS clicks, TRY_CAST(CTR AS DOUBLE) AS ctr,
+         {whole('IMPRESSIONS')} AS impressions,
+         {whole('CLICKS')} AS clicks, TRY_CAST(CTR AS DOUBLE) AS ctr,
          TRY_CAST(CONVERSION_RATE AS DOUBLE) AS conversion_rate,
-         CAST(TRY_CAST(ATTRIBUTED_STREAMS AS DOUBLE) AS BIGINT) AS attributed_streams,
+         {whole('ATTRIBUTED_STREAMS')} AS attributed_streams,
          TRIM(GENERATION_TYPE, ' ') AS generation_type
   FROM raw_camp
   WHERE CAMPAIGN_ID IS NOT NULL AND SPOTIFY_ID IS NOT NULL AND COUNTRY IS NOT NULL AND SNAPSHOT_DATE IS NOT NULL"""
@@ -385,8 +391,9 @@ def ing_filtered_count(spark, sf):
     return ingested(spark, sf).agg(F.count(F.lit(1)).alias("filtered_rows"))
 
 
-@q("ing_campaigns", "SELECT * REPLACE (CAST(IMPRESSIONS AS BIGINT) AS IMPRESSIONS, "
-   "CAST(CLICKS AS BIGINT) AS CLICKS, CAST(ATTRIBUTED_STREAMS AS BIGINT) AS ATTRIBUTED_STREAMS) FROM ("
+@q("ing_campaigns", "SELECT * REPLACE (" + ", ".join(
+    f"CAST(CASE WHEN {c} = FLOOR({c}) THEN TRY_CAST({c} AS INTEGER) END AS BIGINT) AS {c}"
+    for c in I.CAMPAIGN_LONG_COLUMNS) + ") FROM ("
    "SELECT " + ", ".join(
        (f"upper({_STRIP.format(c=c)}) AS {c}" if c == "COUNTRY" else
         f"{_STRIP.format(c=c)} AS {c}" if c in I.CAMPAIGN_TEXT_COLUMNS else
