@@ -29,7 +29,6 @@ from tidemark.operators import marts as M
 from tidemark.operators import quality as Q
 from tidemark.operators import staging as S
 from tidemark.operators import weekly as W
-from tidemark.operators.ranking import group_row_number
 from tidemark.params import DashboardFilter
 from tidemark.plans import oracle as O
 from tidemark.plans.models import Models

@@ -20,7 +20,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import parse_date
 from tidemark.operators import ingest as I
 from tidemark.params import DEFAULT_THRESHOLDS, Thresholds
 from tidemark.sources.files import read_csv, string_schema
