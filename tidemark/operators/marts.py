@@ -32,7 +32,7 @@ TOP_COLUMNS = ("top_spotify_id", "top_track_name", "top_artists", "top_track_cha
 MKT_COLUMNS = SUMMARY_COLUMNS + TOP_COLUMNS
 
 
-def with_market_rank(life: DataFrame, name: str = "market_week_rank") -> DataFrame:
+def with_market_rank(life: DataFrame, name: str = "market_week_rank", stable_input: bool = False) -> DataFrame:
     """``win_market_rank``: ROW_NUMBER by points desc within (market, week), ties by item.
 
     Only the four key columns go through the skew-safe ranker (its range
@@ -42,25 +42,28 @@ def with_market_rank(life: DataFrame, name: str = "market_week_rank") -> DataFra
     """
     keys = ["spotify_id", "country", "chart_week"]
     ranked = group_row_number(life.select(*keys, "weekly_chart_points"), ["country", "chart_week"],
-                              [("weekly_chart_points", False), ("spotify_id", True)], name) \
+                              [("weekly_chart_points", False), ("spotify_id", True)], name,
+                              stable_input=stable_input) \
         .drop("weekly_chart_points")
     return life.join(ranked, keys)
 
 
-def repertoire(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, cut: bool = False) -> DataFrame:
+def repertoire(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, cut: bool = False,
+               stable_input: bool = False) -> DataFrame:
     """``mart_repertoire``: 30 columns.
 
     The rank reads the lifecycle rows twice (keys into the ranker, wide rows
     for the join back).  When ``life`` is a lazy chain rather than a written
     table, ``cut=True`` writes it once (reliable checkpoint) so the chain is
-    not computed twice.
+    not computed twice.  ``stable_input=True`` says ``life`` already reads a
+    written table.  Either way the ranker then reads a stable input.
     """
     if cut:
         life = cut_lineage(life)
     base = life.select(*[c for c in LIFE_COLUMNS if c != "selected_market_avg_wow_growth"]) \
         .withColumn("release_age_days", release_age_days()) \
         .withColumn("repertoire_signal", repertoire_signal(t=t))
-    return with_market_rank(base).select(*REP_COLUMNS)
+    return with_market_rank(base, stable_input=cut or stable_input).select(*REP_COLUMNS)
 
 
 def country_week_summary(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:

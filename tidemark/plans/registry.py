@@ -169,7 +169,7 @@ class MartTables:
         life = m.materialize_life(FS.io_path(spark, sf, "life"))
         self.life_full = life
         self.life = L.public(life)
-        rep = FS.write_table(M.repertoire(life), FS.io_path(spark, sf, "rep"), ["chart_week"])
+        rep = FS.write_table(M.repertoire(life, stable_input=True), FS.io_path(spark, sf, "rep"), ["chart_week"])
         # market trends has at most markets x weeks rows at any data size: one
         # unpartitioned table (a week partitioning would only make tiny files)
         mkt = FS.write_table(M.market_trends(life), FS.io_path(spark, sf, "mkt"))
