@@ -85,9 +85,10 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence,
     sorted_ = df.repartitionByRange(n, *sort_key).sortWithinPartitions(*sort_key) \
         .withColumn("_pid", F.spark_partition_id())
     schema = T.StructType(sorted_.schema.fields + [T.StructField("_lrn", T.LongType(), False)])
-    # The range bounds come from sampling the input, whose row order after a
-    # shuffle is not deterministic: a second evaluation could cut the groups
-    # differently.  So the numbered rows are written once (reliable
+    # The range bounds come from sampling the input, and the sample is seeded
+    # with the id of the RDD being executed (new on every evaluation) and
+    # depends on row order after a shuffle: a second evaluation could cut
+    # the groups differently, even over a written table.  So the numbered rows are written once (reliable
     # checkpoint in the shared checkpoint folder) and both the offsets and the
     # result read that one copy.
     local = sorted_.mapInArrow(_local_numbering(group_cols), schema)
