@@ -32,19 +32,3 @@ def test_top1_matches_rank_one(spark):
                                "g string, pts int, item string")
     top = {r.g: r.top_item for r in top1_per_group(df, ["g"], "pts", "item", ["item", "pts"]).collect()}
     assert top == {"x": "a", "y": "z"}
-
-
-def test_stable_table_input_skips_the_cut(spark, tmp_path):
-    # a hot group read back from Parquet (a stable input): same ranks as the window
-    df = spark.range(0, 5000).select(
-        F.when(F.col("id") % 3 > 0, F.lit("HOT")).otherwise((F.col("id") % 11).cast("string")).alias("g"),
-        (F.col("id") % 17).alias("score"),
-        F.format_string("i%05d", F.col("id")).alias("item")).repartition(5, "score")
-    path = str(tmp_path / "t")
-    df.write.parquet(path)
-    table = spark.read.parquet(path)
-    order = [("score", False), ("item", True)]
-    a = group_row_number(table, ["g"], order, "rn", num_partitions=6, stable_input=True)
-    b = window_row_number(table, ["g"], order, "rn")
-    assert a.count() == 5000
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
