@@ -82,3 +82,25 @@ def test_funnel_fixture(spark):
     rows = K.campaign_funnel(df).collect()
     assert (rows[0].impressions, rows[0].clicks, rows[0].attributed_streams) == (125000, 2500, 500)
     assert rows[1].attributed_streams == 1          # never below one stream
+
+
+def test_generate_campaigns_from_anchors(spark):
+    from conftest import SF001
+    from tidemark.plans.models import Models
+    charts = Models(spark, SF001).charts
+    gen = K.generate_campaigns(charts, n=50, share=0.6, seed=42)
+    rows = gen.collect()
+    assert len(rows) == 50 and len({r.campaign_id for r in rows}) == 50
+    assert all(r.campaign_id.startswith("CMP_") and len(r.campaign_id) == 7 for r in rows)
+    mix = {t: sum(r.generation_type == t for r in rows) for t in ("movement_anchored", "random_timing")}
+    assert mix["movement_anchored"] <= 30 and sum(mix.values()) == 50
+    for r in rows:
+        lead = (r.snapshot_date - r.campaign_start_date).days
+        assert (2 <= lead <= 3) if r.generation_type == "movement_anchored" else (0 <= lead <= 10)
+        assert 7 <= (r.campaign_end_date - r.campaign_start_date).days <= 30
+        assert r.attributed_streams >= 1 and r.clicks <= r.impressions
+    # every generated campaign points at a real chart row (no orphans)
+    from tidemark.operators import quality as Q
+    assert Q.campaign_orphans(gen, charts).count() == 0
+    # deterministic: a second build gives the same campaigns
+    assert gen.exceptAll(K.generate_campaigns(charts, n=50, share=0.6, seed=42)).count() == 0
