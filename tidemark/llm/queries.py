@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.sources.tables import read_table
 
@@ -15,8 +16,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op8_minhash_dedup": op8_minhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
