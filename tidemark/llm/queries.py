@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.bpe import encode_digests
 from tidemark.llm.minhash_dedup import near_duplicates
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.substring_dedup import substring_dedup
+from tidemark.llm.token_counts import token_counts
 from tidemark.sources.tables import read_table
 
 
@@ -16,12 +19,27 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).drop("ids")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_bpe": op7_bpe,
     "op8_minhash_dedup": op8_minhash_dedup,
 }
 
