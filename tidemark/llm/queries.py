@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import encode_digests
+from tidemark.llm.language_id import identify
 from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.quality import clean_lines
+from tidemark.llm.sharding import shard_rows
 from tidemark.llm.substring_dedup import substring_dedup
 from tidemark.llm.token_counts import token_counts
 from tidemark.sources.tables import read_table
@@ -19,10 +22,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).drop("ids")
 
@@ -35,12 +46,13 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_substring_dedup": op1_substring_dedup,
-    "op3_token_counts": op3_token_counts,
-    "op5_best_fit_packing": op5_best_fit_packing,
-    "op7_bpe": op7_bpe,
-    "op8_minhash_dedup": op8_minhash_dedup,
-}
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return clean_lines(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_substring_dedup, op2_sharding, op3_token_counts, op4_language_id, op5_best_fit_packing, op7_bpe,
+    op8_minhash_dedup, op9_quality_rules)}
 
 ORACLE_SQL: dict[str, str] = {}
