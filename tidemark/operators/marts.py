@@ -10,7 +10,6 @@ from tidemark.functions.columns import release_age_days, repertoire_signal
 from tidemark.operators.lifecycle import LIFE_COLUMNS
 from tidemark.operators.ranking import group_row_number, top1_per_group
 from tidemark.params import DEFAULT_THRESHOLDS, Thresholds
-from tidemark.session import cut_lineage
 
 REP_COLUMNS = (
     "spotify_id", "track_name", "artists", "country", "chart_week",
@@ -35,28 +34,14 @@ MKT_COLUMNS = SUMMARY_COLUMNS + TOP_COLUMNS
 def with_market_rank(life: DataFrame, name: str = "market_week_rank") -> DataFrame:
     """``win_market_rank``: ROW_NUMBER by points desc within (market, week), ties by item.
 
-    Only the four key columns go through the skew-safe ranker (its range
-    shuffle, Arrow numbering and lineage cut); the rank joins back on the
-    unique weekly grain (item, market, week), so the wide rows are shuffled
-    once by a hash join instead of being checkpointed whole.
+    The wide rows themselves go through the skew-safe ranker, which writes them
+    once: nothing is joined back on data keys, so rows with null keys stay.
     """
-    keys = ["spotify_id", "country", "chart_week"]
-    ranked = group_row_number(life.select(*keys, "weekly_chart_points"), ["country", "chart_week"],
-                              [("weekly_chart_points", False), ("spotify_id", True)], name) \
-        .drop("weekly_chart_points")
-    return life.join(ranked, keys)
+    return group_row_number(life, ["country", "chart_week"], [("weekly_chart_points", False), ("spotify_id", True)], name)
 
 
-def repertoire(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS, cut: bool = False) -> DataFrame:
-    """``mart_repertoire``: 30 columns.
-
-    The rank reads the lifecycle rows twice (keys into the ranker, wide rows
-    for the join back).  When ``life`` is a lazy chain rather than a written
-    table, ``cut=True`` writes it once (reliable checkpoint) so the chain is
-    not computed twice.
-    """
-    if cut:
-        life = cut_lineage(life)
+def repertoire(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """``mart_repertoire``: 30 columns."""
     base = life.select(*[c for c in LIFE_COLUMNS if c != "selected_market_avg_wow_growth"]) \
         .withColumn("release_age_days", release_age_days()) \
         .withColumn("repertoire_signal", repertoire_signal(t=t))

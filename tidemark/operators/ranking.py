@@ -3,29 +3,24 @@
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sorts every group inside
 one task, so a group holding a third of the rows becomes a third of the job
 on one core.  Here the rows are range-partitioned on the full sort key
-(g, o): a hot group is cut across several contiguous partitions.  Each task
-numbers its rows per group (a running count carried across Arrow batches),
-and a piece of a group that began in an earlier partition adds the number of
-rows that group had there.  Only the first group of a partition can
-continue from an earlier one, so the offset table has at most one row per
-partition — a proven bound, safe to broadcast.
-
-The numbered rows are checkpointed once (``cut_lineage``), so the function
-runs a job when called.
+(g, o): a hot group is cut across several contiguous partitions.  Rows carry
+``monotonically_increasing_id()`` of their sorted partition, so the rank of a
+row is its id minus the least id of its group in the partition, plus the
+number of rows the group has in earlier partitions.  Both come from one
+aggregate per (partition, group); everything stays in the JVM.
+
+The sorted rows are written once (the range bounds are sampled anew on every
+evaluation), so the function runs a job when called.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.session import cut_lineage
+from tidemark.session import write_once
 
 
 def _sort_expr(c) -> Column:
@@ -37,67 +32,29 @@ def _sort_expr(c) -> Column:
     return F.col(c).asc_nulls_first()
 
 
-def _local_numbering(group_cols: Sequence[str]):
-    """Per-partition numbering over Arrow batches; only the key columns are
-    converted, every other column passes through untouched (zero copy)."""
-    keys = list(group_cols)
-
-    def number(batches):
-        carry_key, carry_n = None, 0
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            cur = pd.DataFrame({k: batch.column(k).to_pandas() for k in keys})
-            prev = cur.shift(1)
-            new = (cur.ne(prev) & ~(cur.isna() & prev.isna())).any(axis=1).to_numpy()
-            first = tuple(cur.iloc[0])
-            continues = carry_key is not None and all(
-                (a == b) or (pd.isna(a) and pd.isna(b)) for a, b in zip(first, carry_key))
-            new[0] = True
-            starts = np.flatnonzero(new)
-            gid = np.cumsum(new) - 1
-            rn = np.arange(n, dtype=np.int64) - starts[gid] + 1
-            if continues:
-                rn[gid == 0] += carry_n
-            carry_key, carry_n = tuple(cur.iloc[-1]), int(rn[-1])
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(rn, pa.int64())],
-                                             names=batch.schema.names + ["_lrn"])
-
-    return number
-
-
 def group_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence, name: str,
                      num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = row_number() within ``group_cols`` by ``order``.
+    """Add ``name`` = row_number() within ``group_cols`` by ``order``; no groups: over all rows.
 
     ``order`` items are column names (ascending), ``(name, ascending)`` pairs
     or Columns; the order must be total within a group for a stable result.
+    Null group keys form a group, and no row is lost.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort_key = [F.col(g).asc_nulls_first() for g in group_cols] + [_sort_expr(o) for o in order]
-    sorted_ = df.repartitionByRange(n, *sort_key).sortWithinPartitions(*sort_key) \
-        .withColumn("_pid", F.spark_partition_id())
-    schema = T.StructType(sorted_.schema.fields + [T.StructField("_lrn", T.LongType(), False)])
-    # The range bounds come from sampling the input, and the sample is seeded
-    # with the id of the RDD being executed (new on every evaluation) and
-    # depends on row order after a shuffle: a second evaluation could cut
-    # the groups differently, even over a written table.  So the numbered rows are written once (reliable
-    # checkpoint in the shared checkpoint folder) and both the offsets and the
-    # result read that one copy.
-    local = cut_lineage(sorted_.mapInArrow(_local_numbering(group_cols), schema))
-    counts = local.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_cnt"))
+    local = write_once(df.repartitionByRange(n, *sort_key).sortWithinPartitions(*sort_key)
+                       .withColumn("_id", F.monotonically_increasing_id()).withColumn("_pid", F.spark_partition_id()), "ranked")
+    pieces = local.groupBy("_pid", *group_cols).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    # a group has one row per partition it reaches; without groups that is one row per partition in all
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.withColumn("_off", F.sum("_cnt").over(before))
-                     .where(F.col("_off") > 0)
-                     .select(F.col("_pid").alias("_opid"), *[F.col(g).alias(f"_o_{g}") for g in group_cols], "_off"))
+    pieces = pieces.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+    right = pieces.select(F.col("_pid").alias("_opid"), *[F.col(g).alias(f"_o_{g}") for g in group_cols], "_first", "_off")
     cond = F.col("_pid") == F.col("_opid")
     for g in group_cols:
         cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
-    joined = local.join(F.broadcast(offsets), cond, "left")
-    return joined.withColumn(name, F.col("_lrn") + F.coalesce(F.col("_off"), F.lit(0))) \
-        .drop("_pid", "_lrn", "_opid", "_off", *[f"_o_{g}" for g in group_cols])
+    return local.join(right, cond) \
+        .withColumn(name, F.col("_id") - F.col("_first") + F.col("_off") + 1) \
+        .drop("_id", "_pid", "_opid", "_first", "_off", *[f"_o_{g}" for g in group_cols])
 
 
 def window_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence, name: str) -> DataFrame:

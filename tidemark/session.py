@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,25 +42,36 @@ def build_session(master: str | None = None, app: str = "tidemark",
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared lineage-cut folder named by ``spark.checkpoint.dir``.
+    """The shared folder for lineage cuts and written tables, always ``sc.getCheckpointDir()``.
 
-    On a cluster the setting must point at shared storage; it is only
-    filled in here when unset (local runs and tests), with ``fallback`` or a
-    fresh scratch folder.
+    It comes from ``spark.checkpoint.dir``.  Where that is unset, a local master
+    gets ``fallback`` or a fresh scratch folder (local runs and tests); any other
+    master is an error, as executors do not share the driver's disk.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = fallback or tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return sc.getCheckpointDir() or path
+    if not sc.getCheckpointDir():
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current and not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not current:
+            current = fallback or tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but stays columnar: later reads prune
+    columns, and a lost executor reads the files again.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
