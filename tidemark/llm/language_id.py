@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm.tables import written
 from tidemark.llm.words import mix
@@ -206,18 +207,25 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return fit([(r["lang"], np.array(r["places"], np.int64), np.array(r["counts"], np.int64)) for r in rows], idf)
 
 
-def _predict(model: Model):
+def _predict(model: Model, keep: list[str]):
     def run(batches):
         for batch in batches:
             got = [model.predict(at, c) for at, c in feature_counts(_texts(batch))]
-            rest = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in rest] + [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                                             names=[*rest, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
+                                             names=[*keep, "lang_pred", "score"])
 
     return run
 
 
+def annotate(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` (text, ...) with lang_pred and score; all columns stay, one named like an output is replaced."""
+    docs = docs.drop(*[c for c in ("lang_pred", "score") if c in docs.columns]).withColumn("text", F.col("text").cast("string"))
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.mapInArrow(_predict(model, docs.columns), schema)
+
+
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs`` (doc_id, text, lang)."""
     model = learn(docs, per_language)
-    return _read(docs).select("doc_id", "held_out", "text").mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    return _read(docs).select("doc_id", "held_out", "text") \
+        .mapInArrow(_predict(model, ["doc_id", "held_out"]), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import encode_digests
+from tidemark.llm.embedding_dedup import near_vectors
+from tidemark.llm.html_extract import extract
 from tidemark.llm.language_id import identify
 from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.packing import pack_documents
@@ -38,6 +40,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).drop("ids")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
@@ -51,8 +57,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_sharding, op3_token_counts, op4_language_id, op5_best_fit_packing, op7_bpe,
-    op8_minhash_dedup, op9_quality_rules)}
+    op1_substring_dedup, op2_sharding, op3_token_counts, op4_language_id, op5_best_fit_packing, op6_embedding_dedup,
+    op7_bpe, op8_minhash_dedup, op9_quality_rules, op10_html_extraction)}
 
 ORACLE_SQL: dict[str, str] = {}

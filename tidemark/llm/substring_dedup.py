@@ -243,7 +243,7 @@ def _cut(k: int, with_text: bool):
                 out["n_words"].append(len(words))
                 out["n_removed"].append(len(words) - len(kept))
                 out["kept_sha256"].append(hashlib.sha256(body).hexdigest())
-                out["kept_text"].append(body.decode() if with_text else None)
+                out["kept_text"].append(None if not with_text else body.decode() if spans else texts[i].as_py() or "")
                 out["own_digests"].append([_digest(words, s["start"], s["n"], k) for s in spans])
                 out["asked_digests"].append([_digest(words, s["src_start"], s["n"], k) for s in asked[i].as_py() or []])
             kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "own_digests": pa.list_(pa.binary()),
@@ -274,7 +274,8 @@ def _apply(docs: DataFrame, paths: DataFrame, k: int, with_text: bool) -> DataFr
 
 def substring_dedup(docs: DataFrame, k: int = K, with_text: bool = True) -> DataFrame:
     """``docs`` (doc_id, text, ...) with n_words, n_removed, kept_sha256 and kept_text (null unless
-    ``with_text``) in place of ``text``; see the module docstring for the rules."""
+    ``with_text``; the text itself where nothing goes, else the kept words joined by one space) in
+    place of ``text``; see the module docstring for the rules."""
     docs = docs.drop(*[c for c in (*_RESULT, "own", "asked", "own_digests", "asked_digests", "_key") if c in docs.columns])
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
     paths = written(repeat_paths(docs, k), "paths")

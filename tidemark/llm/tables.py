@@ -2,23 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
-from tidemark.session import checkpoint_dir
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
+from tidemark.session import write_once as written
 
-    Cuts the lineage like ``checkpoint()`` but stays columnar, so later reads
-    prune columns; a lost executor recomputes from the files.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["written", "partitions"]
 
 
 def partitions(df: DataFrame) -> int:
