@@ -40,6 +40,7 @@ SPECIAL = {"<|endoftext|>": 50256}
 SIZE, END_ID = 1024, 2
 TRIPLES = 6000
 STEPS = 300
+SHARES = (1.0, 0.95, 0.8, 0.5, 0.2)
 
 
 @lru_cache(maxsize=1)
@@ -163,21 +164,29 @@ def best_fit(left: np.ndarray, size: int) -> list[tuple[list[int], int]]:
     return [(lengths, repeats) for room in bins for lengths, repeats in room]
 
 
+def _round(patterns: np.ndarray, repeats: np.ndarray, histogram: np.ndarray, size: int):
+    """Whole repeats of patterns within the histogram, then best fit for the rest."""
+    left, chosen = histogram.astype(np.int64).copy(), []
+    for i in np.argsort(-repeats, kind="stable"):
+        lengths = [int(n) for n in patterns[i] if n]
+        r = min([int(repeats[i]), *[int(left[n]) // lengths.count(n) for n in set(lengths)]])
+        if r > 0:
+            chosen.append((lengths, r))
+            np.subtract.at(left, lengths, r)
+    return chosen + best_fit(left, size)
+
+
 def plan(histogram: np.ndarray, size: int = SIZE) -> dict[str, np.ndarray]:
     """For each length the rank intervals of its pieces: (length, first rank, pieces per
-    repeat, first sequence, offset of the first of them), sorted by length and rank."""
-    left = histogram.astype(np.int64).copy()
-    chosen: list[tuple[list[int], int]] = []
+    repeat, first sequence, offset of the first of them), sorted by length and rank.
+
+    Rounding down leaves residuals; a smaller share of every count leaves more of them, which
+    pack better where counts are small.  The share with the fewest sequences wins.
+    """
     patterns = fill_patterns(histogram, size)
-    if len(patterns):
-        repeats = np.floor(nnls(patterns, histogram.astype(float)) + 1e-9).astype(np.int64)
-        for i in np.argsort(-repeats, kind="stable"):
-            lengths = [int(n) for n in patterns[i] if n]
-            r = min([int(repeats[i]), *[int(left[n]) // lengths.count(n) for n in set(lengths)]])
-            if r:
-                chosen.append((lengths, r))
-                np.subtract.at(left, lengths, r)
-    chosen += best_fit(left, size)
+    counts = nnls(patterns, histogram.astype(float)) if len(patterns) else np.zeros(0)
+    chosen = min((_round(patterns, np.floor(counts * share + 1e-9).astype(np.int64), histogram, size) for share in SHARES),
+                 key=lambda c: sum(r for _, r in c))
     used = np.zeros(size + 1, np.int64)
     rows, sequence = [], 0
     for lengths, r in chosen:
