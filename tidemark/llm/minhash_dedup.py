@@ -16,15 +16,16 @@ of their multisets, sum of minima over sum of maxima, is at least 0.8.
    depend on the bound.
 2. *Copies.*  Equal texts collapse to their smallest doc_id (a map-side combined
    aggregate), so a group of thousands of copies costs one row from here on.
-3. *Bands.*  24 bands of 5 slots: a pair at 0.8 is missed with probability 7e-5.
+3. *Bands.*  45 bands of 7 slots: a pair at 0.8 is missed with probability 3e-5.
 4. *Verification, first round.*  Every document is compared with the smallest
    document over all of its buckets.  Texts travel to (head, salt) groups, so the head of a
    huge group is copied once per group of members and no group is collected.
 5. *Second round.*  Links already make most buckets one component.  Where a
-   bucket holds several, the members outside its largest component are
-   compared with all members of other components: no candidate link that
-   could join two components is left out, and pairs inside a component are
-   never emitted.
+   bucket holds several, the members outside its largest component meet all
+   members of other components.  One bit per slot tells how far two signatures
+   differ; pairs five standard deviations beyond what 0.8 gives are dropped inside
+   the join (documents that share a common passage only), the others are
+   compared.  Pairs inside a component are never emitted.
 6. *Classes* are the connected components of the verified links.
 
 Rules: null or wordless texts are alone in their class; a null doc_id has no
@@ -43,7 +44,8 @@ from tidemark.llm.tables import written
 from tidemark.llm.words import mix, powers, slices, text_buffers, windows, within, word_hashes
 
 SHINGLE = 5
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 45, 7
+WORDS64 = -(-BANDS * ROWS // 64)     # long words for one bit per slot
 SLICE_BYTES = 1 << 21
 SLICE_DOCS = 4000             # the document's number takes 12 bits of a sort key
 MEMBERS = 64                  # members compared with one copy of a head
@@ -123,6 +125,19 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return mix((mix(bits) * pw).sum(axis=2) + np.arange(1, bands + 1, dtype=np.uint64) * _U(0x2545F4914F6CDD1D)).view(np.int64)
 
 
+def slot_bits(sig: np.ndarray) -> np.ndarray:
+    """One bit per slot in WORDS64 long words: equal slots have equal bits, others in half of all cases."""
+    bits = np.zeros((len(sig), WORDS64 * 64), np.uint8)
+    bits[:, :sig.shape[1]] = mix(sig.view(np.uint64)) & _U(1)
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
+def most_differing_bits(num: int, den: int, slots: int = BANDS * ROWS) -> int:
+    """Bits that differ at similarity num/den: mean and five standard deviations."""
+    p = (1 - num / den) / 2
+    return int(slots * p + 5 * np.sqrt(slots * p * (1 - p)))
+
+
 def _doc_slices(col):
     _, offs = text_buffers(col)
     for a, b in slices(offs, SLICE_BYTES):
@@ -141,13 +156,14 @@ def _sign(batches):
             flat = pa.array(keys[some].reshape(-1))
             offs = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
-                                              pa.ListArray.from_arrays(pa.array(offs), flat)], names=["doc_id", "copy", "bands"])
+                                              pa.ListArray.from_arrays(pa.array(offs), flat), pa.array(list(slot_bits(sig)), pa.list_(pa.int64()))],
+                                             names=["doc_id", "copy", "bands", "bits"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, copy: digest of the text, bands: bucket key per band, empty without words)."""
+    """(doc_id, copy: digest of the text, bands: bucket key per band, empty without words, bits: one per slot)."""
     return docs.select("doc_id", "text", F.md5(F.col("text")).alias("copy")) \
-        .mapInArrow(_sign, "doc_id long, copy string, bands array<long>")
+        .mapInArrow(_sign, "doc_id long, copy string, bands array<long>, bits array<long>")
 
 
 def _verify(num: int, den: int):
@@ -190,7 +206,8 @@ def verified(docs: DataFrame, pairs: DataFrame, num: int = 4, den: int = 5) -> D
     want = pairs.select(F.col("member").alias("doc_id"), "head", "salt", F.lit(1).alias("kind")).unionByName(
         groups.select(F.col("head").alias("doc_id"), "head", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"),
                       F.lit(0).alias("kind")))
-    rows = docs.join(want, "doc_id").select("head", "salt", "kind", "doc_id", "text")
+    # texts always take the merge join: a plan that broadcasts a small side here and a large one there grows unevenly
+    rows = docs.join(want.hint("merge"), "doc_id").select("head", "salt", "kind", "doc_id", "text")
     return rows.repartition("head", "salt").sortWithinPartitions("head", "salt", "kind") \
         .mapInArrow(_verify(num, den), "a long, b long").distinct()
 
@@ -201,8 +218,8 @@ def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     signed = written(signatures(docs), "signed")
     some = signed.where(F.col("doc_id").isNotNull() & (F.size("bands") > 0))
     # map-side combined: copies of one text become one row per task, then one in all
-    reps = written(some.groupBy("copy").agg(F.min(F.struct("doc_id", "bands")).alias("r"), F.count(F.lit(1)).alias("n"))
-                   .select("copy", "r.doc_id", "r.bands"), "reps")
+    reps = written(some.groupBy("copy").agg(F.min(F.struct("doc_id", "bands", "bits")).alias("r"))
+                   .select("copy", "r.doc_id", "r.bands", "r.bits"), "reps")
     buckets = reps.select("doc_id", F.explode("bands").alias("band"))
     heads = buckets.groupBy("band").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "head")
     shared = written(buckets.join(heads, "band"), "buckets")     # rows of buckets with two documents or more
@@ -215,10 +232,14 @@ def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     tally = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = tally.groupBy("band").agg(F.count(F.lit(1)).alias("parts"),
                                       F.max(F.struct("n", "component")).alias("top")).where("parts > 1")
-    rest = written(labelled.join(mixed.select("band", F.col("top.component").alias("largest")), "band"), "rest")
-    out = rest.where("component <> largest").select("band", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    cross = out.join(rest.select("band", F.col("doc_id").alias("y"), F.col("component").alias("cy"), "largest"), "band") \
-        .where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("largest")) | (F.col("x") < F.col("y"))))
+    rest = labelled.join(mixed.select("band", F.col("top.component").alias("largest")), "band")
+    rest = written(rest.join(reps.select("doc_id", "bits"), "doc_id"), "rest")
+    out = rest.where("component <> largest").select(F.col("band").alias("_band"), F.col("doc_id").alias("x"), F.col("component").alias("cx"),
+                                                    F.col("bits").alias("bx"))
+    differ = sum((F.bit_count(F.col("bx")[i].bitwiseXOR(F.col("by")[i])) for i in range(WORDS64)), F.lit(0))
+    cross = out.join(rest.select("band", F.col("doc_id").alias("y"), F.col("component").alias("cy"), "largest", F.col("bits").alias("by")),
+                     (F.col("_band") == F.col("band")) & (F.col("cx") != F.col("cy"))
+                     & ((F.col("cy") == F.col("largest")) | (F.col("x") < F.col("y"))) & (differ <= most_differing_bits(num, den)))
     cross = cross.select(F.least("x", "y").alias("head"), F.greatest("x", "y").alias("member")).distinct()
     tried = star.select("head", "member")
     second = written(cross.join(tried, ["head", "member"], "left_anti"), "cross")
