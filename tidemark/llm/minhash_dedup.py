@@ -17,8 +17,8 @@ of their multisets, sum of minima over sum of maxima, is at least 0.8.
 2. *Copies.*  Equal texts collapse to their smallest doc_id (a map-side combined
    aggregate), so a group of thousands of copies costs one row from here on.
 3. *Bands.*  45 bands of 7 slots: a pair at 0.8 is missed with probability 3e-5.
-4. *Verification, first round.*  Every document is compared with the smallest
-   document over all of its buckets.  Texts travel to (head, salt) groups, so the head of a
+4. *Verification, first round.*  A bucket's head is its smallest document; every
+   document is compared with the head that it shares most buckets with.  Texts travel to (head, salt) groups, so the head of a
    huge group is copied once per group of members and no group is collected.
 5. *Second round.*  Links already make most buckets one component.  Where a
    bucket holds several, the members outside its largest component meet all
@@ -223,7 +223,9 @@ def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     buckets = reps.select("doc_id", F.explode("bands").alias("band"))
     heads = buckets.groupBy("band").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "head")
     shared = written(buckets.join(heads, "band"), "buckets")     # rows of buckets with two documents or more
-    star = shared.groupBy(F.col("doc_id").alias("member")).agg(F.min("head").alias("head")).where("head < member")
+    met = shared.where("head < doc_id").groupBy(F.col("doc_id").alias("member"), "head").agg(F.count(F.lit(1)).alias("n"))
+    star = met.groupBy("member").agg(F.max(F.struct("n", (-F.col("head")).alias("h"))).alias("best")) \
+        .select("member", (-F.col("best.h")).alias("head"))
     texts = docs.where(F.col("doc_id").isNotNull())
     first = written(verified(texts, star, num, den), "first")
     comp = components(first)
