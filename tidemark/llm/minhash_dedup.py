@@ -22,10 +22,10 @@ of their multisets, sum of minima over sum of maxima, is at least 0.8.
    huge group is copied once per group of members and no group is collected.
 5. *Second round.*  Links already make most buckets one component.  Where a
    bucket holds several, the members outside its largest component meet all
-   members of other components.  One bit per slot tells how far two signatures
-   differ; pairs five standard deviations beyond what 0.8 gives are dropped inside
-   the join (documents that share a common passage only), the others are
-   compared.  Pairs inside a component are never emitted.
+   members of other components, block by block (``_cross_links``).  One bit per slot
+   tells how far two signatures differ: pairs five standard deviations beyond
+   what 0.8 gives are dropped, the others are compared in their first common bucket.  A
+   block returns only links that join two components, so no list of pairs arises.
 6. *Classes* are the connected components of the verified links.
 
 Rules: null or wordless texts are alone in their class; a null doc_id has no
@@ -49,6 +49,7 @@ WORDS64 = -(-BANDS * ROWS // 64)     # long words for one bit per slot
 SLICE_BYTES = 1 << 21
 SLICE_DOCS = 4000             # the document's number takes 12 bits of a sort key
 MEMBERS = 64                  # members compared with one copy of a head
+BLOCK = 512                   # members of a bucket on one side of a comparison
 _U = np.uint64
 
 
@@ -212,6 +213,75 @@ def verified(docs: DataFrame, pairs: DataFrame, num: int = 4, den: int = 5) -> D
         .mapInArrow(_verify(num, den), "a long, b long").distinct()
 
 
+def _sets(col):
+    """multisets of any number of texts, hashed a slice at a time."""
+    firsts, xs, cs, n = [np.zeros(1, np.int64)], [], [], 0
+    for a, b in _doc_slices(col):
+        first, x, c = multisets(col.slice(a, b - a))
+        firsts.append(first[1:] + n)
+        xs.append(x)
+        cs.append(c)
+        n += len(x)
+    return np.concatenate(firsts), np.concatenate(xs), np.concatenate(cs)
+
+
+def _cross_links(num: int, den: int):
+    """One block pair of a bucket: links that join components, from the left outsiders to the right members."""
+    most = most_differing_bits(num, den)
+
+    def run(table: pa.Table) -> pa.Table:
+        mine = table["mine"].to_numpy()
+        comp, largest = table["component"].to_numpy(), table["largest"].to_numpy()
+        sides = [table.filter(pa.array(mine & (comp != largest))), table.filter(pa.array(~mine))]
+        out: list[tuple[int, int]] = []
+        if all(t.num_rows for t in sides):
+            band = table["band"][0].as_py()
+            ids, comps = ([t[c].to_numpy() for t in sides] for c in ("doc_id", "component"))
+            bits, bands = ([np.stack(t[c].to_numpy()) for t in sides] for c in ("bits", "bands"))
+            (lf, lx, lc), (rf, rx, rc) = (_sets(t["text"].combine_chunks()) for t in sides)
+            owner, rn = np.repeat(np.arange(len(ids[1])), np.diff(rf)), np.add.reduceat(rc, rf[:-1])
+            parent: dict[int, int] = {}
+
+            def root(x):
+                while parent.get(x, x) != x:
+                    x = parent[x]
+                return x
+
+            for i in range(len(ids[0])):
+                same = bands[1] == bands[0][i]
+                ok = (comps[1] != comps[0][i]) & ((comps[1] == largest[0]) | (ids[1] > ids[0][i]))
+                ok &= bands[0][i][np.argmax(same, 1)] == band
+                ok &= np.bitwise_count(bits[1] ^ bits[0][i]).sum(1) <= most
+                x, c = lx[lf[i]:lf[i + 1]], lc[lf[i]:lf[i + 1]]
+                n = int(c.sum())
+                ok &= den * np.minimum(n, rn) >= num * np.maximum(n, rn)
+                if not ok.any():
+                    continue
+                use = ok[owner]
+                xs, os = rx[use], owner[use]
+                at = np.minimum(np.searchsorted(x, xs), len(x) - 1)
+                common = np.bincount(os, np.where(x[at] == xs, np.minimum(c[at], rc[use]), 0), len(ids[1]))
+                for j in np.flatnonzero(ok & (den * common >= num * (n + rn - common))):
+                    a, b = root(int(comps[0][i])), root(int(comps[1][j]))
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        out.append((int(ids[0][i]), int(ids[1][j])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return run
+
+
+def _second_round(rest: DataFrame, reps: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    rows = rest.join(reps.select("doc_id", "bands", "bits"), "doc_id").join(texts.hint("merge"), "doc_id") \
+        .withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    carry = ["doc_id", "component", "largest", "bands", "bits", "text"]
+    left = rows.select("band", F.col("block").alias("i"), F.col("other").alias("j"), F.lit(True).alias("mine"), *carry)
+    right = rows.select("band", F.col("other").alias("i"), F.col("block").alias("j"), F.lit(False).alias("mine"), *carry)
+    return written(left.where("component <> largest").unionByName(right).groupBy("band", "i", "j")
+                   .applyInArrow(_cross_links(num, den), "a long, b long").distinct(), "second")
+
+
 def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest doc_id of the class), kept (doc_id = class_id)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -232,20 +302,11 @@ def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     labelled = shared.join(comp, shared.doc_id == comp.node, "left") \
         .select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     tally = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = tally.groupBy("band").agg(F.count(F.lit(1)).alias("parts"),
+    mixed = tally.groupBy("band").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("members"),
                                       F.max(F.struct("n", "component")).alias("top")).where("parts > 1")
-    rest = labelled.join(mixed.select("band", F.col("top.component").alias("largest")), "band")
-    rest = written(rest.join(reps.select("doc_id", "bits"), "doc_id"), "rest")
-    out = rest.where("component <> largest").select(F.col("band").alias("_band"), F.col("doc_id").alias("x"), F.col("component").alias("cx"),
-                                                    F.col("bits").alias("bx"))
-    differ = sum((F.bit_count(F.col("bx")[i].bitwiseXOR(F.col("by")[i])) for i in range(WORDS64)), F.lit(0))
-    cross = out.join(rest.select("band", F.col("doc_id").alias("y"), F.col("component").alias("cy"), "largest", F.col("bits").alias("by")),
-                     (F.col("_band") == F.col("band")) & (F.col("cx") != F.col("cy"))
-                     & ((F.col("cy") == F.col("largest")) | (F.col("x") < F.col("y"))) & (differ <= most_differing_bits(num, den)))
-    cross = cross.select(F.least("x", "y").alias("head"), F.greatest("x", "y").alias("member")).distinct()
-    tried = star.select("head", "member")
-    second = written(cross.join(tried, ["head", "member"], "left_anti"), "cross")
-    links = first if second.isEmpty() else first.unionByName(verified(texts, second, num, den))
+    rest = written(labelled.join(mixed.select("band", F.col("top.component").alias("largest"),
+                                              F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "band"), "rest")
+    links = first if rest.isEmpty() else first.unionByName(_second_round(rest, reps, texts, num, den))
     comp = components(links)
     # a copy's class is its representative's
     cls = reps.join(comp, reps.doc_id == comp.node, "left").select("copy", F.coalesce("component", "doc_id").alias("class_id"))
