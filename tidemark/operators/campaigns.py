@@ -86,7 +86,9 @@ def campaign_market_and_control(campaigns: DataFrame, life: DataFrame) -> DataFr
     after a map-side partial step, so the theta join and its second scan of
     the lifecycle table disappear.
     """
-    c = campaign_base(campaigns).withColumn("_crow", F.struct(*BASE_COLUMNS))
+    # equal campaign rows travel once, with their number
+    c = campaign_base(campaigns).groupBy(*BASE_COLUMNS).agg(F.count(F.lit(1)).cast("int").alias("_copies")) \
+        .withColumn("_crow", F.struct(*BASE_COLUMNS, "_copies"))
     r = life.select(F.col("spotify_id").alias("_r_id"), F.col("chart_week").alias("_r_week"),
                     F.col("country").alias("_r_country"), "weekly_chart_points", "wow_growth_rate",
                     "lifecycle_stage", "market_spike_flag", F.col("cross_market_count").alias("_r_cross"))
@@ -101,7 +103,8 @@ def campaign_market_and_control(campaigns: DataFrame, life: DataFrame) -> DataFr
         F.max(F.when(own, F.col("_r_cross"))).alias("cross_market_count"),
         F.avg(F.when(other, F.col("wow_growth_rate"))).alias("control_market_avg_wow_growth"),
         F.count(F.when(own, F.lit(1))).alias("_own_rows"))
-    return agg.select("_crow.*", *MARKET_COLUMNS, "control_market_avg_wow_growth", "_own_rows")
+    return agg.select("_crow.*", *MARKET_COLUMNS, "control_market_avg_wow_growth", "_own_rows") \
+        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
 
 
 def campaign_metrics(campaigns: DataFrame, life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:

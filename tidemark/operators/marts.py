@@ -95,7 +95,7 @@ def summary_with_top_track(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS)
     one exchange instead of three.
     """
     stage = F.col("lifecycle_stage")
-    best = F.min(F.struct((-F.col("weekly_chart_points")).alias("_neg"), F.col("spotify_id").alias("_id"),
+    best = F.min(F.struct(F.col("weekly_chart_points").isNull().alias("_none"), (-F.col("weekly_chart_points")).alias("_neg"), F.col("spotify_id").alias("_id"),
                           F.col("track_name").alias("_name"), F.col("artists").alias("_artists"),
                           F.col("weekly_chart_points").alias("_pts")))
     agg = (life.groupBy("country", "chart_week")

@@ -71,7 +71,7 @@ def top1_per_group(df: DataFrame, group_cols: Sequence[str], score: str, tie: st
     aggregate, so a hot group never reaches one task whole (the window
     ``row_number() = 1`` form needs the group clustered first).
     """
-    best = F.min(F.struct((-F.col(score)).alias("_neg"), F.col(tie).alias("_tie"),
+    best = F.min(F.struct(F.col(score).isNull().alias("_none"), (-F.col(score)).alias("_neg"), F.col(tie).alias("_tie"),
                           *[F.col(c).alias(c) for c in carry])).alias("_best")
     out = df.groupBy(*group_cols).agg(best)
     return out.select(*group_cols, *[F.col(f"_best.{c}").alias(f"{prefix}{c}") for c in carry])

@@ -534,7 +534,7 @@ def cross_market_champions(spark, sf):
 
 
 @q("win_top_track", "SELECT country, chart_week, top_spotify_id, top_track_name, top_artists, "
-   "top_track_chart_points FROM top_ranked WHERE track_rank = 1")
+   "top_track_chart_points FROM mkt")
 def win_top_track(spark, sf):
     return M.top_track(_m(spark, sf).life)
 
@@ -564,9 +564,10 @@ def join_campaign_market(spark, sf):
     return C.join_campaign_market(m.campaigns, m.life)
 
 
-@q("join_control", "SELECT c.campaign_id, r.country AS control_country, r.wow_growth_rate FROM cbase c "
-   "JOIN life r ON c.spotify_id = r.spotify_id AND c.campaign_week = r.chart_week AND c.country <> r.country "
-   "WHERE r.wow_growth_rate IS NOT NULL")
+@q("join_control", "SELECT campaign_id, m.market AS control_country, m.rate AS wow_growth_rate "
+   "FROM (SELECT b.campaign_id, b.country, UNNEST(s.markets) AS m FROM cbase b, spread s "
+   "WHERE b.spotify_id = s.spotify_id AND b.campaign_week = s.chart_week) u "
+   "WHERE m.market <> country AND m.rate IS NOT NULL")
 def join_control(spark, sf):
     m = _m(spark, sf)
     return C.join_control(m.campaigns, m.life)
@@ -578,9 +579,7 @@ def control_market_growth(spark, sf):
     return C.control_market_growth(m.campaigns, m.life)
 
 
-@q("join_control_back", "SELECT m.*, ctrl.control_market_avg_wow_growth, "
-   "m.campaign_market_wow_growth - ctrl.control_market_avg_wow_growth AS lift_vs_control "
-   "FROM cmarket m LEFT JOIN ccontrol ctrl ON m.campaign_id = ctrl.campaign_id")
+@q("join_control_back", "SELECT * EXCLUDE (cost_per_stream, roas_proxy) FROM cmetrics")
 def join_control_back(spark, sf):
     m = _m(spark, sf)
     return C.join_control_back(m.campaigns, m.life)
@@ -608,8 +607,7 @@ def channel_benchmarks(spark, sf):
     return C.channel_benchmarks(_m(spark, sf).campaigns.withColumn("cost_per_stream", cps()))
 
 
-@q("join_channel_benchmark", "SELECT m.*, b.channel_avg_cost_per_stream FROM cmetrics m "
-   "LEFT JOIN cbench b ON m.channel = b.channel")
+@q("join_channel_benchmark", "SELECT * EXCLUDE (campaign_efficiency_alert, campaign_performance_signal) FROM camp")
 def join_channel_benchmark(spark, sf):
     m = _m(spark, sf)
     return C.join_channel_benchmark(C.campaign_metrics(m.campaigns, m.life)).drop("_own_rows")
@@ -868,6 +866,7 @@ NOT_NULL = {
     "weekly": ("spotify_id", "country", "chart_week", "weekly_chart_points"),
     "growth": ("spotify_id", "country", "chart_week", "weekly_chart_points"),
     "life": ("spotify_id", "country", "chart_week", "lifecycle_stage"),
+    "rep": ("spotify_id", "country", "chart_week", "lifecycle_stage", "repertoire_signal"),
     "mkt": ("country", "chart_week", "tracks_tracked", "total_chart_points"),
     "camp": ("campaign_id", "spotify_id", "country", "channel", "spend_eur", "attributed_streams"),
 }
