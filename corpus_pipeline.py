@@ -36,7 +36,10 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(clean_lines(docs).where("kept").withColumn("text", F.col("clean_text")))
+    # as a generated column the verdict is computed once; a plain filter would repeat it below the projection
+    verdict = F.explode(F.array(F.struct("kept", "clean_text"))).alias("verdict")
+    judged = clean_lines(docs.select(*COLUMNS)).select(*COLUMNS, verdict)
+    return _documents(judged.where("verdict.kept").withColumn("text", F.col("verdict.clean_text")))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
