@@ -210,7 +210,7 @@ def test_quality_counts(spark, docs):
 
 
 def test_quality_lines(spark):
-    prose = "\n".join(f"This is line {i} of a text that says {i * 7} things about number {i * 13}." for i in range(12))
+    prose = "\n".join(" ".join(f"w{i}x{j}" for j in range(9)) + "." for i in range(12))
     junk = "\n".join("Win### now*** at%%% the&&& best$$$ place### for&&& you***" + str(i) for i in range(12))
     nav = "Home | News | Sport | Weather"
     df = spark.createDataFrame([(0, prose + "\n" + nav + "\nAll rights reserved."), (1, junk)], "doc_id long, text string")
@@ -275,7 +275,7 @@ def test_html_extraction(spark):
 
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline as c
-    full = docs.select("doc_id", "text", F.lit("en").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"))
+    full = docs.select("doc_id", F.concat("text", F.lit(".")).alias("text"), F.lit("en").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"))
     kept = c.quality_rules(spark, full, "")
     assert kept.columns == list(c.COLUMNS)
     assert kept.count() == quality.clean_lines(full).where("kept").count() > 0

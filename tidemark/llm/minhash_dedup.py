@@ -251,7 +251,7 @@ def _cross_links(num: int, den: int):
                 same = bands[1] == bands[0][i]
                 ok = (comps[1] != comps[0][i]) & ((comps[1] == largest[0]) | (ids[1] > ids[0][i]))
                 ok &= bands[0][i][np.argmax(same, 1)] == band
-                ok &= np.bitwise_count(bits[1] ^ bits[0][i]).sum(1) <= most
+                ok &= np.bitwise_count((bits[1] ^ bits[0][i]).view(np.uint64)).sum(1) <= most
                 x, c = lx[lf[i]:lf[i + 1]], lc[lf[i]:lf[i + 1]]
                 n = int(c.sum())
                 ok &= den * np.minimum(n, rn) >= num * np.maximum(n, rn)
