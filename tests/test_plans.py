@@ -25,19 +25,21 @@ def test_lifecycle_chain_exchanges(spark):
     assert "hashpartitioning(spotify_id" in plan
 
 
-def test_chart_rank_is_a_group_limit(spark):
+def test_chart_rank_keeps_every_row(spark):
+    """The market-day rank is native and cuts nothing: ranks are gapless per market-day."""
+    from pyspark.sql import functions as F
+
     from tidemark.sources.binding import chart_rows
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = _plan(chart_rows(spark, SF001))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "WindowGroupLimit" in plan
+    df = chart_rows(spark, SF001)
+    plan = _plan(df)
+    assert "WindowGroupLimit" not in plan and "MapInArrow" not in plan
+    gaps = df.groupBy("country", "snapshot_date").agg(F.max("daily_rank").alias("top"), F.count(F.lit(1)).alias("n")).where("top <> n")
+    assert gaps.count() == 0
 
 
 def test_scan_prunes_columns(spark):
-    m = Models(spark, SF001)
-    plan = _plan(m.weekly)
+    from tidemark.sources.binding import campaign_rows
+    plan = _plan(campaign_rows(spark, SF001))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in plan
     assert "l_comment" not in plan and "l_returnflag" not in plan
 
