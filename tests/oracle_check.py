@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
-``python -m tidemark.plans.check SF_DIR [key ...]`` prints one line per key:
+``python tests/oracle_check.py SF_DIR [key ...]`` prints one line per key:
 row counts, column sets and an order-insensitive value comparison.
 """
 
@@ -9,9 +9,12 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -45,7 +48,6 @@ def _rows(rows, cols):
 
 
 def compare(spark, sf_dir: str, keys=None, con=None):
-    sys.path.insert(0, ".")
     from tidemark.plans import registry
     qs, sql = registry.queries(), registry.oracle_sql()
     con = con or duck(sf_dir)

@@ -49,7 +49,7 @@ def test_csv_round_trip_with_quotes(spark):
     raw = _raw(spark, [dict(spotify_id="q", artists='He said "hi", twice', name="line\nbreak")])
     path = os.path.join(tempfile.mkdtemp(prefix="tidemark-csv-"), "charts")
     FS.write_csv(raw, path)
-    back = FS.read_csv(spark, path, I.CHART_COLUMNS).first()
+    back = FS.read_csv(spark, path, I.CHART_COLUMNS, multiline=True).first()
     assert back.artists == 'He said "hi", twice' and back.name == "line\nbreak"
 
 
@@ -73,5 +73,44 @@ def test_staging_keeps_blank_keys_and_types(spark):
 def test_anchor_csv_requires_columns(spark):
     import pytest
     df = spark.createDataFrame([("a",)], "SPOTIFY_ID string")
-    with pytest.raises(ValueError, match="Missing required columns: NAME"):
+    with pytest.raises(ValueError, match="anchor file lacks: NAME"):
         I.anchors_from_filtered(df)
+
+
+def test_numbers_keep_their_value(spark):
+    raw = _raw(spark, [dict(spotify_id="a", duration_ms="3000000000", daily_rank="3.7", popularity="-2.5", key="9007199254740993"),
+                       dict(spotify_id="b", duration_ms="", daily_rank="x", popularity="2.0", key="nan")])
+    for df in (I.project_order(I.to_numeric(raw)), S.stage_charts(I.project_order(raw))):
+        rows = df.toDF(*[c.lower() for c in df.columns]).orderBy("spotify_id").collect()
+        key = "key" if "key" in rows[0].asDict() else "musical_key"
+        assert [rows[0][c] for c in ("duration_ms", "daily_rank", "popularity", key)] == [3000000000, 4, -3, 9007199254740993]
+        assert [rows[1][c] for c in ("duration_ms", "daily_rank", "popularity", key)] == [None, None, 2, None]
+    base = {c: "1" for c in I.CAMPAIGN_COLUMNS} | {"SNAPSHOT_DATE": "2025-06-11", "IMPRESSIONS": "3000000000",
+                                                   "CLICKS": "2147483648", "ATTRIBUTED_STREAMS": "5000000000.5"}
+    camp = spark.createDataFrame([tuple(base[c] for c in I.CAMPAIGN_COLUMNS)], FS.string_schema(I.CAMPAIGN_COLUMNS))
+    for df in (I.clean_campaigns(camp), S.stage_campaigns(camp)):
+        r = df.toDF(*[c.lower() for c in df.columns]).first()
+        assert (r.impressions, r.clicks, r.attributed_streams) == (3000000000, 2147483648, 5000000001)
+
+
+def test_no_valid_date_is_an_error(spark):
+    import pytest
+    raw = _raw(spark, [dict(snapshot_date="bad"), dict(snapshot_date=None)])
+    with pytest.raises(Exception, match="no row with a date"):
+        I.clean_charts(raw, ["DE"]).collect()
+    with pytest.raises(ValueError, match="no row with a date"):
+        I.require_max_date(raw)
+
+
+def test_csv_of_one_file_is_split_by_default(spark, tmp_path):
+    raw = _raw(spark, [dict(spotify_id=f"id{i}", name=" padded ") for i in range(4000)]).coalesce(1)
+    path = str(tmp_path / "charts")
+    FS.write_csv(raw, path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        back = FS.read_csv(spark, path, I.CHART_COLUMNS)
+        assert back.rdd.getNumPartitions() > 1
+        assert back.where("name = ' padded '").count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -1,5 +1,7 @@
 """Quality checks on seeded bad rows; dashboard guards and rollups."""
 
+import datetime as dt
+
 import pytest
 
 from tidemark.operators import dashboard as D
@@ -45,3 +47,29 @@ def test_dashboard_filters(spark):
     rows = D.filter_rep(life, some).collect()
     assert rows and all(r.country in countries[:2] and 1996 == r.chart_week.year for r in rows)
     assert D.top_tracks(life).count() <= 10
+
+
+def test_sort_orders_and_null_markets(spark):
+    weeks = [(dt.date(2025, 6, 9), "DE", 5), (dt.date(2025, 6, 2), "FR", 7), (dt.date(2025, 6, 2), "DE", 9), (dt.date(2025, 6, 2), None, 1)]
+    mkt = spark.createDataFrame(weeks, "chart_week date, country string, total_chart_points long").repartition(3)
+    shown = D.filter_mkt(mkt, DashboardFilter())
+    assert shown.count() == 3                      # no selection: every market with a name
+    assert D.filter_mkt(mkt, DashboardFilter(countries=("FR",))).count() == 1
+    series = D.market_series(shown).collect()
+    assert [(r.country, r.chart_week) for r in series] == sorted((r.country, r.chart_week) for r in series)
+    assert [r.country for r in D.countries(mkt).collect()] == ["DE", "FR"]
+    assert D.filter_camp(mkt, DashboardFilter()).count() == 3
+
+
+def test_campaign_ids_do_not_collide_beyond_999(spark):
+    from conftest import SF001
+    from tidemark.operators.construction import generate_campaigns
+    from tidemark.plans import registry
+    made = generate_campaigns(registry.raw_tables(spark, SF001).charts, n=1200).select("campaign_id").collect()
+    assert len(made) == 1200 == len({r.campaign_id for r in made})
+
+
+def test_latest_week_order(spark):
+    mkt = spark.createDataFrame([(dt.date(2025, 6, 9), "DE", 5), (dt.date(2025, 6, 9), "FR", 7), (dt.date(2025, 6, 2), "SE", 9)],
+                                "chart_week date, country string, total_chart_points long").repartition(3)
+    assert [r.country for r in D.latest_week(mkt).collect()] == ["FR", "DE"]

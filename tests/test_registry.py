@@ -26,8 +26,15 @@ def test_doubles_file_is_current(spark):
 
 @pytest.mark.parametrize("chunk", range(4))
 def test_oracle_sf0001(spark, chunk):
-    from tidemark.plans.check import compare, duck
+    from oracle_check import compare, duck
     keys = sorted(registry.REG)[chunk::4]
     res = compare(spark, SF001, keys, duck(SF001))
     bad = {k: v for k, v in res.items() if v[0] not in ("OK", "NO-SQL")}
     assert not bad, bad
+
+
+def test_refresh_forgets_written_tables(spark):
+    registry.raw_tables(spark, SF001)
+    assert registry._raw
+    registry.refresh()
+    assert not registry._raw and not registry._marts and not registry._written

@@ -46,6 +46,9 @@ def to_number(c) -> Column:
 
 
 def to_int(c) -> Column:
-    """Text -> INT via DOUBLE ('3.0' is 3); fractional or bad values -> null."""
-    d = to_number(c)
-    return F.when(d == F.floor(d), d).try_cast("int")
+    """Text -> BIGINT; a fraction is rounded, half away from zero ('3.0' is 3, '3.7' is 4); bad values -> null.
+
+    The way over DECIMAL keeps every 64-bit count exact (a DOUBLE holds 53 bits).
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(strip_text(c).try_cast("decimal(38,6)"), 0).try_cast("bigint")

@@ -126,7 +126,7 @@ def generate_campaigns(anchors: DataFrame, n: int = 50, share: float = 0.6, seed
     ordinal = F.row_number().over(Window.orderBy(F.col("generation_type"), "_draw"))  # n rows only
     funnel = campaign_funnel(draw_parameters(sample))
     return funnel.select(
-        F.concat(F.lit("CMP_"), F.lpad(ordinal.cast("string"), 3, "0")).alias("campaign_id"),
+        F.format_string("CMP_%03d", ordinal).alias("campaign_id"),
         "spotify_id", "track_name", "artists", "country", "snapshot_date", "campaign_start_date",
         "campaign_end_date", "channel", "spend_eur", "impressions", "clicks", "ctr", "conversion_rate",
         "attributed_streams", "generation_type")

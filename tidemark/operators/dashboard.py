@@ -20,8 +20,14 @@ def filter_guard(f: DashboardFilter) -> DashboardFilter:
     return f
 
 
+def _in_markets(df: DataFrame, f: DashboardFilter) -> DataFrame:
+    """No list selects every market that has a name; rows without one are never shown."""
+    country = F.col("country")
+    return df.where(country.isNotNull() if f.countries is None else country.isin(list(f.countries)))
+
+
 def _in_range(df: DataFrame, f: DashboardFilter, col: str = "chart_week") -> DataFrame:
-    out = df if f.countries is None else df.where(F.col("country").isin(list(f.countries)))
+    out = _in_markets(df, f)
     if f.start is not None:
         out = out.where(F.col(col).between(F.lit(f.start).cast("date"), F.lit(f.end).cast("date")))
     return out
@@ -39,8 +45,7 @@ def filter_mkt(mkt: DataFrame, f: DashboardFilter) -> DataFrame:
 
 def filter_camp(camp: DataFrame, f: DashboardFilter) -> DataFrame:
     """``dash_filter_camp``: markets only — the campaign tab has no date filter."""
-    filter_guard(f)
-    return camp if f.countries is None else camp.where(F.col("country").isin(list(f.countries)))
+    return _in_markets(camp, filter_guard(f))
 
 
 def date_bounds(rep: DataFrame) -> DataFrame:

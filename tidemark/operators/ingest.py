@@ -42,6 +42,9 @@ CAMPAIGN_COLUMNS = ("CAMPAIGN_ID", "SPOTIFY_ID", "TRACK_NAME", "ARTISTS", "COUNT
 CAMPAIGN_KEYS = ("CAMPAIGN_ID", "SPOTIFY_ID", "COUNTRY", "SNAPSHOT_DATE")
 
 
+NO_DATE = "the chart file has no row with a date that can be read"
+
+
 def max_date(raw: DataFrame, col: str = "snapshot_date") -> DataFrame:
     """``ing_max_date``: latest parsable date over ALL rows (one-row DataFrame)."""
     return raw.agg(F.max(parse_date(col)).alias("max_date"))
@@ -51,10 +54,15 @@ def require_max_date(raw: DataFrame, col: str = "snapshot_date"):
     """The max date as a Python value; raises when no row has a valid date."""
     value = max_date(raw, col).first()["max_date"]
     if value is None:
-        raise ValueError("Could not find a valid snapshot_date in the CSV.")
+        raise ValueError(NO_DATE)
     return value
 
 
+def checked_bounds(raw: DataFrame, col: str = "snapshot_date") -> DataFrame:
+    """``max_date`` that fails when the query runs if no row has a valid date (lazy, no extra job)."""
+    return max_date(raw, col).select(F.coalesce("max_date", F.raise_error(F.lit(NO_DATE)).cast("date")).alias("max_date"))
+
+
 def strip_columns(raw: DataFrame, columns: Sequence[str] = CHART_TEXT_COLUMNS) -> DataFrame:
     """``ing_strip_text``: strip Unicode whitespace from the listed text columns."""
     return raw.withColumns({c: strip_text(c) for c in columns if c in raw.columns})
@@ -100,7 +108,7 @@ def date_window(df: DataFrame, bounds: DataFrame, days_back: int, col: str = "sn
 
 def to_numeric(df: DataFrame, ints: Sequence[str] = CHART_INT_COLUMNS,
                floats: Sequence[str] = CHART_FLOAT_COLUMNS) -> DataFrame:
-    """``ing_to_numeric``: bad numbers become null; INTEGER columns via DOUBLE."""
+    """``ing_to_numeric``: bad numbers become null; whole-number columns are rounded to 64 bits."""
     cols = {c: to_int(c) for c in ints}
     cols.update({c: to_number(c) for c in floats})
     return df.withColumns(cols)
@@ -114,7 +122,7 @@ def project_order(df: DataFrame, columns: Sequence[str] = CHART_COLUMNS) -> Data
 def clean_charts(raw: DataFrame, markets: Sequence[str] | None = None,
                  t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """The whole chart cleaning: strip, upper, dates, keys, markets, window, numbers, order."""
-    bounds = max_date(raw)
+    bounds = checked_bounds(raw)
     df = parse_dates(upper_country(strip_columns(raw)))
     df = drop_missing_keys(df)
     df = market_filter(df, markets if markets is not None else t.ingest_markets)
@@ -128,7 +136,7 @@ def clean_campaigns(raw: DataFrame) -> DataFrame:
     df = df.withColumn("COUNTRY", F.upper(F.col("COUNTRY")))
     df = df.withColumns({c: parse_date(c) for c in CAMPAIGN_DATE_COLUMNS})
     df = df.withColumns({c: to_number(c) for c in CAMPAIGN_FLOAT_COLUMNS})
-    df = df.withColumns({c: to_int(c).cast("long") for c in CAMPAIGN_LONG_COLUMNS})
+    df = df.withColumns({c: to_int(c) for c in CAMPAIGN_LONG_COLUMNS})
     return df.dropna(subset=list(CAMPAIGN_KEYS)).select(*CAMPAIGN_COLUMNS)
 
 
@@ -141,7 +149,7 @@ def anchors_from_filtered(filtered: DataFrame) -> DataFrame:
     required = ["SPOTIFY_ID", "NAME", "ARTISTS", "COUNTRY", "SNAPSHOT_DATE", "DAILY_MOVEMENT"]
     missing = [c for c in required if c not in filtered.columns]
     if missing:
-        raise ValueError("Missing required columns: " + ", ".join(missing))
+        raise ValueError("the anchor file lacks: " + ", ".join(missing))
     df = filtered.withColumns({"SNAPSHOT_DATE": parse_date("SNAPSHOT_DATE"),
                                "ALBUM_RELEASE_DATE": parse_date("ALBUM_RELEASE_DATE")})
     df = df.dropna(subset=["SPOTIFY_ID", "COUNTRY", "SNAPSHOT_DATE"])

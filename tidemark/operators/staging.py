@@ -17,9 +17,8 @@ def _as(c: str, type_: str):
 
 
 def _int(c: str):
-    # CAST(x AS INTEGER) of a value that may arrive as '3' or '3.0'.
-    d = F.col(c).cast("string").try_cast("double")
-    return F.when(d == F.floor(d), d).try_cast("int")
+    # A whole number of 64 bits from '3', '3.0' or '3.7' (rounded half away from zero).
+    return F.round(F.col(c).cast("string").try_cast("decimal(38,6)"), 0).try_cast("bigint")
 
 
 def stage_charts(raw: DataFrame, drop_blank_keys: bool = False) -> DataFrame:
@@ -74,9 +73,9 @@ def stage_campaigns(raw: DataFrame) -> DataFrame:
                     _as("CAMPAIGN_END_DATE", "date").alias("campaign_end_date"),
                     _trim("CHANNEL").alias("channel"),
                     _as("SPEND_EUR", "double").alias("spend_eur"),
-                    _int("IMPRESSIONS").cast("long").alias("impressions"),
-                    _int("CLICKS").cast("long").alias("clicks"),
+                    _int("IMPRESSIONS").alias("impressions"),
+                    _int("CLICKS").alias("clicks"),
                     _as("CTR", "double").alias("ctr"),
                     _as("CONVERSION_RATE", "double").alias("conversion_rate"),
-                    _int("ATTRIBUTED_STREAMS").cast("long").alias("attributed_streams"),
+                    _int("ATTRIBUTED_STREAMS").alias("attributed_streams"),
                     _trim("GENERATION_TYPE").alias("generation_type")))

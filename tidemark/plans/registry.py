@@ -39,8 +39,9 @@ from tidemark.sources.tables import read_table
 ROUND_DIGITS = 9
 KEYS3 = ["spotify_id", "country", "chart_week"]
 
-# Dashboard selection used by the filter queries: every market, a date range.
-RANGE_FILTER = DashboardFilter(countries=None, start="1996-01-01", end="1999-12-31")
+# Dashboard selection used by the filter queries: some markets, a date range.
+PICKED = tuple(f"NATION_{i}" for i in (1, 3, 5, 7, 9, 20))
+RANGE_FILTER = DashboardFilter(countries=PICKED, start="1996-01-01", end="1999-12-31")
 ALL = DashboardFilter()
 
 
@@ -86,7 +87,6 @@ RAW_CHART_NAMES = dict(zip(
 RAW_CAMPAIGN_NAMES = dict(zip(C.CAMPAIGN_COLUMNS, I.CAMPAIGN_COLUMNS))
 
 _SQL_RAW_CSV = ", ".join(f"CAST({src} AS VARCHAR) AS {dst}" for src, dst in RAW_CHART_NAMES.items())
-_SQL_RAW_TABLE = ", ".join(f"CAST({src} AS VARCHAR) AS {dst.upper()}" for src, dst in RAW_CHART_NAMES.items())
 _SQL_RAW_CAMP = ", ".join(f"CAST({src} AS VARCHAR) AS {dst}" for src, dst in RAW_CAMPAIGN_NAMES.items())
 
 _written: dict[tuple, str] = {}
@@ -106,21 +106,28 @@ def _once(spark, sf, name, make: Callable[[], DataFrame], writer=FS.write_csv) -
         return _written[key]
 
 
+def _raw_chart_text(spark, sf) -> DataFrame:
+    return binding.soiled_charts(FS.as_text(binding.chart_rows(spark, sf), RAW_CHART_NAMES))
+
+
+def _raw_chart_path(spark, sf) -> str:
+    return _once(spark, sf, "raw_charts_csv", lambda: _raw_chart_text(spark, sf))
+
+
 def raw_chart_csv(spark, sf) -> DataFrame:
     """The chart rows written as a raw CSV (reference column names) and read back."""
-    path = _once(spark, sf, "raw_charts_csv", lambda: FS.as_text(binding.chart_rows(spark, sf), RAW_CHART_NAMES))
-    return FS.read_csv(spark, path, I.CHART_COLUMNS)
+    return FS.read_csv(spark, _raw_chart_path(spark, sf), I.CHART_COLUMNS)
 
 
 def raw_campaign_csv(spark, sf) -> DataFrame:
     path = _once(spark, sf, "raw_campaigns_csv",
-                 lambda: FS.as_text(binding.campaign_rows(spark, sf), RAW_CAMPAIGN_NAMES))
+                 lambda: binding.soiled_campaigns(FS.as_text(binding.campaign_rows(spark, sf), RAW_CAMPAIGN_NAMES)))
     return FS.read_csv(spark, path, I.CAMPAIGN_COLUMNS)
 
 
 def raw_chart_table(spark, sf) -> DataFrame:
     """The raw chart table as loaded (upper-case names, text values)."""
-    return FS.as_text(binding.chart_rows(spark, sf), {k: v.upper() for k, v in RAW_CHART_NAMES.items()})
+    return _raw_chart_text(spark, sf).select(*[F.col(c).alias(c.upper()) for c in RAW_CHART_NAMES.values()])
 
 
 def markets(spark, sf) -> DataFrame:
@@ -145,6 +152,17 @@ class RawTables:
 _raw: dict[tuple, RawTables] = {}
 
 
+def refresh() -> None:
+    """Forget every written table: the next query reads its inputs anew.
+
+    Call it after rewriting input files in a running session; the memos are
+    keyed by application and folder only.
+    """
+    with _build_lock:
+        for memo in (_written, _raw, _marts):
+            memo.clear()
+
+
 def raw_tables(spark, sf) -> RawTables:
     key = (_app(spark), os.path.abspath(sf))
     with _build_lock:
@@ -190,9 +208,26 @@ def marts(spark, sf) -> MartTables:
         return _marts[key]
 
 
-O.CTES["raw_csv"] = f"\n  SELECT {_SQL_RAW_CSV} FROM charts"
-O.CTES["raw_table"] = f"\n  SELECT {_SQL_RAW_TABLE} FROM charts"
-O.CTES["raw_camp"] = f"\n  SELECT {_SQL_RAW_CAMP} FROM campaigns"
+O.CTES["raw_csv"] = f"""
+  SELECT * EXCLUDE (k) REPLACE (
+    CASE k WHEN 1 THEN NULL WHEN 2 THEN '  ' || spotify_id || ' ' ELSE spotify_id END AS spotify_id,
+    CASE k WHEN 3 THEN chr(9) || name || ' ' ELSE name END AS name,
+    CASE k WHEN 4 THEN ' ' || lower(country) WHEN 5 THEN 'ATLANTIS' ELSE country END AS country,
+    CASE k WHEN 6 THEN 'not a date' WHEN 7 THEN NULL ELSE snapshot_date END AS snapshot_date,
+    CASE k WHEN 8 THEN '1999' ELSE album_release_date END AS album_release_date,
+    CASE k WHEN 9 THEN daily_rank || '.7' WHEN 10 THEN 'n/a' ELSE daily_rank END AS daily_rank,
+    CASE k WHEN 11 THEN '3000000000' ELSE duration_ms END AS duration_ms)
+  FROM (SELECT {_SQL_RAW_CSV}, (dayofyear(charts.snapshot_date) * 31 + charts.daily_rank * 7) % 97 AS k FROM charts) x"""
+O.CTES["raw_table"] = "\n  SELECT " + ", ".join(f"{c} AS {c.upper()}" for c in RAW_CHART_NAMES.values()) + " FROM raw_csv"
+O.CTES["raw_camp"] = f"""
+  SELECT * EXCLUDE (k) REPLACE (
+    CASE k WHEN 1 THEN NULL WHEN 2 THEN 'CMP_SAME' ELSE CAMPAIGN_ID END AS CAMPAIGN_ID,
+    CASE k WHEN 3 THEN ' ' || lower(COUNTRY) ELSE COUNTRY END AS COUNTRY,
+    CASE k WHEN 4 THEN 'not a date' ELSE SNAPSHOT_DATE END AS SNAPSHOT_DATE,
+    CASE k WHEN 5 THEN '3000000000' ELSE IMPRESSIONS END AS IMPRESSIONS,
+    CASE k WHEN 6 THEN ATTRIBUTED_STREAMS || '.5' ELSE ATTRIBUTED_STREAMS END AS ATTRIBUTED_STREAMS,
+    CASE k WHEN 7 THEN 'free' ELSE SPEND_EUR END AS SPEND_EUR)
+  FROM (SELECT {_SQL_RAW_CAMP}, (campaigns.clicks // 2) % 97 AS k FROM campaigns) x"""
 _STRIP = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 O.CTES["ing_clean"] = "\n  SELECT " + ", ".join(
     (f"upper({_STRIP.format(c=c)}) AS {c}" if c == "country" else
@@ -210,12 +245,16 @@ O.CTES["ing_window"] = """
     AND snapshot_date <= (SELECT max_date FROM ing_bounds)"""
 
 
+def whole(c: str) -> str:
+    """Text -> BIGINT, a fraction rounded half away from zero."""
+    return f"TRY_CAST(ROUND(TRY_CAST({c} AS DECIMAL(38,6))) AS BIGINT)"
+
+
 def _num_sql(c):
-    d = f"TRY_CAST({_STRIP.format(c=c)} AS DOUBLE)"
     if c in I.CHART_INT_COLUMNS:
-        return f"CASE WHEN {d} = FLOOR({d}) THEN TRY_CAST({d} AS INTEGER) END AS {c}"
+        return f"{whole(_STRIP.format(c=c))} AS {c}"
     if c in I.CHART_FLOAT_COLUMNS:
-        return f"{d} AS {c}"
+        return f"TRY_CAST({_STRIP.format(c=c)} AS DOUBLE) AS {c}"
     return c
 
 
@@ -224,9 +263,7 @@ O.CTES["ing_out"] = "\n  SELECT " + ", ".join(f"{c} AS {c.upper()}" for c in I.C
 
 
 def _stg_chart_sql(src: str) -> str:
-    def i(c):
-        d = f"TRY_CAST({c} AS DOUBLE)"
-        return f"CASE WHEN {d} = FLOOR({d}) THEN TRY_CAST({d} AS INTEGER) END"
+    i = whole
     dt = lambda c: f"CAST(TRY_STRPTIME(CAST({c} AS VARCHAR), '%Y-%m-%d') AS DATE)"
     dbl = lambda c: f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)"
     return f"""
@@ -246,11 +283,6 @@ def _stg_chart_sql(src: str) -> str:
 
 
 O.CTES["stg_c"] = _stg_chart_sql("raw_table")
-def whole(c: str) -> str:
-    """Text -> BIGINT when it is a whole number, else NULL (as the Spark side)."""
-    d = f"TRY_CAST({c} AS DOUBLE)"
-    return f"CAST(CASE WHEN {d} = FLOOR({d}) THEN TRY_CAST({d} AS INTEGER) END AS BIGINT)"
-
 
 O.CTES["stg_camp"] = f"""
   SELECT TRIM(CAMPAIGN_ID, ' ') AS campaign_id, TRIM(SPOTIFY_ID, ' ') AS spotify_id,
@@ -273,7 +305,7 @@ O.CTES["stg_camp"] = f"""
 # ----------------------------------------------------------------------------
 @q("src_table_ref", "SELECT * FROM charts")
 def src_table_ref(spark, sf):
-    return binding.chart_rows(spark, sf)
+    return raw_tables(spark, sf).charts
 
 
 @q("src_chart_csv", "SELECT * FROM raw_csv")
@@ -308,10 +340,8 @@ def sink_raw_table(spark, sf):
 
 @q("sink_mart", "SELECT * FROM rep")
 def sink_mart(spark, sf):
-    """The repertoire mart written as a table partitioned by ``chart_week``, read back."""
-    path = _once(spark, sf, "mart_repertoire", lambda: _m(spark, sf).rep,
-                 lambda df, p: FS.write_table(df, p, ["chart_week"]))
-    return spark.read.parquet(path).select(*M.REP_COLUMNS)
+    """The repertoire mart as written (a table partitioned by ``chart_week``), read back."""
+    return marts(spark, sf).rep
 
 
 # ----------------------------------------------------------------------------
@@ -375,7 +405,7 @@ def ing_project_order(spark, sf):
 def stream_ingest_charts(spark, sf):
     """The chart file ingested by a file stream (one micro-batch per CSV part)."""
     from tidemark.streaming.ingest_stream import ingest_charts_stream, stream_paths
-    raw_path = _once(spark, sf, "raw_charts_csv", lambda: FS.as_text(binding.chart_rows(spark, sf), RAW_CHART_NAMES))
+    raw_path = _raw_chart_path(spark, sf)
     key = (_app(spark), os.path.abspath(sf), "stream_ingest")
     with _build_lock:
         if key not in _written:
@@ -390,13 +420,11 @@ def ing_filtered_count(spark, sf):
     return ingested(spark, sf).agg(F.count(F.lit(1)).alias("filtered_rows"))
 
 
-@q("ing_campaigns", "SELECT * REPLACE (" + ", ".join(
-    f"CAST(CASE WHEN {c} = FLOOR({c}) THEN TRY_CAST({c} AS INTEGER) END AS BIGINT) AS {c}"
-    for c in I.CAMPAIGN_LONG_COLUMNS) + ") FROM ("
-   "SELECT " + ", ".join(
+@q("ing_campaigns", "SELECT * FROM (SELECT " + ", ".join(
        (f"upper({_STRIP.format(c=c)}) AS {c}" if c == "COUNTRY" else
         f"{_STRIP.format(c=c)} AS {c}" if c in I.CAMPAIGN_TEXT_COLUMNS else
         f"CAST(TRY_STRPTIME({_STRIP.format(c=c)}, '%Y-%m-%d') AS DATE) AS {c}" if c in I.CAMPAIGN_DATE_COLUMNS else
+        f"{whole(_STRIP.format(c=c))} AS {c}" if c in I.CAMPAIGN_LONG_COLUMNS else
         f"TRY_CAST({_STRIP.format(c=c)} AS DOUBLE) AS {c}")
        for c in I.CAMPAIGN_COLUMNS) + " FROM raw_camp) x "
    "WHERE CAMPAIGN_ID IS NOT NULL AND SPOTIFY_ID IS NOT NULL AND COUNTRY IS NOT NULL AND SNAPSHOT_DATE IS NOT NULL")
@@ -581,8 +609,8 @@ def control_market_growth(spark, sf):
 
 @q("join_control_back", "SELECT * EXCLUDE (cost_per_stream, roas_proxy) FROM cmetrics")
 def join_control_back(spark, sf):
-    m = _m(spark, sf)
-    return C.join_control_back(m.campaigns, m.life)
+    t = marts(spark, sf)
+    return C.join_control_back(t.models.campaigns, t.life_full)
 
 
 @q("cost_per_stream", "SELECT campaign_id, spend_eur / CAST(NULLIF(attributed_streams, 0) AS DOUBLE) "
@@ -634,7 +662,8 @@ def mart_campaign_performance(spark, sf):
 # ----------------------------------------------------------------------------
 # 2.4 / 2.9 Dashboard
 # ----------------------------------------------------------------------------
-_RANGE_SQL = "chart_week BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"
+_PICKED_SQL = "country IN (" + ", ".join(f"'{c}'" for c in PICKED) + ")"
+_RANGE_SQL = f"{_PICKED_SQL} AND chart_week BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"
 
 
 @q("dash_filter_rep", f"SELECT * FROM rep WHERE {_RANGE_SQL}")
@@ -647,9 +676,9 @@ def dash_filter_mkt(spark, sf):
     return D.filter_mkt(marts(spark, sf).mkt, RANGE_FILTER)
 
 
-@q("dash_filter_camp", "SELECT * FROM camp")
+@q("dash_filter_camp", f"SELECT * FROM camp WHERE {_PICKED_SQL}")
 def dash_filter_camp(spark, sf):
-    return D.filter_camp(marts(spark, sf).camp, ALL)
+    return D.filter_camp(marts(spark, sf).camp, DashboardFilter(countries=PICKED))
 
 
 @q("dash_date_bounds", "SELECT MIN(chart_week) AS min_date, MAX(chart_week) AS max_date FROM life")
@@ -766,6 +795,11 @@ def val_preview(spark, sf):
     return Q.preview(marts(spark, sf).charts, ["spotify_id", "country", "snapshot_date"])
 
 
+@q("val_preview_campaigns", "SELECT * FROM campaigns ORDER BY campaign_id LIMIT 10")
+def val_preview_campaigns(spark, sf):
+    return Q.preview(marts(spark, sf).campaigns, ["campaign_id"])
+
+
 @q("campaign_orphans", "SELECT c.* FROM campaigns c WHERE NOT EXISTS (SELECT 1 FROM charts s "
    "WHERE s.spotify_id = c.spotify_id AND s.country = c.country AND s.snapshot_date = c.snapshot_date)")
 def campaign_orphans(spark, sf):
@@ -860,6 +894,8 @@ def campaign_funnel(spark, sf):
 # ----------------------------------------------------------------------------
 # 2.12 Data quality
 # ----------------------------------------------------------------------------
+# the staged tables carry the faults of the raw text
+_STAGED = {"charts": "stg_c", "campaigns": "stg_camp"}
 NOT_NULL = {
     "charts": ("spotify_id", "country", "snapshot_date"),
     "campaigns": ("campaign_id", "spotify_id", "country", "snapshot_date"),
@@ -873,15 +909,15 @@ NOT_NULL = {
 
 
 def _frames(spark, sf) -> dict[str, DataFrame]:
-    """Tables the checks run on: the built raw tables and marts; views computed over them."""
+    """Tables the checks run on: the staged raw text, the marts, and views computed over them."""
     t = marts(spark, sf)
-    return {"charts": t.charts, "campaigns": t.campaigns, "weekly": t.models.weekly, "growth": t.models.growth,
+    return {"charts": stg_charts(spark, sf), "campaigns": stg_campaigns(spark, sf), "weekly": t.models.weekly, "growth": t.models.growth,
             "life": t.life, "rep": t.rep, "mkt": t.mkt, "camp": t.camp}
 
 
 @q("dq_not_null", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'not_null' AS check_name, "
-    f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS failing_rows FROM {t}"
+    f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS failing_rows FROM {_STAGED.get(t, t)}"
     for t, cols in NOT_NULL.items() for c in cols))
 def dq_not_null(spark, sf):
     fr = _frames(spark, sf)
@@ -893,7 +929,8 @@ _UNIQUE = (("campaigns", "campaign_id"), ("camp", "campaign_id"))
 
 @q("dq_unique", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS check_name, COUNT(*) AS failing_rows "
-    f"FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d" for t, c in _UNIQUE))
+    f"FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d" for t, c in _UNIQUE)
+   .replace("FROM campaigns", "FROM stg_camp"))
 def dq_unique(spark, sf):
     fr = _frames(spark, sf)
     return Q.union_all([Q.unique(fr[t], t, c) for t, c in _UNIQUE])

@@ -90,6 +90,38 @@ def chart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def soiled_charts(raw: DataFrame) -> DataFrame:
+    """Raw chart text with faults in about one row of twelve, placed by key arithmetic.
+
+    Padded, lower-case and unknown markets, missing keys, dates that cannot be
+    read or are partial, ranks with a fraction, durations beyond 32 bits.
+    """
+    k = (F.dayofyear(F.col("snapshot_date").cast("date")) * 31 + F.col("daily_rank").cast("int") * 7) % 97
+    c = F.col
+    return raw.withColumn("_k", k).withColumns({
+        "spotify_id": F.when(c("_k") == 1, F.lit(None)).when(c("_k") == 2, F.concat(F.lit("  "), c("spotify_id"), F.lit(" "))).otherwise(c("spotify_id")),
+        "name": F.when(c("_k") == 3, F.concat(F.lit("\t"), c("name"), F.lit(" "))).otherwise(c("name")),
+        "country": F.when(c("_k") == 4, F.concat(F.lit(" "), F.lower("country"))).when(c("_k") == 5, F.lit("ATLANTIS")).otherwise(c("country")),
+        "snapshot_date": F.when(c("_k") == 6, F.lit("not a date")).when(c("_k") == 7, F.lit(None)).otherwise(c("snapshot_date")),
+        "album_release_date": F.when(c("_k") == 8, F.lit("1999")).otherwise(c("album_release_date")),
+        "daily_rank": F.when(c("_k") == 9, F.concat(c("daily_rank"), F.lit(".7"))).when(c("_k") == 10, F.lit("n/a")).otherwise(c("daily_rank")),
+        "duration_ms": F.when(c("_k") == 11, F.lit("3000000000")).otherwise(c("duration_ms")),
+    }).drop("_k")
+
+
+def soiled_campaigns(raw: DataFrame) -> DataFrame:
+    """Raw campaign text with faults placed by key arithmetic: as for charts, and ids that repeat."""
+    c = F.col
+    return raw.withColumn("_k", (c("CLICKS").cast("bigint") / 2).cast("bigint") % 97).withColumns({
+        "CAMPAIGN_ID": F.when(c("_k") == 1, F.lit(None)).when(c("_k") == 2, F.lit("CMP_SAME")).otherwise(c("CAMPAIGN_ID")),
+        "COUNTRY": F.when(c("_k") == 3, F.concat(F.lit(" "), F.lower("COUNTRY"))).otherwise(c("COUNTRY")),
+        "SNAPSHOT_DATE": F.when(c("_k") == 4, F.lit("not a date")).otherwise(c("SNAPSHOT_DATE")),
+        "IMPRESSIONS": F.when(c("_k") == 5, F.lit("3000000000")).otherwise(c("IMPRESSIONS")),
+        "ATTRIBUTED_STREAMS": F.when(c("_k") == 6, F.concat(c("ATTRIBUTED_STREAMS"), F.lit(".5"))).otherwise(c("ATTRIBUTED_STREAMS")),
+        "SPEND_EUR": F.when(c("_k") == 7, F.lit("free")).otherwise(c("SPEND_EUR")),
+    }).drop("_k")
+
+
 def campaign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged campaign rows (the 16 columns of ``stg_campaigns``)."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"])

@@ -25,17 +25,16 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str],
-             pandas_null_tokens: bool = False, multiline: bool = True) -> DataFrame:
+             pandas_null_tokens: bool = False, multiline: bool = False) -> DataFrame:
     """``src_chart_csv`` / ``src_campaign_csv``: header CSV, every column as text.
 
     Quoted fields may hold commas and (with ``multiline``) line breaks.
     Empty fields are null; with ``pandas_null_tokens`` the pandas reader's
     list (NA, None, ...) is null too.
 
-    ``multiline=True`` reads each file whole (one task per file: a folder of
-    many files still reads in parallel).  For one very large file without
-    quoted line breaks, ``multiline=False`` lets Spark split it by
-    ``spark.sql.files.maxPartitionBytes``.
+    By default one large file is split by ``spark.sql.files.maxPartitionBytes``.
+    A file with quoted line breaks needs ``multiline=True``, which reads each
+    file whole in one task.
     """
     df = (spark.read.schema(string_schema(columns))
           .option("header", True).option("escape", '"').option("multiLine", multiline)
@@ -47,8 +46,9 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str],
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """``sink_filtered_csv``: replace the file set, header in every part."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """``sink_filtered_csv``: replace the file set, header in every part; values keep their outer spaces."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

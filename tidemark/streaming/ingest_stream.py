@@ -25,9 +25,9 @@ from tidemark.params import DEFAULT_THRESHOLDS, Thresholds
 from tidemark.sources.files import read_csv, string_schema
 
 
-def window_bounds(spark: SparkSession, raw_path: str, t: Thresholds = DEFAULT_THRESHOLDS):
+def window_bounds(spark: SparkSession, raw_path: str, t: Thresholds = DEFAULT_THRESHOLDS, multiline: bool = False):
     """Pass 1 (batch): (start, end) of the ingest window; raises without a valid date."""
-    end = I.require_max_date(read_csv(spark, raw_path, I.CHART_COLUMNS))
+    end = I.require_max_date(read_csv(spark, raw_path, I.CHART_COLUMNS, multiline=multiline))
     return F.date_sub(F.lit(end), t.ingest_days_back), F.lit(end)
 
 
@@ -45,12 +45,12 @@ def clean_stream(raw: DataFrame, markets, start, end) -> DataFrame:
 
 def ingest_charts_stream(spark: SparkSession, raw_path: str, out_path: str, checkpoint: str,
                          markets: Sequence[str] | DataFrame | None = None, files_per_trigger: int = 1,
-                         t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+                         t: Thresholds = DEFAULT_THRESHOLDS, multiline: bool = False) -> DataFrame:
     """Run the ingestion stream over everything in ``raw_path`` (trigger
     ``availableNow``), wait for it, and return the cleaned table."""
-    start, end = window_bounds(spark, raw_path, t)
+    start, end = window_bounds(spark, raw_path, t, multiline)
     raw = (spark.readStream.schema(string_schema(I.CHART_COLUMNS))
-           .option("header", True).option("escape", '"').option("multiLine", True)
+           .option("header", True).option("escape", '"').option("multiLine", multiline)
            .option("maxFilesPerTrigger", files_per_trigger)
            .csv(raw_path))
     cleaned = clean_stream(raw, markets if markets is not None else t.ingest_markets, start, end)
