@@ -65,6 +65,19 @@ def test_substring_dedup(spark, docs):
     assert substring_dedup.substring_dedup(docs.limit(0)).count() == 0
 
 
+def test_substring_repeats_inside_one_document(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passage = fresh(20)
+    source, twice = fresh(5) + passage, passage + fresh(30) + passage + fresh(7) + passage[:13]
+    rows = [(1, " ".join(source)), (2, " ".join(twice))]
+    # one partition each: the document that holds the passage more than once is the first in its chunk
+    parts = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(parts).collect()}
+    assert (got[1].n_removed, got[2].n_removed) == (0, 53)
+    assert got[2].kept_text == " ".join(twice[20:50] + twice[70:77])
+
+
 def test_near_duplicates(spark, docs):
     bags = {}
     for i, t in table(docs):

@@ -8,9 +8,11 @@ with a smaller id is a repeat, and its *source coordinates* are the first
 1. *Edges* (``_edge_blobs``).  Each task hashes its documents' edges with numpy.
    Consecutive edges that share a minimiser (the least hash among their 5-word
    parts) travel to the same bucket, so repeats arrive in runs.  A task
-   pre-aggregates first: of equal edges it sends only the first one, so a
-   passage held by a third of all documents is sent once per task.  An edge
-   costs about 9 bytes of shuffle.
+   pre-aggregates first: of equal edges it sends only those of the first
+   document, so a passage held by a third of all documents is sent once per
+   task.  That document's further places of the edge go too, since another
+   task may hold the edge in a smaller document.  An edge costs about 9 bytes of
+   shuffle.
 2. *Repeats* (``_repeats``).  Each bucket finds the source coordinates of its
    edges; consecutive repeats with consecutive sources leave as one piece.
 3. *Paths* (``_join_pieces``).  Pieces are shuffled by document and joined into
@@ -115,7 +117,7 @@ def _edge_blobs(k: int, buckets: int):
         src = first[again]
         pieces = _runs(doc[again], start[again], doc[src], start[src])
         to = (mix(low) % np.uint64(buckets)).astype(np.int32)
-        send = np.flatnonzero(first == np.arange(len(h)))
+        send = np.flatnonzero(doc == doc[first])
         send = send[np.argsort(to[send], kind="stable")]
         cuts = np.searchsorted(to[send], np.arange(buckets + 1))
         piece_cuts = np.linspace(0, len(pieces), buckets + 1).astype(int)
