@@ -272,6 +272,23 @@ def test_embedding_links(spark):
     assert all((got[i].n_links, got[i].component_id) == (0, i) for i in (901, 902, 903, 904))
 
 
+def embedding_rows(spark, x):
+    return spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+
+
+def test_embedding_links_between_dense_groups(spark):
+    rng = np.random.default_rng(6)
+    first, side = np.linalg.qr(rng.standard_normal((16, 2)))[0].T
+    angle = np.arccos(0.985)
+    centres = [first, np.cos(angle) * first + np.sin(angle) * side, -first]
+    x = np.concatenate([c + 0.004 * rng.standard_normal((40, 16)) for c in centres]).astype(np.float32)
+    v = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    link = (v @ v.T >= 0.98) & ~np.eye(len(v), dtype=bool)
+    assert link[:40, 40:80].any() and (v[:40] @ v[:40].T).min() > 0.998
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(embedding_rows(spark, x)).collect()}
+    assert got == {i: (n, 0 if i < 80 else 80, i in (0, 80)) for i, n in enumerate(link.sum(1))}
+
+
 def test_html_extraction(spark):
     def page(i):
         body = "".join(f"<p>Paragraph {j} of page {i} says &amp; explains\n several things, in whole sentences." for j in range(4))

@@ -16,7 +16,12 @@ precision, is at least 0.98.
 4. *Saturated lists.*  A list full of links may have lost some.  All nodes of a
    component with a saturated list get lists as long as the component: it is
    compared block by block, and only counts leave a block.
-5. *Audit.*  A fixed number of nodes, first by hash, is compared with all
+5. *Joining components.*  A link can only miss both lists if both are full of
+   better links, as between two dense groups.  Such nodes are hashed again, at
+   most ``REPS`` of a component per bucket; components with members above
+   ``floor`` are compared whole, block by block, and each block hands over
+   one link per pair of components.
+6. *Audit.*  A fixed number of nodes, first by hash, is compared with all
    vectors; while the recall of links is below ``target``, another set of
    tables is added to the graph.
 
@@ -37,7 +42,7 @@ from tidemark.llm.components import components
 from tidemark.llm.tables import partitions, written
 
 COSINE, FLOOR = 0.98, 0.90
-K, TABLES, RUN, BLOCK = 16, 12, 256, 512
+K, TABLES, RUN, BLOCK, REPS = 16, 12, 256, 512, 16
 MAX_BITS = 30
 ROUNDS, AUDIT, TARGET, MORE = 4, 256, 0.99, 4
 
@@ -53,7 +58,7 @@ def _planes(dim: int, table: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64([dim, table])).standard_normal((MAX_BITS + 1, dim))
 
 
-def _codes(first_table: int, tables: int):
+def _codes(first_table: int, tables: int, extra: tuple[str, ...] = ()):
     def run(batches):
         for batch in batches:
             dims = batch.column("dim").to_numpy()
@@ -65,8 +70,8 @@ def _codes(first_table: int, tables: int):
                     code = ((side[:, :MAX_BITS] > 0) @ (1 << np.arange(MAX_BITS, dtype=np.int64))) & ((np.int64(1) << bits) - 1)
                     yield pa.RecordBatch.from_arrays(
                         [*[part.column(c) for c in ("label", "dim")], pa.array(np.full(len(x), t, np.int32)), pa.array(code),
-                         pa.array(side[:, MAX_BITS]), part.column("node"), part.column("embedding")],
-                        names=["label", "dim", "turn", "code", "spot", "node", "embedding"])
+                         pa.array(side[:, MAX_BITS]), *[part.column(c) for c in ("node", "embedding", *extra)]],
+                        names=["label", "dim", "turn", "code", "spot", "node", "embedding", *extra])
 
     return run
 
@@ -139,14 +144,23 @@ def _top(edges: DataFrame, k: int) -> DataFrame:
     return both.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
 
 
-def _first_graph(nodes: DataFrame, first_table: int, tables: int) -> DataFrame:
+_BUCKET = ["label", "dim", "turn", "code"]
+_CODED = "label long, dim int, turn int, code long, spot double, node long, embedding array<float>"
+
+
+def _with_bits(nodes: DataFrame) -> DataFrame:
     sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
     bits = F.least(F.greatest(F.ceil(F.log2(F.col("n") / (RUN // 2))), F.lit(0)), F.lit(MAX_BITS)).cast("long")
-    rows = nodes.join(sizes.select("label", "dim", bits.alias("bits")), ["label", "dim"])
-    rows = rows.mapInArrow(_codes(first_table, tables), "label long, dim int, turn int, code long, spot double, node long, embedding array<float>")
-    key = ["label", "dim", "turn", "code"]
-    return rows.repartitionByRange(partitions(nodes), *key, "spot", "node").sortWithinPartitions(*key, "spot", "node") \
-        .mapInArrow(_best(key, K, RUN, FLOOR), _EDGES)
+    return nodes.join(sizes.select("label", "dim", bits.alias("bits")), ["label", "dim"])
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    return rows.repartitionByRange(partitions(rows), *_BUCKET, "spot", "node").sortWithinPartitions(*_BUCKET, "spot", "node")
+
+
+def _first_graph(nodes: DataFrame, first_table: int, tables: int) -> DataFrame:
+    rows = _with_bits(nodes).mapInArrow(_codes(first_table, tables), _CODED)
+    return _in_order(rows).mapInArrow(_best(_BUCKET, K, RUN, FLOOR), _EDGES)
 
 
 def _descend(nodes: DataFrame, lists: DataFrame) -> DataFrame:
@@ -181,6 +195,60 @@ def _component_counts(nodes: DataFrame, members: DataFrame, threshold: float) ->
     return parts.groupBy("node").agg(F.sum("n").alias("n"))
 
 
+def _near_components(batches):
+    """Pairs of components with members above FLOOR in one run."""
+    for t in _runs(batches, _BUCKET, RUN):
+        c, x = t["component"].to_numpy(), _matrix(t["embedding"])
+        i, j = np.nonzero((x @ x.T >= FLOOR) & (c[:, None] < c[None, :]))
+        if len(i):
+            got = np.unique(np.stack([c[i], c[j]]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(got[0]), pa.array(got[1])], names=["c", "d"])
+
+
+def _block_links(threshold: float):
+    """The best link of a block of one component with each component of the other block."""
+    def run(table: pa.Table) -> pa.Table:
+        mine = table["mine"].to_numpy(zero_copy_only=False)
+        if mine.all() or not mine.any():
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        ids, comp, x = table["node"].to_numpy(), table["component"].to_numpy()[~mine], _matrix(table["embedding"])
+        s = x[mine] @ x[~mine].T
+        best, top = s.argmax(0), s.max(0)
+        at = np.flatnonzero(top >= threshold)
+        at = at[np.lexsort((-top[at], comp[at]))]
+        at = at[np.unique(comp[at], return_index=True)[1]]
+        return pa.table({"a": ids[mine][best[at]], "b": ids[~mine][at]})
+
+    return run
+
+
+def _joining(nodes: DataFrame, full: DataFrame, tables: int, threshold: float) -> DataFrame:
+    """Links (a, b) between components of ``full`` (node, component), the nodes with full lists."""
+    hot = written(full.join(nodes.select("node", "label", "dim", "embedding"), "node"), "full")
+    coded = _with_bits(hot).mapInArrow(_codes(0, tables, ("component",)), _CODED + ", component long")
+    # row_number <= k plans as a partial limit per task: a large component is cut before the exchange
+    turn = F.row_number().over(Window.partitionBy(*_BUCKET, "component").orderBy(F.xxhash64("node", "turn"), "node"))
+    some = coded.withColumn("nth", turn).where(F.col("nth") <= REPS).drop("nth")
+    near = written(_in_order(some).mapInArrow(_near_components, "c long, d long").distinct(), "near")
+    sizes = hot.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    c, d = (sizes.select(F.col("component").alias(x), F.col("n").alias(f"n_{x}")) for x in "cd")
+    # the larger one of a pair meets all its smaller ones at once
+    larger = F.col("n_c") >= F.col("n_d")
+    pairs = near.join(c, "c").join(d, "d").select(F.when(larger, F.col("c")).otherwise(F.col("d")).alias("hub"),
+                                                  F.when(larger, F.col("d")).otherwise(F.col("c")).alias("component"),
+                                                  F.greatest("n_c", "n_d").alias("n_hub"), F.least("n_c", "n_d").alias("n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    hubs = pairs.groupBy("hub").agg(blocks(F.max("n_hub")).alias("is"), blocks(F.sum("n")).alias("js"))
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = hot.select("component", "node", "embedding")
+    left = hubs.join(members, F.col("hub") == F.col("component")).withColumn("i", part("is")).withColumn("j", each("js"))
+    right = pairs.select("hub", "component").join(hubs, "hub").join(members, "component").withColumn("j", part("js")).withColumn("i", each("is"))
+    out = ["hub", "i", "j", "component", "node", "embedding"]
+    both = left.select(*out, F.lit(True).alias("mine")).unionByName(right.select(*out, F.lit(False).alias("mine")))
+    return written(both.groupBy("hub", "i", "j").applyInArrow(_block_links(threshold), "a long, b long"), "joining")
+
+
 def _audit(nodes: DataFrame, links: DataFrame, threshold: float) -> float:
     """Recall of links of AUDIT nodes against all vectors."""
     asked = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select("node", "label", "dim", "embedding").collect()
@@ -209,7 +277,7 @@ def _audit(nodes: DataFrame, links: DataFrame, threshold: float) -> float:
     return both["found"] / both["n"] if both["n"] else 1.0
 
 
-def _links(nodes: DataFrame, graph: DataFrame, threshold: float):
+def _links(nodes: DataFrame, graph: DataFrame, tables: int, threshold: float):
     """Descend to a fixed point; (edges kept for a later call, (node, n links), (node, component))."""
     lists, seen = written(_top(graph, K), "lists"), -1
     for _ in range(ROUNDS):
@@ -220,8 +288,11 @@ def _links(nodes: DataFrame, graph: DataFrame, threshold: float):
         lists = written(_top(lists.select("a", "b", "cosine").unionByName(_descend(nodes, lists)), K), "lists")
     links = lists.where(F.col("cosine") >= threshold)
     comp = written(components(links.select("a", "b")), "components")
-    full = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K)
-    dense = comp.join(full, comp.node == full.a).select("component").distinct()
+    full = links.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K).select("node")
+    joining = _joining(nodes, comp.join(full, "node"), tables, threshold)
+    if not joining.isEmpty():
+        comp = written(components(links.select("a", "b").unionByName(joining)), "components")
+    dense = comp.join(full, "node").select("component").distinct()
     members = comp.join(dense, "component")
     few = links.join(members.select(F.col("node").alias("a")), "a", "left_anti") \
         .join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("n"))
@@ -243,7 +314,7 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, target: float =
                     .select("k1", "k2", F.col("v.vec_id").alias("node"), "v.label", F.size("v.embedding").alias("dim"), "v.embedding", "copies"), "nodes")
     graph, tables = _first_graph(nodes, 0, TABLES), TABLES
     for attempt in range(MORE):
-        edges, counts, comp = _links(nodes, graph, threshold)
+        edges, counts, comp = _links(nodes, graph, tables, threshold)
         if attempt == MORE - 1 or _audit(nodes, counts, threshold) >= target:
             break
         graph, tables = edges.unionByName(_first_graph(nodes, tables, TABLES)), tables + TABLES
