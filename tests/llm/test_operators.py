@@ -289,6 +289,22 @@ def test_embedding_links_between_dense_groups(spark):
     assert got == {i: (n, 0 if i < 80 else 80, i in (0, 80)) for i, n in enumerate(link.sum(1))}
 
 
+def test_embedding_audit_counts_nodes_and_fails_loudly(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((21, 16))
+    x = np.concatenate([base[0] + 0.004 * rng.standard_normal((120, 16)), np.repeat(base[1:], 2, 0) + 0.004 * rng.standard_normal((40, 16))])
+    rows = embedding_rows(spark, x.astype(np.float32)).selectExpr("vec_id node", "cast(label as long) label", "size(embedding) dim", "embedding", "1L copies")
+    # the dense group is whole, the pairs are lost: 14280 of 14320 links, 120 of 160 nodes
+    found = spark.createDataFrame([(i, 119) for i in range(120)], "node long, n long")
+    assert embedding_dedup._audit(rows, found, 0.98) == pytest.approx(0.75)
+    assert embedding_dedup._audit(rows, found.limit(0), 0.98) == 0
+    assert embedding_dedup._audit(rows, found.unionByName(spark.createDataFrame([(i, 1) for i in range(120, 160)], "node long, n long")), 0.98) == 1
+    monkeypatch.setattr(embedding_dedup, "_first_graph", lambda *a: spark.createDataFrame([], embedding_dedup._EDGES))
+    monkeypatch.setattr(embedding_dedup, "MORE", 2)
+    with pytest.raises(RuntimeError, match="recall"):
+        embedding_dedup.near_vectors(embedding_rows(spark, x.astype(np.float32)))
+
+
 def test_html_extraction(spark):
     def page(i):
         body = "".join(f"<p>Paragraph {j} of page {i} says &amp; explains\n several things, in whole sentences." for j in range(4))

@@ -21,9 +21,10 @@ precision, is at least 0.98.
    most ``REPS`` of a component per bucket; components with members above
    ``floor`` are compared whole, block by block, and each block hands over
    one link per pair of components.
-6. *Audit.*  A fixed number of nodes, first by hash, is compared with all
-   vectors; while the recall of links is below ``target``, another set of
-   tables is added to the graph.
+6. *Audit.*  ``AUDIT`` nodes with links and as many without, first by hash, are
+   compared with all vectors; while the mean recall of a linked node is below
+   ``target``, as many tables again are added to the graph.  After ``MORE``
+   attempts the call fails rather than return a short result.
 
 Rules: vectors that are null, empty, zero or hold null or non-finite components link
 with nothing, nor do null labels, null ids and vectors of another length;
@@ -44,7 +45,7 @@ from tidemark.llm.tables import partitions, written
 COSINE, FLOOR = 0.98, 0.90
 K, TABLES, RUN, BLOCK, REPS = 16, 12, 256, 512, 16
 MAX_BITS = 30
-ROUNDS, AUDIT, TARGET, MORE = 4, 256, 0.99, 4
+AUDIT, TARGET, MORE = 256, 0.99, 4
 
 
 def _matrix(col, unit: bool = True) -> np.ndarray:
@@ -249,9 +250,13 @@ def _joining(nodes: DataFrame, full: DataFrame, tables: int, threshold: float) -
     return written(both.groupBy("hub", "i", "j").applyInArrow(_block_links(threshold), "a long, b long"), "joining")
 
 
-def _audit(nodes: DataFrame, links: DataFrame, threshold: float) -> float:
-    """Recall of links of AUDIT nodes against all vectors."""
-    asked = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select("node", "label", "dim", "embedding").collect()
+def _audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
+    """Mean recall of a linked node's links, from AUDIT nodes with found links and AUDIT nodes without."""
+    known = nodes.join(counts.withColumnRenamed("n", "found"), "node", "left") \
+        .select("node", "label", "dim", "embedding", F.coalesce("found", F.lit(0)).alias("found"))
+    sizes = {r["some"]: r["n"] for r in known.groupBy((F.col("found") > 0).alias("some")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    asked = [r for side in (F.col("found") > 0, F.col("found") == 0)
+             for r in known.where(side).orderBy(F.xxhash64("node"), "node").limit(AUDIT).collect()]
     by = {}
     for r in asked:
         by.setdefault((r["label"], r["dim"]), []).append((r["node"], np.array(r["embedding"], np.float64)))
@@ -271,19 +276,19 @@ def _audit(nodes: DataFrame, links: DataFrame, threshold: float) -> float:
                     got[node] = got.get(node, 0) + int(many[at][hit].sum())
         yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int64()), pa.array(list(got.values()), pa.int64())], names=["node", "n"])
 
-    true = nodes.select("label", "dim", "node", "copies", "embedding").mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    both = true.join(links.select("node", F.col("n").alias("found")), "node", "left") \
-        .agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("found", F.lit(0)))).alias("found")).first()
-    return both["found"] / both["n"] if both["n"] else 1.0
+    true = {r["node"]: r["n"] for r in nodes.select("label", "dim", "node", "copies", "embedding").mapInArrow(count, "node long, n long")
+            .groupBy("node").agg(F.sum("n").alias("n")).collect()}                # the nodes asked for
+    shares = [min(r["found"], true[r["node"]]) / true[r["node"]] for r in asked if r["found"] and true.get(r["node"])]
+    without = [bool(true.get(r["node"])) for r in asked if not r["found"]]
+    linked = sizes.get(True, 0)
+    lost = sizes.get(False, 0) * float(np.mean(without)) if without else 0.0       # linked nodes that no link was found of
+    return linked * float(np.mean(shares or [1.0])) / (linked + lost) if linked + lost else 1.0
 
 
 def _links(nodes: DataFrame, graph: DataFrame, tables: int, threshold: float):
     """Descend to a fixed point; (edges kept for a later call, (node, n links), (node, component))."""
     lists, seen = written(_top(graph, K), "lists"), -1
-    for _ in range(ROUNDS):
-        grown = lists.where(F.col("cosine") >= threshold).count()
-        if grown <= seen * 1.001 or not grown:
-            break
+    while (grown := lists.where(F.col("cosine") >= threshold).count()) > max(seen, 0):      # lists only get better
         seen = grown
         lists = written(_top(lists.select("a", "b", "cosine").unionByName(_descend(nodes, lists)), K), "lists")
     links = lists.where(F.col("cosine") >= threshold)
@@ -315,9 +320,12 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, target: float =
     graph, tables = _first_graph(nodes, 0, TABLES), TABLES
     for attempt in range(MORE):
         edges, counts, comp = _links(nodes, graph, tables, threshold)
-        if attempt == MORE - 1 or _audit(nodes, counts, threshold) >= target:
+        recall = _audit(nodes, counts, threshold)
+        if recall >= target:
             break
-        graph, tables = edges.unionByName(_first_graph(nodes, tables, TABLES)), tables + TABLES
+        if attempt == MORE - 1:
+            raise RuntimeError(f"recall of links is {recall:.4f} with {tables} tables, below {target}")
+        graph, tables = edges.unionByName(_first_graph(nodes, tables, tables)), 2 * tables
     known = nodes.select("k1", "k2", "node", "copies").join(counts, "node", "left").join(comp, "node", "left") \
         .select("k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     found = good.select("vec_id", "k1", "k2").join(known, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
