@@ -319,6 +319,17 @@ def test_html_extraction(spark):
     assert html_extract.extract(none).count() == 0
 
 
+def test_html_head_without_an_end_tag():
+    def texts(html):
+        return [t for t in html_extract.Dom(html).texts if t is not None]
+    head = "<html><head><meta charset=x><title>t</title><style>s</style><noscript><div>n</div></noscript>\n"
+    assert texts(head + "<body>one<p>two</p></body></html>") == ["one", "two"]
+    assert texts(head + "<div>one</div>two") == ["one", "two"]
+    assert texts(head + "<b>one</b> two") == ["one two"]
+    assert texts(head + "one<p>two") == ["one", "two"]
+    assert texts(head + "</head><body><p>one</p></body></html>") == ["one"]
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline as c
     full = docs.select("doc_id", F.concat("text", F.lit(".")).alias("text"), F.lit("en").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"))

@@ -16,6 +16,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCK = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul""".split())
 SILENT = set("head title script style noscript template svg math iframe object canvas select textarea button datalist".split())
+HEAD_TAGS = set("html head base basefont bgsound link meta title style script noscript noframes template".split())      # do not end a head
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # an element of the key ends at the start of one of these, unless a container named last is between
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -80,7 +81,17 @@ class Dom(HTMLParser):
                 return None
         return None
 
+    def _end_head(self):
+        """</head> is optional: what cannot lie in a head ends it."""
+        if self.silent == 1:
+            for i, (tag, _) in enumerate(self.stack):
+                if tag == "head":
+                    return self._pop_to(i)
+        return None
+
     def handle_starttag(self, tag, attrs):
+        if tag not in HEAD_TAGS:
+            self._end_head()
         if tag == "br":
             self.run.append(" ")
             return
@@ -122,6 +133,8 @@ class Dom(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.stack[-1][0] == "head" and data.strip():
+            self._end_head()
         if not self.silent:
             self.run.append(data)
             if self.links:
