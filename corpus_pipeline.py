@@ -6,7 +6,8 @@ the columns of ``documents``.
 
 1. quality_rules: failed lines leave the text, rejected documents go.
 2. language_id: documents without a sure language go; the classifier is fitted on
-   the stage's own input.
+   the stage's own input.  Where that holds nothing to learn from (no labelled
+   document, or only held-out ones), documents with a letter stay.
 3. minhash_dedup: one document of each class of near copies stays, the one with
    the smallest doc_id (rows that repeat a doc_id: the least row).
 4. substring_dedup: passages that a document with a smaller id holds leave the
@@ -43,8 +44,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = learn(docs)
+    if not model.weights.any():      # nothing learned, or a single language
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     sure = (F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)
-    return annotate(docs, learn(docs)).where(sure).select(*COLUMNS)
+    return annotate(docs, model).where(sure).select(*COLUMNS)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

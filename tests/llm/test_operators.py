@@ -330,6 +330,15 @@ def test_html_head_without_an_end_tag():
     assert texts(head + "</head><body><p>one</p></body></html>") == ["one"]
 
 
+def test_pipeline_language_without_labels(spark):
+    import corpus_pipeline as c
+    held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for rows in ([(1, "some words", None), (2, "12 34", None), (3, None, None)], [(held, "some words", "en"), (held, "12 34", "fr"), (held, "mots", "fr")]):
+        docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        got = [r.text for r in c.language_id(spark, docs, "").collect()]
+        assert sorted(got) == sorted(t for _, t, _ in rows if t and any(map(str.isalpha, t)))
+
+
 def test_pipeline_stages(spark, docs):
     import corpus_pipeline as c
     full = docs.select("doc_id", F.concat("text", F.lit(".")).alias("text"), F.lit("en").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"))
