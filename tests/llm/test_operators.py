@@ -78,6 +78,29 @@ def test_substring_repeats_inside_one_document(spark):
     assert got[2].kept_text == " ".join(twice[20:50] + twice[70:77])
 
 
+def test_substring_rows_of_one_id_keep_their_own_paths(spark):
+    rng = random.Random(9)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    p, q = fresh(40), fresh(40)
+    # two texts of document 2 overlap the same stretch of document 1; document 3 copies from both
+    rows = [(1, p), (2, fresh(5) + p[:25] + q[:20]), (2, fresh(15) + p[10:] + q[5:30]), (3, q[:20] + fresh(3)), (3, q[5:30])]
+    want = collections.Counter({(1, 40, 0): 1, (2, 50, 25): 1, (2, 70, 30): 1, (3, 23, 20): 1, (3, 25, 25): 1})
+    for parts in (1, 5):
+        docs = spark.createDataFrame(spark.sparkContext.parallelize([(i, " ".join(w)) for i, w in rows], parts), "doc_id long, text string")
+        got = substring_dedup.substring_dedup(docs).collect()
+        assert collections.Counter((r.doc_id, r.n_words, r.n_removed) for r in got) == want
+
+
+def test_substring_false_paths_go_per_row(spark, monkeypatch):
+    w = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in ((1, w[:30]), (2, w[:30] + w[40:]), (2, w[30:40] + w[:20]))], "doc_id long, text string")
+    true = substring_dedup.repeat_paths
+    wrong = lambda d, k: true(d, k).unionByName(true(d, k).withColumn("start", F.col("start") + 1))
+    monkeypatch.setattr(substring_dedup, "repeat_paths", wrong)
+    got = substring_dedup.substring_dedup(docs).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 30, 0), (2, 30, 20), (2, 50, 30)]
+
+
 def test_near_duplicates(spark, docs):
     bags = {}
     for i, t in table(docs):

@@ -25,7 +25,8 @@ with a smaller id is a repeat, and its *source coordinates* are the first
 
 Rules: null text has no words; a null ``doc_id`` is neither a source nor cut;
 rows that repeat a doc_id are cut each by its own words and never by one
-another (only strictly smaller ids are sources).  Texts shorter than k words are kept.
+another (only strictly smaller ids are sources): edges and paths carry the row's
+text hash.  Texts shorter than k words are kept.
 Extra columns pass through; a column named like an output is replaced.
 """
 
@@ -49,28 +50,31 @@ PART = 5                      # words of a minimiser
 SLICE_BYTES = 1 << 21         # text hashed at a time
 CHUNK_BYTES = 6 << 20         # text pre-aggregated at a time
 
-_BLOB = "bucket int, hashes binary, docs binary, counts binary, places binary, pieces binary"
-_PIECE = "doc_id long, start int, n int, src_doc long, src_start int"
-_PIECE_NP = np.dtype([("doc_id", "<i8"), ("start", "<i4"), ("n", "<i4"), ("src_doc", "<i8"), ("src_start", "<i4")])
+_BLOB = "bucket int, hashes binary, docs binary, rows binary, counts binary, places binary, pieces binary"
+_PIECE = "doc_id long, _row long, start int, n int, src_doc long, src_row long, src_start int"
+_PIECE_NP = np.dtype([("doc_id", "<i8"), ("_row", "<i8"), ("start", "<i4"), ("n", "<i4"), ("src_doc", "<i8"), ("src_row", "<i8"), ("src_start", "<i4")])
 
 
-def _runs(doc, start, src, src_start) -> np.ndarray:
-    """Consecutive edges with consecutive sources as one piece; input in (doc, start) order."""
+def _runs(doc, row, start, at, src) -> np.ndarray:
+    """Consecutive edges ``at`` with consecutive sources ``src`` as one piece; input in (doc, row, start) order."""
+    src_doc, src_row, src_start = doc[src], row[src], start[src]
+    doc, row, start = doc[at], row[at], start[at]
     if not len(doc):
         return np.zeros(0, _PIECE_NP)
     new = np.ones(len(doc), dtype=bool)
-    new[1:] = ((doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1) | (src[1:] != src[:-1])
-               | (src_start[1:] != src_start[:-1] + 1))
+    new[1:] = ((doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1) | (src_doc[1:] != src_doc[:-1])
+               | (src_row[1:] != src_row[:-1]) | (src_start[1:] != src_start[:-1] + 1))
     at = np.flatnonzero(new)
     out = np.empty(len(at), _PIECE_NP)
-    out["doc_id"], out["start"], out["src_doc"], out["src_start"] = doc[at], start[at], src[at], src_start[at]
+    out["doc_id"], out["_row"], out["start"] = doc[at], row[at], start[at]
+    out["src_doc"], out["src_row"], out["src_start"] = src_doc[at], src_row[at], src_start[at]
     out["n"] = np.diff(np.append(at, len(doc)))
     return out
 
 
-def _firsts(h, doc, start):
-    """For every entry the index of the first (doc, start) with its hash; entries
-    already in (doc, start) order."""
+def _firsts(h):
+    """For every entry the index of the first (doc, row, start) with its hash; entries
+    already in (doc, row, start) order."""
     order = np.argsort(h, kind="stable")
     sh = h[order]
     new = np.ones(len(h), dtype=bool)
@@ -82,9 +86,9 @@ def _firsts(h, doc, start):
 
 
 def _edges(table: pa.Table, k: int):
-    """(hash, minimiser, doc_id, start) of every edge; documents ascending by id."""
-    table = table.sort_by("doc_id")
-    ids = table["doc_id"].to_numpy()
+    """(hash, minimiser, doc_id, row, start) of every edge; documents ascending by id and row."""
+    table = table.sort_by([("doc_id", "ascending"), ("_row", "ascending")])
+    ids, rows = table["doc_id"].to_numpy(), table["_row"].to_numpy()
     col = table["text"].combine_chunks() if table.num_rows else table["text"]
     _, offs = text_buffers(col)
     parts = []
@@ -100,7 +104,7 @@ def _edges(table: pa.Table, k: int):
             np.minimum(low, g[j:j + len(h)], out=low)
         ok = np.flatnonzero(within(w.first, k, len(w.hashes)))
         doc = w.doc()[ok]
-        parts.append((h[ok], low[ok], ids[a:b][doc], (ok - w.first[doc]).astype(np.int32)))
+        parts.append((h[ok], low[ok], ids[a:b][doc], rows[a:b][doc], (ok - w.first[doc]).astype(np.int32)))
     if not parts:
         return None
     return [np.concatenate(x) for x in zip(*parts)]
@@ -111,11 +115,10 @@ def _edge_blobs(k: int, buckets: int):
         got = _edges(table, k)
         if got is None:
             return
-        h, low, doc, start = got
-        first = _firsts(h, doc, start)
+        h, low, doc, row, start = got
+        first = _firsts(h)
         again = np.flatnonzero(doc > doc[first])
-        src = first[again]
-        pieces = _runs(doc[again], start[again], doc[src], start[src])
+        pieces = _runs(doc, row, start, again, first[again])
         to = (mix(low) % np.uint64(buckets)).astype(np.int32)
         send = np.flatnonzero(doc == doc[first])
         send = send[np.argsort(to[send], kind="stable")]
@@ -127,17 +130,17 @@ def _edge_blobs(k: int, buckets: int):
             own = pieces[piece_cuts[b]:piece_cuts[b + 1]]
             if not len(at) and not len(own):
                 continue
-            ids = doc[at]
+            ids, keys = doc[at], row[at]
             new = np.ones(len(at), dtype=bool)
-            new[1:] = ids[1:] != ids[:-1]
+            new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
             marks = np.flatnonzero(new)
             places = np.diff(start[at], prepend=np.int32(0)).astype(np.int32)
-            rows.append((b, h[at].tobytes(), np.diff(ids[marks], prepend=np.int64(0)).tobytes(),
+            rows.append((b, h[at].tobytes(), np.diff(ids[marks], prepend=np.int64(0)).tobytes(), keys[marks].tobytes(),
                          np.diff(np.append(marks, len(at))).astype(np.int32).tobytes(), places.tobytes(), own.tobytes()))
         if rows:
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
-                                             names=["bucket", "hashes", "docs", "counts", "places", "pieces"])
+                                             names=["bucket", "hashes", "docs", "rows", "counts", "places", "pieces"])
 
     def run(batches):
         held, size = [], 0
@@ -157,31 +160,31 @@ def _edge_blobs(k: int, buckets: int):
 
 def _repeats(table: pa.Table) -> pa.Table:
     """One bucket: pieces whose edges start in a smaller document."""
-    cols = [table[c].to_pylist() for c in ("hashes", "docs", "counts", "places", "pieces")]
-    hs, ds, ps, done = [], [], [], []
-    for h, docs, counts, places, pieces in zip(*cols):
+    cols = [table[c].to_pylist() for c in ("hashes", "docs", "rows", "counts", "places", "pieces")]
+    hs, ds, rs, ps, done = [], [], [], [], []
+    for h, docs, rows, counts, places, pieces in zip(*cols):
+        many = np.frombuffer(counts, np.int32)
         hs.append(np.frombuffer(h, np.uint64))
-        ds.append(np.repeat(np.cumsum(np.frombuffer(docs, np.int64)), np.frombuffer(counts, np.int32)))
+        ds.append(np.repeat(np.cumsum(np.frombuffer(docs, np.int64)), many))
+        rs.append(np.repeat(np.frombuffer(rows, np.int64), many))
         ps.append(np.cumsum(np.frombuffer(places, np.int32), dtype=np.int32))
         done.append(np.frombuffer(pieces, _PIECE_NP))
-    h, doc, start = np.concatenate(hs), np.concatenate(ds), np.concatenate(ps)
+    h, doc, row, start = np.concatenate(hs), np.concatenate(ds), np.concatenate(rs), np.concatenate(ps)
     order = np.argsort(h, kind="stable")
     sh = h[order]
     same = np.zeros(len(h), dtype=bool)
     same[1:] = sh[1:] == sh[:-1]
     same[:-1] |= same[1:].copy()
     at = order[same]                       # entries whose hash comes more than once
-    at = at[np.lexsort((start[at], doc[at]))]
-    first = _firsts(h[at], doc[at], start[at])
-    src = at[first]
+    at = at[np.lexsort((start[at], row[at], doc[at]))]
+    src = at[_firsts(h[at])]
     again = doc[at] > doc[src]
-    at, src = at[again], src[again]
-    out = np.concatenate([_runs(doc[at], start[at], doc[src], start[src]), *done])
+    out = np.concatenate([_runs(doc, row, start, at[again], src[again]), *done])
     return pa.table({n: np.ascontiguousarray(out[n]) for n in _PIECE_NP.names})
 
 
 def _join_pieces(batches):
-    """Pieces sorted by (doc, src, start - src_start, start) joined into maximal paths."""
+    """Pieces sorted by (doc, row, src, src row, start - src_start, start) joined into maximal paths."""
     held = None
     for batch in batches:
         if not batch.num_rows:
@@ -191,7 +194,9 @@ def _join_pieces(batches):
             x = {n: np.concatenate([held[n], x[n]]) for n in x}
         end = x["start"] + x["n"]
         diag = x["start"].astype(np.int64) - x["src_start"]
-        same = (x["doc_id"][1:] == x["doc_id"][:-1]) & (x["src_doc"][1:] == x["src_doc"][:-1]) & (diag[1:] == diag[:-1])
+        same = diag[1:] == diag[:-1]
+        for n in ("doc_id", "_row", "src_doc", "src_row"):
+            same &= x[n][1:] == x[n][:-1]
         group = np.concatenate([[0], np.cumsum(~same)])
         top = np.maximum.accumulate(end.astype(np.int64) + group * (1 << 32)) - group * (1 << 32)
         new = np.ones(len(end), dtype=bool)
@@ -207,14 +212,15 @@ def _join_pieces(batches):
 
 
 def repeat_paths(docs: DataFrame, k: int = K) -> DataFrame:
-    """Maximal repeated paths (doc_id, start, n edges, src_doc, src_start); not yet verified."""
+    """Maximal repeated paths (doc_id, _row, start, n edges, src_doc, src_row, src_start); not yet verified."""
     buckets = 2 * partitions(docs)
     blobs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+             .withColumn("_row", F.xxhash64("text"))
              .where(F.col("doc_id").isNotNull() & (F.length("text") >= 2 * k - 1))
              .mapInArrow(_edge_blobs(k, buckets), _BLOB))
     pieces = blobs.groupBy("bucket").applyInArrow(_repeats, _PIECE)
     return (pieces.repartition("doc_id")
-            .sortWithinPartitions("doc_id", "src_doc", F.col("start") - F.col("src_start"), "start")
+            .sortWithinPartitions("doc_id", "_row", "src_doc", "src_row", F.col("start") - F.col("src_start"), "start")
             .mapInArrow(_join_pieces, _PIECE))
 
 
@@ -261,11 +267,12 @@ _RESULT = ("n_words", "n_removed", "kept_sha256", "kept_text")
 
 
 def _apply(docs: DataFrame, paths: DataFrame, k: int, with_text: bool) -> DataFrame:
-    own = paths.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "src_doc", "src_start")).alias("own"))
-    asked = (paths.select(F.col("src_doc").alias("doc_id"), "src_start", "n").distinct()
-             .groupBy("doc_id").agg(F.collect_list(F.struct("src_start", "n")).alias("asked")))
-    spans = own.join(asked, "doc_id", "full").withColumnRenamed("doc_id", "_key")
-    base = docs.join(spans, F.col("doc_id") == F.col("_key"), "left").drop("_key")
+    own = paths.groupBy("doc_id", "_row").agg(F.collect_list(F.struct("start", "n", "src_doc", "src_row", "src_start")).alias("own"))
+    asked = (paths.select(F.col("src_doc").alias("doc_id"), F.col("src_row").alias("_row"), "src_start", "n").distinct()
+             .groupBy("doc_id", "_row").agg(F.collect_list(F.struct("src_start", "n")).alias("asked")))
+    spans = own.join(asked, ["doc_id", "_row"], "full").withColumnsRenamed({"doc_id": "_key", "_row": "_key_row"})
+    base = docs.withColumn("_row", F.xxhash64("text"))
+    base = base.join(spans, (F.col("doc_id") == F.col("_key")) & (F.col("_row") == F.col("_key_row")), "left").drop("_key", "_key_row")
     extra = ("n_words long, n_removed long, kept_sha256 string, kept_text string, "
              "own_digests array<binary>, asked_digests array<binary>")
     rest = [f for f in base.schema.fields if f.name not in ("text", "own", "asked")]
@@ -278,16 +285,15 @@ def substring_dedup(docs: DataFrame, k: int = K, with_text: bool = True) -> Data
     """``docs`` (doc_id, text, ...) with n_words, n_removed, kept_sha256 and kept_text (null unless
     ``with_text``; the text itself where nothing goes, else the kept words joined by one space) in
     place of ``text``; see the module docstring for the rules."""
-    docs = docs.drop(*[c for c in (*_RESULT, "own", "asked", "own_digests", "asked_digests", "_key") if c in docs.columns])
+    docs = docs.drop(*[c for c in (*_RESULT, "own", "asked", "own_digests", "asked_digests", "_key", "_key_row", "_row") if c in docs.columns])
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
     paths = written(repeat_paths(docs, k), "paths")
     cut = written(_apply(docs, paths, k, with_text), "cut")
-    asked = (cut.select(F.col("doc_id").alias("src_doc"), F.explode(F.arrays_zip("asked", "asked_digests")).alias("a"))
-             .select("src_doc", "a.asked.src_start", "a.asked.n", F.col("a.asked_digests").alias("src_digest")).distinct())
-    own = (cut.select("doc_id", F.explode(F.arrays_zip("own", "own_digests")).alias("o"))
-           .select("doc_id", "o.own.*", F.col("o.own_digests").alias("digest")))
-    key = ["src_doc", "src_start", "n"]
-    # a span may be asked of rows that repeat a doc_id: one equal digest verifies it
+    asked = (cut.select(F.col("doc_id").alias("src_doc"), F.col("_row").alias("src_row"), F.explode(F.arrays_zip("asked", "asked_digests")).alias("a"))
+             .select("src_doc", "src_row", "a.asked.src_start", "a.asked.n", F.col("a.asked_digests").alias("src_digest")).distinct())
+    own = (cut.select("doc_id", "_row", F.explode(F.arrays_zip("own", "own_digests")).alias("o"))
+           .select("doc_id", "_row", "o.own.*", F.col("o.own_digests").alias("digest")))
+    key = ["src_doc", "src_row", "src_start", "n"]
     told = asked.groupBy(*key).agg(F.collect_set("src_digest").alias("sources"))
     distinct = own.select(*key, "digest").distinct().join(told, key, "left")
     bad = distinct.where(~F.coalesce(F.array_contains("sources", F.col("digest")), F.lit(False))).select(*key, "digest")
@@ -295,9 +301,10 @@ def substring_dedup(docs: DataFrame, k: int = K, with_text: bool = True) -> Data
     out = [f.name for f in docs.schema.fields if f.name != "text"] + list(_RESULT)
     if bad.isEmpty():
         return cut.select(*out)
-    wrong = own.join(bad, [*key, "digest"]).select("doc_id", "start", *key).distinct()
+    wrong = own.join(bad, [*key, "digest"]).select("doc_id", "_row", "start", *key).distinct()
     redo = written(wrong, "redo")
-    ids = redo.select("doc_id").distinct()
-    good = paths.join(ids, "doc_id", "left_semi").join(redo, ["doc_id", "start", *key], "left_anti")
-    again = _apply(docs.join(ids, "doc_id", "left_semi"), good.select("doc_id", "start", "n", "src_doc", "src_start"), k, with_text)
-    return cut.join(ids, "doc_id", "left_anti").select(*out).unionByName(again.select(*out))
+    row = ["doc_id", "_row"]
+    ids = redo.select(*row).distinct()
+    good = paths.join(ids, row, "left_semi").join(redo, [*row, "start", *key], "left_anti")
+    again = _apply(docs.withColumn("_row", F.xxhash64("text")).join(ids, row, "left_semi").drop("_row"), good.select(*paths.columns), k, with_text)
+    return cut.join(ids, row, "left_anti").select(*out).unionByName(again.select(*out))
