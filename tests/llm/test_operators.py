@@ -373,3 +373,107 @@ def test_pipeline_stages(spark, docs):
     assert once.where("doc_id is not null").count() == classes.count()
     cut = c.substring_dedup_stage(spark, full, "")
     assert cut.columns == list(c.COLUMNS) and not any(r.text is None for r in cut.collect())
+
+
+STOCK_PHRASE = re.compile(quality.STOCK[4:], re.IGNORECASE | re.ASCII)
+
+
+def plain_quality(text):
+    """The text without failed lines; None if the document goes."""
+    def fails(line):
+        words = len(WORD.findall(line))
+        return (sum(line.count(c) for c in quality.LINE_SYMBOLS) > 0.5 * words or sum(line.count(c) for c in quality.SEPARATORS) >= 3
+                or (len(line) <= 200 and STOCK_PHRASE.search(line) is not None) or (words >= 4 and not re.search(quality.SENTENCE_END, line)))
+
+    chars = lambda t: sum(map(len, WORD.findall(t)))
+    words = WORD.findall(text)
+    runs = collections.Counter(zip(words, words[1:], words[2:]))
+    twice = {i + j for i in range(len(words) - 2) if runs[tuple(words[i:i + 3])] > 1 for j in range(3)}
+    clean = "\n".join(x for x in text.split("\n") if not WORD.search(x) or not fails(x))
+    return None if len(words) < 50 or 2 * len(twice) > len(words) or 2 * chars(clean) < chars(text) else clean
+
+
+def plain_near_duplicates(rows):
+    bags = {}
+    for i, t, *_ in rows:
+        if i is not None:
+            w = WORD.findall(t)
+            bags[i] = collections.Counter(tuple(w[p:p + 5]) for p in range(max(1, len(w) - 4)))
+    least = {i: i for i in bags}
+    for _ in bags:
+        for i in bags:
+            for j in bags:
+                if 5 * (bags[i] & bags[j]).total() >= 4 * (bags[i] | bags[j]).total():
+                    least[i] = min(least[i], least[j])
+    one = {}
+    for r in sorted((r for r in rows if r[0] is not None and least[r[0]] == r[0]), reverse=True):
+        one[r[0]] = r
+    return [*one.values(), *(r for r in rows if r[0] is None)]
+
+
+def plain_substrings(rows):
+    first, out = {}, []
+    for i, t, *_ in rows:
+        w = WORD.findall(t)
+        for p in range(len(w) - 12 if i is not None else 0):
+            k = tuple(w[p:p + 13])
+            first[k] = min(first.get(k, i), i)
+    for i, t, *rest in rows:
+        w = WORD.findall(t)
+        gone = {p + j for p in range(len(w) - 12 if i is not None else 0) if first[tuple(w[p:p + 13])] < i for j in range(13)}
+        if len(gone) < len(w) or not w:
+            out.append((i, " ".join(x for p, x in enumerate(w) if p not in gone) if gone else t, *rest))
+    return out
+
+
+def test_pipeline_run_equals_plain_python(spark, tmp_path):
+    import corpus_pipeline as c
+    import tokenizers
+    rng = random.Random(12)
+    words = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(900)]
+             for lang, letters in (("en", "abcdeghinorst"), ("el", "αβγδεικλμνοπ"))}
+
+    def lines(lang, n):
+        return [" ".join(rng.choice(words[lang]) for _ in range(rng.randint(6, 12))) + "." for _ in range(n)]
+
+    passage, texts = lines("en", 4), []
+    for i in range(50):
+        lang = ("en", "el")[i % 2]
+        body = lines(lang, rng.choice([3, 9, 14, 20]))
+        if i % 5 == 0:
+            body[2:2] = ["home | news | shop | more", "Click here.", "no end of a sentence here", "###### $$$ %%%"]
+        if i % 6 == 0:
+            body[1:1] = passage
+        if i % 18 == 6:
+            body += ["and then."] + passage
+        texts.append(("\n".join(body), lang if i % 7 else None))
+    near = texts[13][0].replace("\n", " ", 1)
+    texts += [(near, "el"), texts[9], (texts[11][0].replace(".", ";", 1), "el"), (None, "en"), ("", "el"), ("1 2 3. " * 3 + " ".join(map(str, range(100))) + ".", "en"),
+              ("a b c. " * 40, "en"), ("word <|endoftext|> " + "\n".join(lines("en", 400)), "en"), ("\n".join(passage + passage[:1] + lines("el", 9)), None)]
+    rows = [(i, t, lang, "xy"[i % 2], len(t or "")) for i, (t, lang) in enumerate(texts)]
+    rows += [rows[21], (23, texts[24][0], "en", "z", 1), (None, "\n".join(passage + lines("en", 10)), "en", "x", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), schema).write.parquet(f"{tmp_path}/documents.parquet")
+    got = c.run(spark, str(tmp_path)).collect()
+
+    good = [(i, clean, lang, s, len(clean)) for i, t, lang, s, _ in rows if (clean := plain_quality(t or "")) is not None]
+    model = language_id.learn(spark.createDataFrame(good, schema))
+    said = [model.predict(*x) for x in language_id.feature_counts([r[1] for r in good])]
+    sure = [r for r, (lang, score) in zip(good, said) if lang != "und" and score >= 0.5]
+    once = plain_near_duplicates(sure)
+    cut = plain_substrings(once)
+    assert len(rows) > len(good) > len(sure) > len(once) and {r[1] for r in once} != {r[1] for r in cut}      # each stage takes something
+    ref = tokenizers.Tokenizer.from_file(token_counts.model_file("byte_bpe_50k.json"))
+    want = collections.Counter()
+    for i, t, *_ in cut:
+        ids = [*ref.encode(t, add_special_tokens=False).ids, 2]
+        at = packing.cuts(len(ids), 1024)
+        for k, (s, e) in enumerate(zip(at, [*at[1:], len(ids)])):
+            want[i, k, s, e - s, zlib.crc32(np.array(ids[s:e], "<u4").tobytes())] += 1
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for places in by.values():
+        ends = np.cumsum([n for _, n in sorted(places)])
+        assert [o for o, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 1024
