@@ -101,6 +101,20 @@ def test_substring_false_paths_go_per_row(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 30, 0), (2, 30, 20), (2, 50, 30)]
 
 
+def test_substring_bucket_of_a_common_line_is_split(spark, monkeypatch):
+    rng = random.Random(10)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    line = [f"common{i}" for i in range(12)]
+    texts = [fresh(6) + line + fresh(6) for _ in range(400)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts + [fresh(3) + w[:20] for w in texts])]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id long, text string")
+    fullest = lambda: substring_dedup._blobs(docs, 13).groupBy("bucket").agg(F.sum(F.length("hashes")).alias("n")).agg(F.max("n")).first()[0]
+    whole = fullest()
+    monkeypatch.setattr(substring_dedup, "BUCKET_EDGES", 300)
+    assert fullest() < 0.6 * whole
+    assert all(r.n_removed == (20 if r.doc_id >= 400 else 0) for r in substring_dedup.substring_dedup(docs).collect())
+
+
 def test_near_duplicates(spark, docs):
     bags = {}
     for i, t in table(docs):

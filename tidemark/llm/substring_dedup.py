@@ -12,7 +12,9 @@ with a smaller id is a repeat, and its *source coordinates* are the first
    document, so a passage held by a third of all documents is sent once per
    task.  That document's further places of the edge go too, since another
    task may hold the edge in a smaller document.  An edge costs about 9 bytes of
-   shuffle.
+   shuffle.  The edges of one document in ``SAMPLE`` are counted per bucket first:
+   a bucket with far more than the others, as around a very common line, is
+   split by the edges themselves (equal edges still meet).
 2. *Repeats* (``_repeats``).  Each bucket finds the source coordinates of its
    edges; consecutive repeats with consecutive sources leave as one piece.
 3. *Paths* (``_join_pieces``).  Pieces are shuffled by document and joined into
@@ -49,6 +51,8 @@ K = 13
 PART = 5                      # words of a minimiser
 SLICE_BYTES = 1 << 21         # text hashed at a time
 CHUNK_BYTES = 6 << 20         # text pre-aggregated at a time
+SAMPLE = 8
+BUCKET_EDGES = 1 << 20        # a bucket is split if it holds more edges and twice the mean
 
 _BLOB = "bucket int, hashes binary, docs binary, rows binary, counts binary, places binary, pieces binary"
 _PIECE = "doc_id long, _row long, start int, n int, src_doc long, src_row long, src_start int"
@@ -110,7 +114,38 @@ def _edges(table: pa.Table, k: int):
     return [np.concatenate(x) for x in zip(*parts)]
 
 
-def _edge_blobs(k: int, buckets: int):
+def _bucket_of(low, buckets: int) -> np.ndarray:
+    return (mix(low) % np.uint64(buckets)).astype(np.int32)
+
+
+def _bucket_counts(k: int, buckets: int):
+    """Edges per bucket, before pre-aggregation."""
+    def run(batches):
+        n = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                got = _edges(pa.Table.from_batches([batch.slice(a, 256)]), k)
+                if got is not None:
+                    n += np.bincount(_bucket_of(got[1], buckets), minlength=buckets)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], names=["bucket", "n"])
+
+    return run
+
+
+def _ways(docs: DataFrame, k: int, buckets: int) -> np.ndarray:
+    """Into how many parts each bucket is split."""
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "_row"), F.lit(SAMPLE)) == 0)
+    n = np.zeros(buckets)
+    for r in some.mapInArrow(_bucket_counts(k, buckets), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        n[r["bucket"]] = SAMPLE * r["n"]                  # at most ``buckets`` rows
+    limit = max(BUCKET_EDGES, 2 * n.mean())
+    return np.maximum(np.ceil(n / limit), 1).astype(np.int64)
+
+
+def _edge_blobs(k: int, ways: np.ndarray):
+    groups, begin = int(ways.sum()), np.cumsum(ways) - ways
+
     def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
         got = _edges(table, k)
         if got is None:
@@ -119,13 +154,14 @@ def _edge_blobs(k: int, buckets: int):
         first = _firsts(h)
         again = np.flatnonzero(doc > doc[first])
         pieces = _runs(doc, row, start, again, first[again])
-        to = (mix(low) % np.uint64(buckets)).astype(np.int32)
+        to = _bucket_of(low, len(ways))
+        to = (begin[to] + (mix(h) % ways[to].astype(np.uint64)).astype(np.int64)).astype(np.int32)
         send = np.flatnonzero(doc == doc[first])
         send = send[np.argsort(to[send], kind="stable")]
-        cuts = np.searchsorted(to[send], np.arange(buckets + 1))
-        piece_cuts = np.linspace(0, len(pieces), buckets + 1).astype(int)
+        cuts = np.searchsorted(to[send], np.arange(groups + 1))
+        piece_cuts = np.linspace(0, len(pieces), groups + 1).astype(int)
         rows = []
-        for b in range(buckets):
+        for b in range(groups):
             at = send[cuts[b]:cuts[b + 1]]
             own = pieces[piece_cuts[b]:piece_cuts[b + 1]]
             if not len(at) and not len(own):
@@ -211,13 +247,16 @@ def _join_pieces(batches):
         yield pa.RecordBatch.from_arrays([pa.array(held[n]) for n in _PIECE_NP.names], names=list(_PIECE_NP.names))
 
 
+def _blobs(docs: DataFrame, k: int) -> DataFrame:
+    docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+            .withColumn("_row", F.xxhash64("text"))
+            .where(F.col("doc_id").isNotNull() & (F.length("text") >= 2 * k - 1)))
+    return docs.mapInArrow(_edge_blobs(k, _ways(docs, k, 2 * partitions(docs))), _BLOB)
+
+
 def repeat_paths(docs: DataFrame, k: int = K) -> DataFrame:
     """Maximal repeated paths (doc_id, _row, start, n edges, src_doc, src_row, src_start); not yet verified."""
-    buckets = 2 * partitions(docs)
-    blobs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-             .withColumn("_row", F.xxhash64("text"))
-             .where(F.col("doc_id").isNotNull() & (F.length("text") >= 2 * k - 1))
-             .mapInArrow(_edge_blobs(k, buckets), _BLOB))
+    blobs = _blobs(docs, k)
     pieces = blobs.groupBy("bucket").applyInArrow(_repeats, _PIECE)
     return (pieces.repartition("doc_id")
             .sortWithinPartitions("doc_id", "_row", "src_doc", "src_row", F.col("start") - F.col("src_start"), "start")
