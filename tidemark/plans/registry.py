@@ -475,16 +475,17 @@ for _key, _col in (("win_first_week", "first_chart_week"), ("win_max_points", "m
                    ("win_prev_week", "previous_chart_week")):
     def _mk(col):
         return lambda spark, sf: L.with_history(_m(spark, sf).growth_history).select(*KEYS3, col)
-    REG[_key] = Query(_mk(_col), f"SELECT spotify_id, country, chart_week, {_col} FROM hist")
+    REG[_key] = Query(_mk(_col), f"SELECT spotify_id, country, chart_week, {_col} FROM life")
 
 
-@q("cross_market_penetration", "SELECT * FROM penetration")
+@q("cross_market_penetration", "SELECT spotify_id, chart_week, n_markets AS cross_market_count FROM spread")
 def cross_market_penetration(spark, sf):
     return L.penetration_join_form(_m(spark, sf).growth)
 
 
 @q("market_average_growth",
-   "SELECT spotify_id, chart_week, CAST(gsum AS DOUBLE) / gn AS selected_market_avg_wow_growth FROM market_avg")
+   "SELECT spotify_id, chart_week, CAST(rate_sum AS DOUBLE) / n_rates AS selected_market_avg_wow_growth "
+   "FROM spread WHERE n_rates > 0")
 def market_average_growth(spark, sf):
     g = _m(spark, sf).growth.where(F.col("wow_growth_rate").isNotNull())
     from tidemark.functions.columns import growth_as_decimal
@@ -493,16 +494,16 @@ def market_average_growth(spark, sf):
                   .alias("selected_market_avg_wow_growth")))
 
 
-@q("join_penetration", "SELECT g.*, p.cross_market_count FROM growth g "
-   "LEFT JOIN penetration p ON g.spotify_id = p.spotify_id AND g.chart_week = p.chart_week")
+@q("join_penetration", "SELECT g.*, n_markets AS cross_market_count FROM growth g "
+   "JOIN (SELECT spotify_id, chart_week, n_markets FROM spread) USING (spotify_id, chart_week)")
 def join_penetration(spark, sf):
     m = _m(spark, sf)
     return m.growth.join(L.penetration_join_form(m.growth), ["spotify_id", "chart_week"], "left") \
         .select(*W.GROWTH_COLUMNS, "cross_market_count")
 
 
-@q("join_market_average", "SELECT g.*, CAST(a.gsum AS DOUBLE) / a.gn AS selected_market_avg_wow_growth FROM growth g "
-   "LEFT JOIN market_avg a ON g.spotify_id = a.spotify_id AND g.chart_week = a.chart_week")
+@q("join_market_average", "SELECT g.*, CAST(rate_sum AS DOUBLE) / NULLIF(n_rates, 0) AS selected_market_avg_wow_growth "
+   "FROM growth g JOIN (SELECT spotify_id, chart_week, rate_sum, n_rates FROM spread) USING (spotify_id, chart_week)")
 def join_market_average(spark, sf):
     m = _m(spark, sf)
     avg = market_average_growth(spark, sf)
