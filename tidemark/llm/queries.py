@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.alignment import align
 from tidemark.llm.bpe import encode_digests
 from tidemark.llm.embedding_dedup import near_vectors
+from tidemark.llm.exact_dedup import exact_duplicates
 from tidemark.llm.html_extract import extract
 from tidemark.llm.language_id import identify
+from tidemark.llm.lexical_search import search
 from tidemark.llm.minhash_dedup import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import clean_lines
@@ -61,8 +64,42 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return search(docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).drop("groups")
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_substring_dedup, op2_sharding, op3_token_counts, op4_language_id, op5_best_fit_packing, op6_embedding_dedup,
-    op7_bpe, op8_minhash_dedup, op9_quality_rules, op10_html_extraction)}
-
-ORACLE_SQL: dict[str, str] = {}
+    op7_bpe, op8_minhash_dedup, op9_quality_rules, op10_html_extraction, op11_lexical_search, op12_alignment, op13_exact_dedup)}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = (f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_lexical_search": f"""
+WITH d AS MATERIALIZED (SELECT doc_id, len(ts) AS n, ts FROM (SELECT doc_id, {_TERMS} AS ts FROM documents WHERE text IS NOT NULL) x WHERE len(ts) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+c AS (SELECT CAST(COUNT(*) AS BIGINT) AS n_docs, CAST(SUM(n) AS BIGINT) AS n_terms FROM d),
+p AS MATERIALIZED (SELECT doc_id, n, term, COUNT(*) AS tf FROM (SELECT doc_id, n, unnest(ts) AS term FROM d) y
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS weight FROM p, c GROUP BY term, n_docs),
+s AS (SELECT item_id, doc_id, CAST(SUM(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0) z WHERE place <= 50""",
+    "op13_exact_dedup": f"""
+SELECT doc_id, MAX(doc_id) OVER same AS keep_id, COUNT(*) OVER same AS group_size, doc_id = MAX(doc_id) OVER same AS kept,
+       sha256(folded) AS text_sha256
+FROM (SELECT doc_id, translate(COALESCE(text, ''), '{_UPPER}', '{_LOWER}') AS folded FROM documents) x
+WINDOW same AS (PARTITION BY folded)""",
+}
