@@ -29,6 +29,9 @@ MODELS = ["weekly_aggregates", "model_weekly_growth", "model_lifecycle", "mart_r
 ON_MARTS = ["val_row_counts", "val_join_integrity", "dash_top_tracks", "dash_rep_headline", "dash_filter_rep", "dash_market_table",
             "dash_campaign_headline", "dq_not_null", "dq_grain"]
 
+#: The untimed warm-up reads another, small scale, so that the load of the timed one is timed whole.
+WARM_DIR = "/root/testdata/sf0.001"
+
 
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
@@ -43,17 +46,18 @@ def main() -> None:
                                  "spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
     qs = registry.queries()
     # warm-up (untimed): JVM JIT, codegen, parquet footers, Python workers
-    run(qs["src_table_ref"](spark, sf_dir))
+    run(qs["src_table_ref"](spark, WARM_DIR))
     times = {}
     t0 = time.time()
-    registry.raw_tables(spark, sf_dir)   # ingestion: load the raw chart and campaign tables
+    t = registry.tables(spark, sf_dir)
+    t.charts, t.campaigns                # ingestion: load the raw chart and campaign tables
     times["load_raw"] = round(time.time() - t0, 3)
     for k in MODELS:  # noqa: B007
         t0 = time.time()
         run(qs[k](spark, sf_dir))
         times[k] = round(time.time() - t0, 3)
     t0 = time.time()
-    registry.marts(spark, sf_dir)   # lifecycle table once, then the three marts (written)
+    t.life, t.rep, t.mkt, t.camp         # lifecycle table once, then the three marts (written)
     times["pipeline"] = round(time.time() - t0, 3)
     for k in ON_MARTS:
         t0 = time.time()

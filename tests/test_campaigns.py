@@ -31,7 +31,7 @@ def _life(spark):
     rows = [("A", "X", "2025-01-06", 100), ("A", "X", "2025-01-13", 130),
             ("A", "Y", "2025-01-06", 100), ("A", "Y", "2025-01-13", 110),
             ("A", "Z", "2025-01-13", 50)]                      # debut: growth null
-    return L.lifecycle_full(W.weekly_growth(weekly_frame(spark, rows), keep_history=True))
+    return L.lifecycle(W.weekly_growth(weekly_frame(spark, rows), keep_history=True))
 
 
 def test_control_and_lift(spark):
@@ -104,3 +104,41 @@ def test_generate_campaigns_from_anchors(spark):
     assert Q.campaign_orphans(gen, charts).count() == 0
     # deterministic: a second build gives the same campaigns
     assert gen.exceptAll(K.generate_campaigns(charts, n=50, share=0.6, seed=42)).count() == 0
+
+
+def test_leave_one_out_equals_the_theta_join(spark, tmp_path):
+    """Random markets, unknown ones and null keys; campaigns that repeat stay twice; exact ties give a lift of zero."""
+    import random
+    rng = random.Random(3)
+    days = ["2025-01-06", "2025-01-13", "2025-01-20"]
+    rows = [(i, m, w, rng.choice([199, 200, 150, 7])) for i in "ABC" for m in "KLMNOP" for w in days if rng.random() < 0.8]
+    rows += [("T", m, w, p) for m in "KLMN" for w, p in zip(days, (200, 199, 150))]
+    L.lifecycle(W.weekly_growth(weekly_frame(spark, rows), keep_history=True)).write.parquet(str(tmp_path / "life"))
+    life = spark.read.parquet(str(tmp_path / "life"))
+    camps = [(f"C{n}", rng.choice(["A", "B", "C", "D", "T", None]), rng.choice([*"KLMNOPQ", None]), rng.choice(days), "Meta", 10.0, 5) for n in range(200)]
+    camps += camps[:20]
+    df = _camp(spark, camps)
+    rates = {}
+    for r in life.where("wow_growth_rate is not null").collect():
+        rates.setdefault((r.spotify_id, str(r.chart_week)), {})[r.country] = r.wow_growth_rate
+    out = C.campaign_performance(df, life)
+    got = out.collect()
+    assert len(got) == 220
+    ties = 0
+    for r in got:
+        there = rates.get((r.spotify_id, str(r.campaign_week)), {})
+        others = [v for m, v in there.items() if m != r.country] if r.country else []
+        if not others:
+            assert r.control_market_avg_wow_growth is None and r.lift_vs_control is None
+            continue
+        assert abs(r.control_market_avg_wow_growth - sum(others) / len(others)) < 1e-12
+        if r.country in there and set(others) == {there[r.country]}:
+            ties += 1
+            assert r.lift_vs_control == 0.0
+    assert ties > 0
+    theta = {r.campaign_id: r.wow_growth_rate for r in C.join_control(df, life).groupBy("campaign_id").agg({"wow_growth_rate": "avg"})
+             .withColumnRenamed("avg(wow_growth_rate)", "wow_growth_rate").collect()}
+    fused = {r.campaign_id: r.control_market_avg_wow_growth for r in C.control_market_growth(df, life).collect()}
+    assert theta.keys() == fused.keys() and all(abs(theta[k] - fused[k]) < 1e-12 for k in theta)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Generate" not in plan and "ObjectHashAggregate" not in plan

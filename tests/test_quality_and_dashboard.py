@@ -65,7 +65,7 @@ def test_campaign_ids_do_not_collide_beyond_999(spark):
     from conftest import SF001
     from tidemark.operators.construction import generate_campaigns
     from tidemark.plans import registry
-    made = generate_campaigns(registry.raw_tables(spark, SF001).charts, n=1200).select("campaign_id").collect()
+    made = generate_campaigns(registry.tables(spark, SF001).charts, n=1200).select("campaign_id").collect()
     assert len(made) == 1200 == len({r.campaign_id for r in made})
 
 
@@ -73,3 +73,36 @@ def test_latest_week_order(spark):
     mkt = spark.createDataFrame([(dt.date(2025, 6, 9), "DE", 5), (dt.date(2025, 6, 9), "FR", 7), (dt.date(2025, 6, 2), "SE", 9)],
                                 "chart_week date, country string, total_chart_points long").repartition(3)
     assert [r.country for r in D.latest_week(mkt).collect()] == ["FR", "DE"]
+
+
+def test_compiled_checks_take_one_scan(spark, tmp_path):
+    import collections
+    import random
+
+    from tidemark.operators import quality as Q
+    rng = random.Random(4)
+    pick = lambda n: rng.choice([None, *range(n)])
+    data = [(pick(40), pick(3), rng.choice(["Debut", "Peak", "odd", None])) for _ in range(200)]
+    spark.createDataFrame(data, "a int, b int, s string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    checks = Q.Checks(("a", "b"), ("a",), (("s", ("Debut", "Peak")),), (("a",), ("a", "b")))
+    out = Q.compiled(df, "t", checks)
+    got = {(r.column_name, r.check_name): r.failing_rows for r in out.collect()}
+    one, two = collections.Counter(r[0] for r in data), collections.Counter(r[:2] for r in data)
+    assert got == {("a", "not_null"): one[None], ("b", "not_null"): sum(r[1] is None for r in data),
+                   ("s", "accepted_values"): sum(r[2] == "odd" for r in data),
+                   ("a", "unique"): sum(n > 1 for v, n in one.items() if v is not None),
+                   ("a", "grain"): sum(n > 1 for n in one.values()), ("a,b", "grain"): sum(n > 1 for n in two.values())}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    for c in (Q.Checks(("a",)), Q.Checks(unique=("a",)), Q.Checks(accepted=(("s", ("Debut",)),))):
+        assert {r.failing_rows for r in Q.compiled(df.limit(0), "t", c).collect()} == {0}
+
+
+def test_quality_queries_scan_each_table_once(spark):
+    from conftest import SF001
+
+    from tidemark.plans import registry
+    for key, n in (("dq_not_null", 8), ("dq_unique", 2), ("dq_accepted_values", 2), ("dq_grain", 4), ("dq_report", 8)):
+        plan = registry.REG[key].build(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == n, key

@@ -33,8 +33,22 @@ def test_oracle_sf0001(spark, chunk):
     assert not bad, bad
 
 
-def test_refresh_forgets_written_tables(spark):
-    registry.raw_tables(spark, SF001)
-    assert registry._raw
+def test_written_tables_follow_their_inputs(spark, tmp_path):
+    """Rewrite an input: the next query sees it.  Unchanged inputs: the written table stays."""
+    import shutil
+
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+    for t in registry.SOURCES:
+        shutil.copy(f"{SF001}/{t}.parquet", tmp_path / f"{t}.parquet")
+    sf = str(tmp_path)
+    charts = registry.tables(spark, sf).charts
+    n, folder = charts.count(), charts.inputFiles()[0].rsplit("/", 1)[0]
+    assert registry.tables(spark, sf).charts.inputFiles()[0].startswith(folder)
+    lines = pq.read_table(tmp_path / "lineitem.parquet")
+    pq.write_table(lines.filter(pc.less(lines["l_orderkey"], 300)), tmp_path / "lineitem.parquet")
+    assert 0 < registry.tables(spark, sf).charts.count() < n
+    assert registry.queries()["val_row_counts"](spark, sf).first().spotify_rows < n
+    before = registry.tables(spark, sf).charts.inputFiles()
     registry.refresh()
-    assert not registry._raw and not registry._marts and not registry._written
+    assert registry.tables(spark, sf).charts.inputFiles() != before

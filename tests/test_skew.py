@@ -39,7 +39,7 @@ def _life(spark):
     for m in range(12):                       # one hot item in 12 markets, two weeks
         rows += [("HOT", f"M{m:02d}", "2025-01-06", 100), ("HOT", f"M{m:02d}", "2025-01-13", 100 + 10 * m)]
     rows += [("COLD", "M00", "2025-01-06", 50), ("COLD", "M00", "2025-01-13", 75)]
-    return L.lifecycle_full(W.weekly_growth(weekly_frame(spark, rows), keep_history=True))
+    return L.lifecycle(W.weekly_growth(weekly_frame(spark, rows), keep_history=True))
 
 
 def test_hot_item_week_campaigns(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import (campaign_efficiency_alert, campaign_performance_signal,
@@ -14,6 +14,9 @@ CAMPAIGN_COLUMNS = (
     "campaign_start_date", "campaign_end_date", "channel", "spend_eur", "impressions", "clicks",
     "ctr", "conversion_rate", "attributed_streams", "generation_type")
 
+#: A growth rate as a decimal: all 17 digits of a DOUBLE from 1e-7 on, up to 1e10; sums have four digits more.
+EXACT = "decimal(34,24)"
+
 BASE_COLUMNS = CAMPAIGN_COLUMNS[:6] + ("campaign_week",) + CAMPAIGN_COLUMNS[6:]
 
 MARKET_COLUMNS = ("campaign_market_chart_points", "campaign_market_wow_growth",
@@ -26,6 +29,10 @@ CAMP_COLUMNS = BASE_COLUMNS + (
     "campaign_efficiency_alert", "campaign_performance_signal")
 
 
+def exact_rate(name: str) -> Column:
+    return F.col(name).try_cast(EXACT)
+
+
 def campaign_base(campaigns: DataFrame) -> DataFrame:
     """``campaign_week``: the Monday week of the anchor date."""
     return campaigns.withColumn("campaign_week", week_of("snapshot_date")).select(*BASE_COLUMNS)
@@ -63,10 +70,41 @@ def join_control(campaigns: DataFrame, life: DataFrame) -> DataFrame:
     return c.join(r, cond, "inner").select("campaign_id", "control_country", "wow_growth_rate")
 
 
+def market_totals(life: DataFrame) -> DataFrame:
+    """One row per item-week: exact sum and number of the growth rates of all its markets."""
+    return life.where(F.col("country").isNotNull()) \
+        .groupBy(F.col("spotify_id").alias("_t_id"), F.col("chart_week").alias("_t_week")) \
+        .agg(F.sum(exact_rate("wow_growth_rate")).alias("_total"), F.count("wow_growth_rate").alias("_rates"))
+
+
+def with_control_totals(campaigns: DataFrame, life: DataFrame) -> DataFrame:
+    """``join_campaign_market`` plus sum and number of the growth rates of the *other* markets.
+
+    Two 1:1 joins: the own row by (item, market, week), and the totals by (item, week), of which
+    the own rate is taken away.  The sums are exact decimals, so nothing is lost in the
+    difference, and no campaign meets more than one row of either side.  A campaign without a
+    market has no other markets, as with ``<>``.
+    """
+    t = market_totals(life)
+    m = join_campaign_market(campaigns, life)
+    known = F.col("campaign_market_wow_growth").isNotNull()
+    own = F.coalesce(exact_rate("campaign_market_wow_growth"), F.lit(0).cast(EXACT))
+    there = F.col("country").isNotNull()
+    return m.join(t, (m.spotify_id == t._t_id) & (m.campaign_week == t._t_week), "left").select(
+        *m.columns,
+        F.when(there, F.col("_total") - own).alias("_control_sum"),
+        F.when(there, F.col("_rates") - known.cast("long")).alias("_control_n"))
+
+
+def _mean(total: Column, n: Column) -> Column:
+    """Decimal division, so that the mean of equal rates is that rate and a lift of zero stays zero."""
+    return F.when(n > 0, (total / n.cast("decimal(4,0)")).cast("double"))
+
+
 def control_market_growth(campaigns: DataFrame, life: DataFrame) -> DataFrame:
-    """``control_market_growth``: AVG growth of the other markets, per campaign."""
-    return join_control(campaigns, life).groupBy("campaign_id") \
-        .agg(F.avg("wow_growth_rate").alias("control_market_avg_wow_growth"))
+    """``control_market_growth``: AVG growth of the other markets, per campaign id, without ``join_control``'s fan-out."""
+    return with_control_totals(campaigns, life).where(F.col("_control_n") > 0).groupBy("campaign_id") \
+        .agg(_mean(F.sum("_control_sum"), F.sum("_control_n")).alias("control_market_avg_wow_growth"))
 
 
 def join_control_back(campaigns: DataFrame, life: DataFrame) -> DataFrame:
@@ -78,33 +116,9 @@ def join_control_back(campaigns: DataFrame, life: DataFrame) -> DataFrame:
 
 
 def campaign_market_and_control(campaigns: DataFrame, life: DataFrame) -> DataFrame:
-    """Own-market columns and control average from ONE equi join on (item, week).
-
-    Each campaign meets every market row of its item-week (at most one per
-    market); a conditional aggregate then picks its own market's row and
-    averages the others.  The aggregate runs on the join's output partitioning
-    after a map-side partial step, so the theta join and its second scan of
-    the lifecycle table disappear.
-    """
-    # equal campaign rows travel once, with their number
-    c = campaign_base(campaigns).groupBy(*BASE_COLUMNS).agg(F.count(F.lit(1)).cast("int").alias("_copies")) \
-        .withColumn("_crow", F.struct(*BASE_COLUMNS, "_copies"))
-    r = life.select(F.col("spotify_id").alias("_r_id"), F.col("chart_week").alias("_r_week"),
-                    F.col("country").alias("_r_country"), "weekly_chart_points", "wow_growth_rate",
-                    "lifecycle_stage", "market_spike_flag", F.col("cross_market_count").alias("_r_cross"))
-    j = c.join(r, (c.spotify_id == r._r_id) & (c.campaign_week == r._r_week), "left")
-    own = F.col("_r_country") == F.col("country")
-    other = F.col("_r_country") != F.col("country")
-    agg = j.groupBy("_crow").agg(
-        F.max(F.when(own, F.col("weekly_chart_points"))).alias("campaign_market_chart_points"),
-        F.max(F.when(own, F.col("wow_growth_rate"))).alias("campaign_market_wow_growth"),
-        F.max(F.when(own, F.col("lifecycle_stage"))).alias("campaign_market_lifecycle_stage"),
-        F.max(F.when(own, F.col("market_spike_flag"))).alias("campaign_market_spike_flag"),
-        F.max(F.when(own, F.col("_r_cross"))).alias("cross_market_count"),
-        F.avg(F.when(other, F.col("wow_growth_rate"))).alias("control_market_avg_wow_growth"),
-        F.count(F.when(own, F.lit(1))).alias("_own_rows"))
-    return agg.select("_crow.*", *MARKET_COLUMNS, "control_market_avg_wow_growth", "_own_rows") \
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
+    """Own-market columns and control average of every campaign row (rows that repeat stay as they are)."""
+    return with_control_totals(campaigns, life).select(
+        *BASE_COLUMNS, *MARKET_COLUMNS, _mean(F.col("_control_sum"), F.col("_control_n")).alias("control_market_avg_wow_growth"))
 
 
 def campaign_metrics(campaigns: DataFrame, life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:

@@ -29,11 +29,6 @@ LIFE_COLUMNS = (
     "cross_market_count", "selected_market_avg_wow_growth",
     "lifecycle_stage", "catalog_revival_flag", "market_spike_flag")
 
-# Internal columns carried by the materialised lifecycle table: the exact
-# decimal growth, and the per-(item, week) sum and count of growth, which let
-# the campaign mart derive the control-market average without a theta join.
-MARKET_STAT_COLUMNS = ("_growth_dec", "_market_growth_sum", "_market_growth_n")
-
 
 def with_history(growth: DataFrame) -> DataFrame:
     """``win_first_week``, ``win_max_points``, ``win_prev_week`` on (item, market)."""
@@ -69,19 +64,9 @@ def classify(df: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
               .withColumn("market_spike_flag", market_spike_flag(t=t)))
 
 
-def lifecycle_full(growth: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """Lifecycle rows plus the internal market statistics (what gets materialised)."""
-    return classify(with_market_stats(with_history(growth), t), t) \
-        .select(*LIFE_COLUMNS, *MARKET_STAT_COLUMNS)
-
-
 def lifecycle(growth: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """``model_lifecycle``: the 28 public columns."""
-    return lifecycle_full(growth, t).select(*LIFE_COLUMNS)
-
-
-def public(life: DataFrame) -> DataFrame:
-    return life.select(*LIFE_COLUMNS)
+    """``model_lifecycle``: the 28 columns."""
+    return classify(with_market_stats(with_history(growth), t), t).select(*LIFE_COLUMNS)
 
 
 def penetration_join_form(growth: DataFrame) -> DataFrame:
@@ -89,12 +74,5 @@ def penetration_join_form(growth: DataFrame) -> DataFrame:
     return growth.groupBy("spotify_id", "chart_week").agg(F.countDistinct("country").alias("cross_market_count"))
 
 
-def market_average_join_form(growth: DataFrame) -> DataFrame:
-    """``market_average_growth`` as GROUP BY over the non-null growth rows."""
-    return (growth.where(F.col("wow_growth_rate").isNotNull())
-                  .groupBy("spotify_id", "chart_week")
-                  .agg(F.avg("wow_growth_rate").alias("selected_market_avg_wow_growth")))
-
-
-__all__ = ["LIFE_COLUMNS", "GROWTH_COLUMNS", "lifecycle", "lifecycle_full", "with_history",
-           "with_market_stats", "classify", "public", "penetration_join_form", "market_average_join_form"]
+__all__ = ["LIFE_COLUMNS", "GROWTH_COLUMNS", "lifecycle", "with_history", "with_market_stats", "classify",
+           "penetration_join_form"]

@@ -27,13 +27,13 @@ from tidemark.sources import binding
 class Models:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, *,
                  charts: DataFrame | None = None, campaigns: DataFrame | None = None,
-                 thresholds: Thresholds = DEFAULT_THRESHOLDS):
+                 life: DataFrame | None = None, thresholds: Thresholds = DEFAULT_THRESHOLDS):
         self.spark = spark
         self.sf_dir = sf_dir
         self.t = thresholds
         self._charts = charts
         self._campaigns = campaigns
-        self._life_override: DataFrame | None = None
+        self._life_override = life
 
     # -- inputs ---------------------------------------------------------
     @cached_property
@@ -59,44 +59,37 @@ class Models:
         return W.weekly_growth(self.weekly, keep_history=True)
 
     @property
-    def life_full(self) -> DataFrame:
-        if self._life_override is not None:
-            return self._life_override
-        return self._life_full_lazy
+    def life(self) -> DataFrame:
+        return self._life_override if self._life_override is not None else self._life_lazy
 
     @cached_property
-    def _life_full_lazy(self) -> DataFrame:
-        return L.lifecycle_full(self.growth_history, self.t)
-
-    @property
-    def life(self) -> DataFrame:
-        return L.public(self.life_full)
+    def _life_lazy(self) -> DataFrame:
+        return L.lifecycle(self.growth_history, self.t)
 
     # -- marts ------------------------------------------------------------
     @property
     def rep(self) -> DataFrame:
-        # a lazy lifecycle chain is cut once; a written lifecycle table is read as is
-        return M.repertoire(self.life_full, self.t)
+        return M.repertoire(self.life, self.t)
 
     @property
     def mkt(self) -> DataFrame:
-        return M.market_trends(self.life_full, self.t)
+        return M.market_trends(self.life, self.t)
 
     @property
     def camp(self) -> DataFrame:
-        return C.campaign_performance(self.campaigns, self.life_full, self.t)
+        return C.campaign_performance(self.campaigns, self.life, self.t)
 
     def kpi(self) -> DataFrame:
         return M.kpi_catalog(self.spark)
 
     # -- materialisation ----------------------------------------------------
     def materialize_life(self, folder: str | None = None) -> DataFrame:
-        """Write the lifecycle table (with its market statistics) once and read it back.
+        """Write the lifecycle table once and read it back.
 
         The folder defaults to a fresh directory under ``spark.checkpoint.dir``
         (shared storage on a cluster), so a lost executor never loses it.
         """
         base = folder or os.path.join(checkpoint_dir(self.spark), "life-" + uuid.uuid4().hex[:12])
-        self._life_full_lazy.write.mode("overwrite").parquet(base)
+        self._life_lazy.write.mode("overwrite").parquet(base)
         self._life_override = self.spark.read.parquet(base)
         return self._life_override

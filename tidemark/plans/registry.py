@@ -10,9 +10,10 @@ the Spark schemas.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
-import threading
+import time
 from dataclasses import dataclass
 from typing import Callable
 
@@ -29,12 +30,13 @@ from tidemark.operators import marts as M
 from tidemark.operators import quality as Q
 from tidemark.operators import staging as S
 from tidemark.operators import weekly as W
-from tidemark.params import DashboardFilter
+from tidemark.params import LIFECYCLE_STAGES, DashboardFilter
 from tidemark.plans import oracle as O
 from tidemark.plans.models import Models
 from tidemark.sources import binding
 from tidemark.sources import files as FS
-from tidemark.sources.tables import read_table
+from tidemark.sources import versions as V
+from tidemark.sources.tables import read_table, table_path
 
 ROUND_DIGITS = 9
 KEYS3 = ["spotify_id", "country", "chart_week"]
@@ -71,8 +73,8 @@ def q(name: str, sql: str | None = None):
 def _m(spark, sf) -> Models:
     """The models over the loaded raw tables (as the reference's models are
     views over its raw warehouse tables)."""
-    r = raw_tables(spark, sf)
-    return Models(spark, sf, charts=r.charts, campaigns=r.campaigns)
+    t = tables(spark, sf)
+    return Models(spark, sf, charts=t.charts, campaigns=t.campaigns)
 
 
 # ----------------------------------------------------------------------------
@@ -89,29 +91,101 @@ RAW_CAMPAIGN_NAMES = dict(zip(C.CAMPAIGN_COLUMNS, I.CAMPAIGN_COLUMNS))
 _SQL_RAW_CSV = ", ".join(f"CAST({src} AS VARCHAR) AS {dst}" for src, dst in RAW_CHART_NAMES.items())
 _SQL_RAW_CAMP = ", ".join(f"CAST({src} AS VARCHAR) AS {dst}" for src, dst in RAW_CAMPAIGN_NAMES.items())
 
-_written: dict[tuple, str] = {}
+SOURCES = ("nation", "customer", "part", "orders", "lineitem")
+LOOK_AGAIN = 0.5            # seconds for which one look at the input files holds, so that the tables of a query agree
+_epoch = 0
+_seen: dict[tuple, tuple[float, str]] = {}
+_frames: dict[tuple, DataFrame] = {}     # scans of written versions
 
 
 def _app(spark) -> str:
-    """Memo key of a session: its application id (unique per Spark application)."""
+    """A session's application id (unique per Spark application)."""
     return spark.sparkContext.applicationId
-_build_lock = threading.RLock()  # queries may be called from several threads
 
 
-def _once(spark, sf, name, make: Callable[[], DataFrame], writer=FS.write_csv) -> str:
-    key = (_app(spark), os.path.abspath(sf), name)
-    with _build_lock:
-        if key not in _written:
-            _written[key] = writer(make(), FS.io_path(spark, sf, name))
-        return _written[key]
+def inputs_of(spark, sf) -> str:
+    """What a written table of this application is made from: names, sizes and times of the input files."""
+    key, now = (_app(spark), _epoch, os.path.abspath(sf)), time.monotonic()
+    seen = _seen.get(key)
+    if seen is None or now - seen[0] > LOOK_AGAIN:
+        seen = _seen[key] = (now, f"{_app(spark)}:{_epoch}:" + V.fingerprint(spark, [table_path(sf, t) for t in SOURCES]))
+    return seen[1]
+
+
+def refresh() -> None:
+    """Build every written table anew when it is next asked for, even if its input files look the same."""
+    global _epoch
+    _epoch += 1
+
+
+def written(spark, sf, name, make: Callable[[], DataFrame], partition_by=(), write=V.write_parquet) -> V.Version:
+    """The table ``name`` made from the present input files at ``sf``: kept while they are the same."""
+    return V.table(spark, FS.io_path(spark, sf, name), inputs_of(spark, sf), make, partition_by, write)
+
+
+def scan(spark, sf, name, make: Callable[[], DataFrame], partition_by=()) -> DataFrame:
+    v = written(spark, sf, name, make, partition_by)
+    key = (_app(spark), v.folder)
+    if key not in _frames:
+        _frames[key] = v.read(spark)
+    return _frames[key]
+
+
+class Tables:
+    """The written tables of one binding: raw tables, lifecycle table and marts, as the reference
+    materialises raw tables and marts and its dashboard and tests query them.
+
+    Each is built when first asked for and again after its input files changed; it lies in the
+    shared checkpoint folder.
+    """
+
+    def __init__(self, spark, sf):
+        self.spark, self.sf = spark, sf
+
+    def _scan(self, name, make, partition_by=()) -> DataFrame:
+        return scan(self.spark, self.sf, name, make, partition_by)
+
+    @property
+    def charts(self) -> DataFrame:
+        return self._scan("raw_charts", lambda: binding.chart_rows(self.spark, self.sf))
+
+    @property
+    def campaigns(self) -> DataFrame:
+        return self._scan("raw_campaigns", lambda: binding.campaign_rows(self.spark, self.sf))
+
+    @property
+    def life(self) -> DataFrame:
+        return self._scan("life", lambda: Models(self.spark, self.sf, charts=self.charts).life)
+
+    @property
+    def rep(self) -> DataFrame:
+        """Partitioned by ``chart_week``: a dashboard date range prunes partitions."""
+        return self._scan("rep", lambda: M.repertoire(self.life), ["chart_week"]).select(*M.REP_COLUMNS)
+
+    @property
+    def mkt(self) -> DataFrame:
+        """At most markets x weeks rows at any data size: unpartitioned."""
+        return self._scan("mkt", lambda: M.market_trends(self.life))
+
+    @property
+    def camp(self) -> DataFrame:
+        return self._scan("camp", lambda: C.campaign_performance(self.campaigns, self.life))
+
+    @property
+    def models(self) -> Models:
+        return Models(self.spark, self.sf, charts=self.charts, campaigns=self.campaigns, life=self.life)
+
+
+def tables(spark, sf) -> Tables:
+    return Tables(spark, sf)
 
 
 def _raw_chart_text(spark, sf) -> DataFrame:
-    return binding.soiled_charts(FS.as_text(binding.chart_rows(spark, sf), RAW_CHART_NAMES))
+    return binding.soiled_charts(FS.as_text(tables(spark, sf).charts, RAW_CHART_NAMES))
 
 
 def _raw_chart_path(spark, sf) -> str:
-    return _once(spark, sf, "raw_charts_csv", lambda: _raw_chart_text(spark, sf))
+    return written(spark, sf, "raw_charts_csv", lambda: _raw_chart_text(spark, sf), write=V.write_csv).folder
 
 
 def raw_chart_csv(spark, sf) -> DataFrame:
@@ -119,9 +193,12 @@ def raw_chart_csv(spark, sf) -> DataFrame:
     return FS.read_csv(spark, _raw_chart_path(spark, sf), I.CHART_COLUMNS)
 
 
+def raw_campaign_text(spark, sf) -> DataFrame:
+    return binding.soiled_campaigns(FS.as_text(tables(spark, sf).campaigns, RAW_CAMPAIGN_NAMES))
+
+
 def raw_campaign_csv(spark, sf) -> DataFrame:
-    path = _once(spark, sf, "raw_campaigns_csv",
-                 lambda: binding.soiled_campaigns(FS.as_text(binding.campaign_rows(spark, sf), RAW_CAMPAIGN_NAMES)))
+    path = written(spark, sf, "raw_campaigns_csv", lambda: raw_campaign_text(spark, sf), write=V.write_csv).folder
     return FS.read_csv(spark, path, I.CAMPAIGN_COLUMNS)
 
 
@@ -138,76 +215,6 @@ def ingested(spark, sf) -> DataFrame:
     return I.clean_charts(raw_chart_csv(spark, sf), markets(spark, sf))
 
 
-class RawTables:
-    """The raw chart and campaign tables, loaded once per session and binding
-    (the ingestion step): Parquet under the shared checkpoint folder."""
-
-    def __init__(self, spark, sf):
-        charts = FS.write_table(binding.chart_rows(spark, sf), FS.io_path(spark, sf, "raw_charts"))
-        campaigns = FS.write_table(binding.campaign_rows(spark, sf), FS.io_path(spark, sf, "raw_campaigns"))
-        self.charts = spark.read.parquet(charts)
-        self.campaigns = spark.read.parquet(campaigns)
-
-
-_raw: dict[tuple, RawTables] = {}
-
-
-def refresh() -> None:
-    """Forget every written table: the next query reads its inputs anew.
-
-    Call it after rewriting input files in a running session; the memos are
-    keyed by application and folder only.
-    """
-    with _build_lock:
-        for memo in (_written, _raw, _marts):
-            memo.clear()
-
-
-def raw_tables(spark, sf) -> RawTables:
-    key = (_app(spark), os.path.abspath(sf))
-    with _build_lock:
-        if key not in _raw:
-            _raw[key] = RawTables(spark, sf)
-        return _raw[key]
-
-
-class MartTables:
-    """The marts as written tables (the reference materialises marts as tables
-    and its dashboard and tests query them).  Built once per session and
-    binding under the shared checkpoint folder: the lifecycle table first,
-    then the repertoire mart partitioned by ``chart_week`` (a dashboard date
-    range prunes partitions), market trends and the campaign mart."""
-
-    def __init__(self, spark, sf):
-        # the models over the loaded raw tables
-        r = raw_tables(spark, sf)
-        self.charts, self.campaigns = r.charts, r.campaigns
-        m = Models(spark, sf, charts=self.charts, campaigns=self.campaigns)
-        self.models = m
-        life = m.materialize_life(FS.io_path(spark, sf, "life"))
-        self.life_full = life
-        self.life = L.public(life)
-        rep = FS.write_table(M.repertoire(life), FS.io_path(spark, sf, "rep"), ["chart_week"])
-        # market trends has at most markets x weeks rows at any data size: one
-        # unpartitioned table (a week partitioning would only make tiny files)
-        mkt = FS.write_table(M.market_trends(life), FS.io_path(spark, sf, "mkt"))
-        camp = FS.write_table(C.campaign_performance(m.campaigns, life), FS.io_path(spark, sf, "camp"))
-        self.rep = spark.read.parquet(rep).select(*M.REP_COLUMNS)
-        self.mkt = spark.read.parquet(mkt).select(*M.MKT_COLUMNS)
-        self.camp = spark.read.parquet(camp).select(*C.CAMP_COLUMNS)
-
-
-_marts: dict[tuple, MartTables] = {}
-
-
-def marts(spark, sf) -> MartTables:
-    key = (_app(spark), os.path.abspath(sf))
-    with _build_lock:
-        if key not in _marts:
-            _marts[key] = MartTables(spark, sf)
-        return _marts[key]
-
-
 O.CTES["raw_csv"] = f"""
   SELECT * EXCLUDE (k) REPLACE (
     CASE k WHEN 1 THEN NULL WHEN 2 THEN '  ' || spotify_id || ' ' ELSE spotify_id END AS spotify_id,
@@ -305,7 +312,7 @@ O.CTES["stg_camp"] = f"""
 # ----------------------------------------------------------------------------
 @q("src_table_ref", "SELECT * FROM charts")
 def src_table_ref(spark, sf):
-    return raw_tables(spark, sf).charts
+    return tables(spark, sf).charts
 
 
 @q("src_chart_csv", "SELECT * FROM raw_csv")
@@ -321,7 +328,7 @@ def src_campaign_csv(spark, sf):
 @q("sink_filtered_csv", "SELECT " + ", ".join(f"CAST({c.upper()} AS VARCHAR) AS {c.upper()}"
                                               for c in I.CHART_COLUMNS) + " FROM ing_out")
 def sink_filtered_csv(spark, sf):
-    path = _once(spark, sf, "filtered_charts_csv", lambda: ingested(spark, sf))
+    path = written(spark, sf, "filtered_charts_csv", lambda: ingested(spark, sf), write=V.write_csv).folder
     return FS.read_csv(spark, path, [c.upper() for c in I.CHART_COLUMNS])
 
 
@@ -334,14 +341,13 @@ def src_anchor_csv(spark, sf):
 
 @q("sink_raw_table", "SELECT * FROM ing_out")
 def sink_raw_table(spark, sf):
-    path = _once(spark, sf, "raw_chart_table", lambda: ingested(spark, sf), FS.write_table)
-    return spark.read.parquet(path)
+    return scan(spark, sf, "raw_chart_table", lambda: ingested(spark, sf))
 
 
 @q("sink_mart", "SELECT * FROM rep")
 def sink_mart(spark, sf):
     """The repertoire mart as written (a table partitioned by ``chart_week``), read back."""
-    return marts(spark, sf).rep
+    return tables(spark, sf).rep
 
 
 # ----------------------------------------------------------------------------
@@ -403,21 +409,19 @@ def ing_project_order(spark, sf):
 
 @q("stream_ingest_charts", "SELECT * FROM ing_out")
 def stream_ingest_charts(spark, sf):
-    """The chart file ingested by a file stream (one micro-batch per CSV part)."""
+    """The chart file ingested by a file stream, eight CSV parts a micro-batch; taken up once per state of the input files."""
     from tidemark.streaming.ingest_stream import ingest_charts_stream, stream_paths
     raw_path = _raw_chart_path(spark, sf)
-    key = (_app(spark), os.path.abspath(sf), "stream_ingest")
-    with _build_lock:
-        if key not in _written:
-            out, ckpt = stream_paths(FS.io_path(spark, sf, "stream_ingest"))
-            ingest_charts_stream(spark, raw_path, out, ckpt, markets=markets(spark, sf), files_per_trigger=8)
-            _written[key] = out
-        return spark.read.parquet(_written[key])
+    run = hashlib.sha256(raw_path.encode()).hexdigest()[:12]
+    out, ckpt = stream_paths(FS.io_path(spark, sf, f"stream_ingest-{run}"))
+    return ingest_charts_stream(spark, raw_path, out, ckpt, markets=markets(spark, sf), files_per_trigger=8)
 
 
 @q("ing_filtered_count", "SELECT COUNT(*) AS filtered_rows FROM ing_out")
 def ing_filtered_count(spark, sf):
-    return ingested(spark, sf).agg(F.count(F.lit(1)).alias("filtered_rows"))
+    """The rows that the load of the raw chart table wrote, counted by the write itself."""
+    v = written(spark, sf, "raw_chart_table", lambda: ingested(spark, sf))
+    return spark.range(1).select(F.lit(v.rows).cast("long").alias("filtered_rows"))
 
 
 @q("ing_campaigns", "SELECT * FROM (SELECT " + ", ".join(
@@ -442,7 +446,7 @@ def stg_charts(spark, sf):
 
 @q("stg_campaigns", "SELECT * FROM stg_camp")
 def stg_campaigns(spark, sf):
-    return S.stage_campaigns(raw_campaign_csv(spark, sf))
+    return S.stage_campaigns(raw_campaign_text(spark, sf))
 
 
 # ----------------------------------------------------------------------------
@@ -610,8 +614,8 @@ def control_market_growth(spark, sf):
 
 @q("join_control_back", "SELECT * EXCLUDE (cost_per_stream, roas_proxy) FROM cmetrics")
 def join_control_back(spark, sf):
-    t = marts(spark, sf)
-    return C.join_control_back(t.models.campaigns, t.life_full)
+    t = tables(spark, sf)
+    return C.join_control_back(t.campaigns, t.life)
 
 
 @q("cost_per_stream", "SELECT campaign_id, spend_eur / CAST(NULLIF(attributed_streams, 0) AS DOUBLE) "
@@ -639,7 +643,7 @@ def channel_benchmarks(spark, sf):
 @q("join_channel_benchmark", "SELECT * EXCLUDE (campaign_efficiency_alert, campaign_performance_signal) FROM camp")
 def join_channel_benchmark(spark, sf):
     m = _m(spark, sf)
-    return C.join_channel_benchmark(C.campaign_metrics(m.campaigns, m.life)).drop("_own_rows")
+    return C.join_channel_benchmark(C.campaign_metrics(m.campaigns, m.life))
 
 
 for _key in ("lift_vs_control", "campaign_efficiency_alert", "campaign_performance_signal"):
@@ -669,71 +673,71 @@ _RANGE_SQL = f"{_PICKED_SQL} AND chart_week BETWEEN DATE '1996-01-01' AND DATE '
 
 @q("dash_filter_rep", f"SELECT * FROM rep WHERE {_RANGE_SQL}")
 def dash_filter_rep(spark, sf):
-    return D.filter_rep(marts(spark, sf).rep, RANGE_FILTER)
+    return D.filter_rep(tables(spark, sf).rep, RANGE_FILTER)
 
 
 @q("dash_filter_mkt", f"SELECT * FROM mkt WHERE {_RANGE_SQL}")
 def dash_filter_mkt(spark, sf):
-    return D.filter_mkt(marts(spark, sf).mkt, RANGE_FILTER)
+    return D.filter_mkt(tables(spark, sf).mkt, RANGE_FILTER)
 
 
 @q("dash_filter_camp", f"SELECT * FROM camp WHERE {_PICKED_SQL}")
 def dash_filter_camp(spark, sf):
-    return D.filter_camp(marts(spark, sf).camp, DashboardFilter(countries=PICKED))
+    return D.filter_camp(tables(spark, sf).camp, DashboardFilter(countries=PICKED))
 
 
 @q("dash_date_bounds", "SELECT MIN(chart_week) AS min_date, MAX(chart_week) AS max_date FROM life")
 def dash_date_bounds(spark, sf):
-    return D.date_bounds(marts(spark, sf).rep)
+    return D.date_bounds(tables(spark, sf).rep)
 
 
 @q("dash_countries", "SELECT DISTINCT country FROM life WHERE country IS NOT NULL")
 def dash_countries(spark, sf):
-    return D.countries(marts(spark, sf).rep)
+    return D.countries(tables(spark, sf).rep)
 
 
 @q("dash_rep_headline", "SELECT COUNT(DISTINCT spotify_id) AS total_tracks, AVG(wow_growth_rate) AS avg_wow_growth, "
    "CAST(COUNT_IF(catalog_revival_flag) AS BIGINT) AS catalog_revivals, "
    "CAST(COUNT_IF(market_spike_flag) AS BIGINT) AS market_spikes FROM life")
 def dash_rep_headline(spark, sf):
-    return D.rep_headline(D.filter_rep(marts(spark, sf).rep, ALL))
+    return D.rep_headline(D.filter_rep(tables(spark, sf).rep, ALL))
 
 
 @q("dash_lifecycle_counts", "SELECT lifecycle_stage, COUNT(*) AS row_count FROM life "
    "WHERE lifecycle_stage IS NOT NULL GROUP BY lifecycle_stage")
 def dash_lifecycle_counts(spark, sf):
-    return D.lifecycle_counts(D.filter_rep(marts(spark, sf).rep, ALL))
+    return D.lifecycle_counts(D.filter_rep(tables(spark, sf).rep, ALL))
 
 
 @q("dash_top_tracks", "SELECT track_name, artists, CAST(SUM(weekly_chart_points) AS BIGINT) AS weekly_chart_points "
    "FROM life WHERE track_name IS NOT NULL AND artists IS NOT NULL GROUP BY track_name, artists "
    "ORDER BY weekly_chart_points DESC, track_name, artists LIMIT 10")
 def dash_top_tracks(spark, sf):
-    return D.top_tracks(D.filter_rep(marts(spark, sf).rep, ALL))
+    return D.top_tracks(D.filter_rep(tables(spark, sf).rep, ALL))
 
 
 @q("dash_top_signals", "SELECT track_name, artists, country, chart_week, weekly_chart_points, wow_growth_rate, "
    "lifecycle_stage, repertoire_signal, cross_market_count FROM rep "
    "ORDER BY weekly_chart_points DESC, spotify_id, country, chart_week LIMIT 50")
 def dash_top_signals(spark, sf):
-    return D.top_signals(D.filter_rep(marts(spark, sf).rep, ALL))
+    return D.top_signals(D.filter_rep(tables(spark, sf).rep, ALL))
 
 
 @q("dash_market_series", "SELECT country, chart_week, total_chart_points FROM mkt")
 def dash_market_series(spark, sf):
-    return D.market_series(D.filter_mkt(marts(spark, sf).mkt, ALL))
+    return D.market_series(D.filter_mkt(tables(spark, sf).mkt, ALL))
 
 
 @q("dash_latest_week", "SELECT country, chart_week, total_chart_points FROM mkt "
    "WHERE chart_week = (SELECT MAX(chart_week) FROM mkt)")
 def dash_latest_week(spark, sf):
-    return D.latest_week(D.filter_mkt(marts(spark, sf).mkt, ALL))
+    return D.latest_week(D.filter_mkt(tables(spark, sf).mkt, ALL))
 
 
 @q("dash_market_table", "SELECT country, chart_week, tracks_tracked, total_chart_points, growing_tracks, "
    "declining_tracks, market_spike_count, top_track_name, top_artists FROM mkt")
 def dash_market_table(spark, sf):
-    return D.market_table(D.filter_mkt(marts(spark, sf).mkt, ALL))
+    return D.market_table(D.filter_mkt(tables(spark, sf).mkt, ALL))
 
 
 @q("dash_market_headline", "SELECT CAST(SUM(market_spike_count) AS BIGINT) AS total_market_spikes, "
@@ -741,32 +745,32 @@ def dash_market_table(spark, sf):
    "CAST(SUM(cross_market_champions) AS BIGINT) AS cross_market_champions, "
    "AVG(avg_wow_growth_rate) AS avg_market_growth FROM mkt")
 def dash_market_headline(spark, sf):
-    return D.market_headline(D.filter_mkt(marts(spark, sf).mkt, ALL))
+    return D.market_headline(D.filter_mkt(tables(spark, sf).mkt, ALL))
 
 
 @q("dash_campaign_headline", "SELECT CAST(SUM(CAST(spend_eur AS DECIMAL(18,4))) AS DOUBLE) AS total_spend, "
    "AVG(roas_proxy) AS avg_roas, AVG(cost_per_stream) AS avg_cps, COUNT(DISTINCT campaign_id) AS campaigns FROM camp")
 def dash_campaign_headline(spark, sf):
-    return D.campaign_headline(D.filter_camp(marts(spark, sf).camp, ALL))
+    return D.campaign_headline(D.filter_camp(tables(spark, sf).camp, ALL))
 
 
 @q("dash_channel_roas", "SELECT channel, AVG(roas_proxy) AS roas_proxy FROM camp "
    "WHERE channel IS NOT NULL GROUP BY channel")
 def dash_channel_roas(spark, sf):
-    return D.channel_roas(D.filter_camp(marts(spark, sf).camp, ALL))
+    return D.channel_roas(D.filter_camp(tables(spark, sf).camp, ALL))
 
 
 @q("dash_campaign_table", "SELECT campaign_id, track_name, artists, country, channel, spend_eur, attributed_streams, "
    "cost_per_stream, roas_proxy, lift_vs_control, campaign_efficiency_alert, campaign_performance_signal FROM camp")
 def dash_campaign_table(spark, sf):
-    return D.campaign_table(D.filter_camp(marts(spark, sf).camp, ALL))
+    return D.campaign_table(D.filter_camp(tables(spark, sf).camp, ALL))
 
 
 @q("dash_spend_streams", "SELECT campaign_id, spend_eur, attributed_streams, channel, "
    "GREATEST(ABS(COALESCE(lift_vs_control, 0.0)), CAST(0.01 AS DOUBLE)) AS lift_size, track_name, artists, country, "
    "lift_vs_control, campaign_performance_signal FROM camp")
 def dash_spend_streams(spark, sf):
-    return D.spend_streams(D.filter_camp(marts(spark, sf).camp, ALL))
+    return D.spend_streams(D.filter_camp(tables(spark, sf).camp, ALL))
 
 
 # ----------------------------------------------------------------------------
@@ -775,36 +779,36 @@ def dash_spend_streams(spark, sf):
 @q("val_row_counts", "SELECT (SELECT COUNT(*) FROM charts) AS spotify_rows, "
    "(SELECT COUNT(*) FROM campaigns) AS campaign_rows")
 def val_row_counts(spark, sf):
-    m = marts(spark, sf)
+    m = tables(spark, sf)
     return Q.row_counts(m.charts, m.campaigns)
 
 
 @q("val_generation_mix", "SELECT generation_type, COUNT(*) AS row_count FROM campaigns GROUP BY generation_type")
 def val_generation_mix(spark, sf):
-    return Q.generation_mix(marts(spark, sf).campaigns)
+    return Q.generation_mix(tables(spark, sf).campaigns)
 
 
 @q("val_join_integrity", "SELECT COUNT(*) AS matching_campaign_rows FROM campaigns c JOIN charts s "
    "ON c.spotify_id = s.spotify_id AND c.country = s.country AND c.snapshot_date = s.snapshot_date")
 def val_join_integrity(spark, sf):
-    m = marts(spark, sf)
+    m = tables(spark, sf)
     return Q.join_integrity(m.campaigns, m.charts)
 
 
 @q("val_preview", "SELECT * FROM charts ORDER BY spotify_id, country, snapshot_date LIMIT 10")
 def val_preview(spark, sf):
-    return Q.preview(marts(spark, sf).charts, ["spotify_id", "country", "snapshot_date"])
+    return Q.preview(tables(spark, sf).charts, ["spotify_id", "country", "snapshot_date"])
 
 
 @q("val_preview_campaigns", "SELECT * FROM campaigns ORDER BY campaign_id LIMIT 10")
 def val_preview_campaigns(spark, sf):
-    return Q.preview(marts(spark, sf).campaigns, ["campaign_id"])
+    return Q.preview(tables(spark, sf).campaigns, ["campaign_id"])
 
 
 @q("campaign_orphans", "SELECT c.* FROM campaigns c WHERE NOT EXISTS (SELECT 1 FROM charts s "
    "WHERE s.spotify_id = c.spotify_id AND s.country = c.country AND s.snapshot_date = c.snapshot_date)")
 def campaign_orphans(spark, sf):
-    m = marts(spark, sf)
+    m = tables(spark, sf)
     return Q.campaign_orphans(m.campaigns, m.charts)
 
 
@@ -909,11 +913,19 @@ NOT_NULL = {
 }
 
 
-def _frames(spark, sf) -> dict[str, DataFrame]:
-    """Tables the checks run on: the staged raw text, the marts, and views computed over them."""
-    t = marts(spark, sf)
-    return {"charts": stg_charts(spark, sf), "campaigns": stg_campaigns(spark, sf), "weekly": t.models.weekly, "growth": t.models.growth,
-            "life": t.life, "rep": t.rep, "mkt": t.mkt, "camp": t.camp}
+CHECKS = {t: Q.Checks(not_null=c) for t, c in NOT_NULL.items()}
+_UNIQUE = (("campaigns", "campaign_id"), ("camp", "campaign_id"))
+_ACCEPTED = (("life", "lifecycle_stage"), ("rep", "lifecycle_stage"))
+_GRAIN = (("weekly", ("spotify_id", "country", "chart_week")), ("life", ("spotify_id", "country", "chart_week")),
+          ("mkt", ("country", "chart_week")), ("camp", ("campaign_id",)))
+
+
+def checked(spark, sf) -> dict[str, Callable[[], DataFrame]]:
+    """Tables the checks run on: the staged raw text, the marts, and views computed over them, each made when asked for."""
+    t = tables(spark, sf)
+    m = Models(spark, sf, charts=t.charts)
+    return {"charts": lambda: stg_charts(spark, sf), "campaigns": lambda: stg_campaigns(spark, sf), "weekly": lambda: m.weekly,
+            "growth": lambda: m.growth, "life": lambda: t.life, "rep": lambda: t.rep, "mkt": lambda: t.mkt, "camp": lambda: t.camp}
 
 
 @q("dq_not_null", " UNION ALL ".join(
@@ -921,11 +933,7 @@ def _frames(spark, sf) -> dict[str, DataFrame]:
     f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS failing_rows FROM {_STAGED.get(t, t)}"
     for t, cols in NOT_NULL.items() for c in cols))
 def dq_not_null(spark, sf):
-    fr = _frames(spark, sf)
-    return Q.union_all([Q.not_null(fr[t], t, cols) for t, cols in NOT_NULL.items()])
-
-
-_UNIQUE = (("campaigns", "campaign_id"), ("camp", "campaign_id"))
+    return Q.report(checked(spark, sf), CHECKS)
 
 
 @q("dq_unique", " UNION ALL ".join(
@@ -933,8 +941,7 @@ _UNIQUE = (("campaigns", "campaign_id"), ("camp", "campaign_id"))
     f"FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d" for t, c in _UNIQUE)
    .replace("FROM campaigns", "FROM stg_camp"))
 def dq_unique(spark, sf):
-    fr = _frames(spark, sf)
-    return Q.union_all([Q.unique(fr[t], t, c) for t, c in _UNIQUE])
+    return Q.report(checked(spark, sf), {t: Q.Checks(unique=(c,)) for t, c in _UNIQUE})
 
 
 @q("dq_accepted_values", " UNION ALL ".join(
@@ -943,21 +950,22 @@ def dq_unique(spark, sf):
     f"('Debut', 'Growing', 'Peak', 'Declining', 'Revived', 'Stable')) AS BIGINT) AS failing_rows FROM {t}"
     for t in ("life", "rep")))
 def dq_accepted_values(spark, sf):
-    fr = _frames(spark, sf)
-    return Q.union_all([Q.accepted_values(fr["life"], "life", "lifecycle_stage"),
-                        Q.accepted_values(fr["rep"], "rep", "lifecycle_stage")])
-
-
-_GRAIN = (("weekly", ("spotify_id", "country", "chart_week")), ("life", ("spotify_id", "country", "chart_week")),
-          ("mkt", ("country", "chart_week")), ("camp", ("campaign_id",)))
+    return Q.report(checked(spark, sf), {t: Q.Checks(accepted=((c, LIFECYCLE_STAGES),)) for t, c in _ACCEPTED})
 
 
 @q("dq_grain", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{','.join(k)}' AS column_name, 'grain' AS check_name, COUNT(*) AS failing_rows "
     f"FROM (SELECT {', '.join(k)} FROM {t} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1) d" for t, k in _GRAIN))
 def dq_grain(spark, sf):
-    fr = _frames(spark, sf)
-    return Q.union_all([Q.grain(fr[t], t, list(k)) for t, k in _GRAIN])
+    return Q.report(checked(spark, sf), {t: Q.Checks(grain=(k,)) for t, k in _GRAIN})
+
+
+@q("dq_report", " UNION ALL ".join(f"({REG[k].sql})" for k in ("dq_not_null", "dq_unique", "dq_accepted_values", "dq_grain")))
+def dq_report(spark, sf):
+    """All checks at once: one scan a table."""
+    of = lambda found, t: tuple(c for name, c in found if name == t)
+    accepted = {t: tuple((c, LIFECYCLE_STAGES) for c in of(_ACCEPTED, t)) for t in NOT_NULL}
+    return Q.report(checked(spark, sf), {t: Q.Checks(c, of(_UNIQUE, t), accepted[t], of(_GRAIN, t)) for t, c in NOT_NULL.items()})
 
 
 # ----------------------------------------------------------------------------

@@ -13,11 +13,11 @@ import os
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import PANDAS_NULL_TOKENS, null_tokens
 from tidemark.session import checkpoint_dir
+from tidemark.sources import versions
 
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
@@ -53,20 +53,20 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
-    """``sink_raw_table`` / ``sink_mart``: replace the Parquet table at ``path``.
+    """``sink_raw_table`` / ``sink_mart``: replace the Parquet table at ``path`` in one step.
 
-    Partitioned writes first REBALANCE on the partition columns: rows of one
-    partition value meet in few tasks (few files per directory instead of one
-    per task), and AQE splits a hot value across several tasks and merges
-    small ones, so neither a skewed week nor the small-file problem appears.
+    Returns the folder of the new version; ``read_written`` finds the current one.  A load that
+    fails leaves the table as it was (``sources/versions.py``).
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    return versions.replace(df, path, partition_by).folder
+
+
+def read_written(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a table that ``write_table`` wrote."""
+    now = versions.current(spark, path)
+    if now is None:
+        raise ValueError(f"no table was written at {path}")
+    return now.read(spark)
 
 
 def io_path(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -77,4 +77,4 @@ def io_path(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def as_text(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Rename and cast every column to text (how a raw file carries it)."""
-    return df.select(*[F.col(src).cast("string").alias(dst) for src, dst in names.items()])
+    return df.selectExpr(*[f"CAST(`{src}` AS STRING) AS `{dst}`" for src, dst in names.items()])
