@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,35 +48,29 @@ def repertoire(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame
     return with_market_rank(base).select(*REP_COLUMNS)
 
 
-def country_week_summary(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
-    """``country_week_summary`` incl. ``multi_market_tracks`` / ``cross_market_champions``.
+def _summary(t: Thresholds) -> list[Column]:
+    """The measures of a market-week.
 
-    The grain (item, market, week) is unique, so COUNT(DISTINCT item) per
-    (market, week) is a plain count; this keeps the aggregate a single
-    partial+final hash aggregate instead of an Expand per distinct column.
+    The grain (item, market, week) is unique, so COUNT(DISTINCT item) per market-week is a plain
+    count of ids; a row without an id counts in no COUNT(DISTINCT item).
     """
     stage = F.col("lifecycle_stage")
-    return (life.groupBy("country", "chart_week")
-            .agg(F.count("spotify_id").alias("tracks_tracked"),
-                 F.sum("weekly_chart_points").cast("long").alias("total_chart_points"),
-                 F.avg("wow_growth_rate").alias("avg_wow_growth_rate"),
-                 F.count_if(stage == "Debut").alias("debut_tracks"),
-                 F.count_if(stage == "Growing").alias("growing_tracks"),
-                 F.count_if(stage == "Peak").alias("peak_tracks"),
-                 F.count_if(stage == "Declining").alias("declining_tracks"),
-                 F.count_if(stage == "Revived").alias("revived_tracks"),
-                 F.count_if(F.col("market_spike_flag")).alias("market_spike_count"),
-                 F.count_if(F.col("catalog_revival_flag")).alias("catalog_revival_count"),
-                 F.count_if((F.col("cross_market_count") >= t.multi_market_min)
-                            & F.col("spotify_id").isNotNull()).alias("multi_market_tracks"),
-                 F.count_if((F.col("cross_market_count") >= t.champion_min)
-                            & F.col("spotify_id").isNotNull()).alias("cross_market_champions"),
-                 F.avg("avg_popularity").alias("avg_market_popularity"),
-                 F.avg("avg_danceability").alias("avg_danceability"),
-                 F.avg("avg_energy").alias("avg_energy"),
-                 F.avg("avg_valence").alias("avg_valence"),
-                 F.avg("avg_acousticness").alias("avg_acousticness"))
-            .select(*SUMMARY_COLUMNS))
+    spread = lambda n: F.count_if((F.col("cross_market_count") >= n) & F.col("spotify_id").isNotNull())
+    return [F.count("spotify_id").alias("tracks_tracked"),
+            F.sum("weekly_chart_points").cast("long").alias("total_chart_points"),
+            F.avg("wow_growth_rate").alias("avg_wow_growth_rate"),
+            *[F.count_if(stage == s.title()).alias(f"{s}_tracks") for s in ("debut", "growing", "peak", "declining", "revived")],
+            F.count_if(F.col("market_spike_flag")).alias("market_spike_count"),
+            F.count_if(F.col("catalog_revival_flag")).alias("catalog_revival_count"),
+            spread(t.multi_market_min).alias("multi_market_tracks"),
+            spread(t.champion_min).alias("cross_market_champions"),
+            F.avg("avg_popularity").alias("avg_market_popularity"),
+            *[F.avg(f"avg_{f}").alias(f"avg_{f}") for f in ("danceability", "energy", "valence", "acousticness")]]
+
+
+def country_week_summary(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
+    """``country_week_summary`` incl. ``multi_market_tracks`` / ``cross_market_champions``: one partial + final aggregate."""
+    return life.groupBy("country", "chart_week").agg(*_summary(t)).select(*SUMMARY_COLUMNS)
 
 
 def top_track(life: DataFrame) -> DataFrame:
@@ -94,29 +88,10 @@ def summary_with_top_track(life: DataFrame, t: Thresholds = DEFAULT_THRESHOLDS)
     Same result as the summary LEFT JOIN top-track (``join_top_track``), with
     one exchange instead of three.
     """
-    stage = F.col("lifecycle_stage")
     best = F.min(F.struct(F.col("weekly_chart_points").isNull().alias("_none"), (-F.col("weekly_chart_points")).alias("_neg"), F.col("spotify_id").alias("_id"),
                           F.col("track_name").alias("_name"), F.col("artists").alias("_artists"),
                           F.col("weekly_chart_points").alias("_pts")))
-    agg = (life.groupBy("country", "chart_week")
-           .agg(F.count("spotify_id").alias("tracks_tracked"),
-                F.sum("weekly_chart_points").cast("long").alias("total_chart_points"),
-                F.avg("wow_growth_rate").alias("avg_wow_growth_rate"),
-                F.count_if(stage == "Debut").alias("debut_tracks"),
-                F.count_if(stage == "Growing").alias("growing_tracks"),
-                F.count_if(stage == "Peak").alias("peak_tracks"),
-                F.count_if(stage == "Declining").alias("declining_tracks"),
-                F.count_if(stage == "Revived").alias("revived_tracks"),
-                F.count_if(F.col("market_spike_flag")).alias("market_spike_count"),
-                F.count_if(F.col("catalog_revival_flag")).alias("catalog_revival_count"),
-                F.count_if(F.col("cross_market_count") >= t.multi_market_min).alias("multi_market_tracks"),
-                F.count_if(F.col("cross_market_count") >= t.champion_min).alias("cross_market_champions"),
-                F.avg("avg_popularity").alias("avg_market_popularity"),
-                F.avg("avg_danceability").alias("avg_danceability"),
-                F.avg("avg_energy").alias("avg_energy"),
-                F.avg("avg_valence").alias("avg_valence"),
-                F.avg("avg_acousticness").alias("avg_acousticness"),
-                best.alias("_best")))
+    agg = life.groupBy("country", "chart_week").agg(*_summary(t), best.alias("_best"))
     return agg.select(*SUMMARY_COLUMNS,
                       F.col("_best._id").alias("top_spotify_id"),
                       F.col("_best._name").alias("top_track_name"),

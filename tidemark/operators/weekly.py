@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,10 +78,10 @@ def with_previous_week(weekly: DataFrame) -> DataFrame:
             .withColumn("previous_chart_week", F.lag("chart_week").over(w)))
 
 
-def weekly_growth(weekly: DataFrame, keep_history: bool = False) -> DataFrame:
+def weekly_growth(weekly: DataFrame, keep_history: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """``model_weekly_growth``: weekly columns (less the in-week dates) + change + rate."""
     g = (with_previous_week(weekly)
          .withColumn("wow_chart_points_change", F.col("weekly_chart_points") - F.col("previous_week_chart_points"))
          .withColumn("wow_growth_rate", growth_rate("weekly_chart_points", "previous_week_chart_points")))
-    cols = list(GROWTH_COLUMNS) + (["previous_chart_week"] if keep_history else [])
+    cols = [*GROWTH_COLUMNS, *(["previous_chart_week"] if keep_history else []), *carry]
     return g.select(*cols)

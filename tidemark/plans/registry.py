@@ -21,15 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import week_of
 from tidemark.operators import campaigns as C
 from tidemark.operators import construction as K
 from tidemark.operators import dashboard as D
+from tidemark.operators import distinct as DI
 from tidemark.operators import ingest as I
 from tidemark.operators import lifecycle as L
 from tidemark.operators import marts as M
 from tidemark.operators import quality as Q
 from tidemark.operators import staging as S
 from tidemark.operators import weekly as W
+from tidemark.operators.chain import WeeklyChain
 from tidemark.params import LIFECYCLE_STAGES, DashboardFilter
 from tidemark.plans import oracle as O
 from tidemark.plans.models import Models
@@ -171,6 +174,14 @@ class Tables:
     def camp(self) -> DataFrame:
         return self._scan("camp", lambda: C.campaign_performance(self.campaigns, self.life))
 
+    @property
+    def item_codes(self) -> DataFrame:
+        return self._scan("item_codes", lambda: DI.item_codes(self.life))
+
+    @property
+    def item_bitmaps(self) -> DataFrame:
+        return self._scan("item_bitmaps", lambda: DI.item_bitmaps(self.life, self.item_codes))
+
     @property
     def models(self) -> Models:
         return Models(self.spark, self.sf, charts=self.charts, campaigns=self.campaigns, life=self.life)
@@ -320,6 +331,20 @@ def src_chart_csv(spark, sf):
     return raw_chart_csv(spark, sf)
 
 
+@q("src_chart_csv_quoted", f"""SELECT * EXCLUDE (k) REPLACE (
+    CASE k WHEN 0 THEN name || chr(10) || '"live", part ' || daily_rank WHEN 1 THEN chr(10) || name ELSE name END AS name)
+  FROM (SELECT {_SQL_RAW_CSV}, (dayofyear(charts.snapshot_date) + charts.daily_rank) % 3 AS k FROM charts) x""")
+def src_chart_csv_quoted(spark, sf):
+    """Chart rows whose names hold quotes, commas and line breaks, written as CSV and read back in parallel."""
+    def broken():
+        raw = FS.as_text(tables(spark, sf).charts, RAW_CHART_NAMES)
+        k = (F.dayofyear(F.col("snapshot_date").cast("date")) + F.col("daily_rank").cast("int")) % 3
+        name = F.when(k == 0, F.concat("name", F.lit('\n"live", part '), "daily_rank")).when(k == 1, F.concat(F.lit("\n"), "name")).otherwise(F.col("name"))
+        return raw.withColumn("name", name)
+    path = written(spark, sf, "raw_charts_quoted_csv", broken, write=V.write_csv).folder
+    return FS.read_csv(spark, path, I.CHART_COLUMNS, multiline=True)
+
+
 @q("src_campaign_csv", "SELECT * FROM raw_camp")
 def src_campaign_csv(spark, sf):
     return raw_campaign_csv(spark, sf)
@@ -523,6 +548,20 @@ def model_lifecycle(spark, sf):
     return _m(spark, sf).life
 
 
+@q("chain_lifecycle", f"SELECT {_LIFE_SELECT} FROM life")
+def chain_lifecycle(spark, sf):
+    """The lifecycle table brought forward in four loads of later and later weeks, each from its own charts and the state."""
+    chain = WeeklyChain(spark, FS.io_path(spark, sf, "chain-" + hashlib.sha256(inputs_of(spark, sf).encode()).hexdigest()[:12]))
+    if chain.last_week is None:
+        charts = tables(spark, sf).charts.withColumn("_week", week_of("snapshot_date"))
+        first, last = charts.agg(F.min("_week"), F.max("_week")).first()
+        cuts = [first + (last - first) * i / 4 for i in range(1, 4)] if first else []
+        for lo, hi in zip([None, *cuts], [*cuts, None]):
+            part = charts if lo is None else charts.where(F.col("_week") > F.lit(lo))
+            chain.advance((part if hi is None else part.where(F.col("_week") <= F.lit(hi))).drop("_week"))
+    return chain.life()
+
+
 for _key in ("lifecycle_stage", "catalog_revival_flag", "market_spike_flag"):
     def _mk(col):
         return lambda spark, sf: _m(spark, sf).life.select(*KEYS3, col)
@@ -703,6 +742,21 @@ def dash_rep_headline(spark, sf):
     return D.rep_headline(D.filter_rep(tables(spark, sf).rep, ALL))
 
 
+_DISTINCT_SQL = ("COUNT(DISTINCT spotify_id) AS total_tracks, COUNT(DISTINCT spotify_id) FILTER (cross_market_count >= 5) AS multi_market_tracks, "
+                 "COUNT(DISTINCT spotify_id) FILTER (cross_market_count >= 8) AS cross_market_champions FROM life")
+
+
+@q("dash_distinct_tracks", f"SELECT {_DISTINCT_SQL} WHERE {_RANGE_SQL}")
+def dash_distinct_tracks(spark, sf):
+    """Distinct tracks of the selected markets and weeks, from the bitmaps alone."""
+    return DI.distinct_items(D.filter_mkt(tables(spark, sf).item_bitmaps, RANGE_FILTER))
+
+
+@q("distinct_tracks_by_market", f"SELECT country, {_DISTINCT_SQL} GROUP BY country")
+def distinct_tracks_by_market(spark, sf):
+    return DI.distinct_items(tables(spark, sf).item_bitmaps, ("country",))
+
+
 @q("dash_lifecycle_counts", "SELECT lifecycle_stage, COUNT(*) AS row_count FROM life "
    "WHERE lifecycle_stage IS NOT NULL GROUP BY lifecycle_stage")
 def dash_lifecycle_counts(spark, sf):

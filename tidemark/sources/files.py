@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tidemark.functions.text import PANDAS_NULL_TOKENS, null_tokens
 from tidemark.session import checkpoint_dir
 from tidemark.sources import versions
+from tidemark.sources.csv_ranges import read_quoted_csv
 
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
@@ -25,21 +26,23 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str],
-             pandas_null_tokens: bool = False, multiline: bool = False) -> DataFrame:
+             pandas_null_tokens: bool = False, multiline: bool = False, whole_files: bool = False) -> DataFrame:
     """``src_chart_csv`` / ``src_campaign_csv``: header CSV, every column as text.
 
-    Quoted fields may hold commas and (with ``multiline``) line breaks.
-    Empty fields are null; with ``pandas_null_tokens`` the pandas reader's
-    list (NA, None, ...) is null too.
+    Quoted fields may hold commas.  Empty fields are null; with ``pandas_null_tokens`` the pandas
+    reader's list (NA, None, ...) is null too.
 
-    By default one large file is split by ``spark.sql.files.maxPartitionBytes``.
-    A file with quoted line breaks needs ``multiline=True``, which reads each
-    file whole in one task.
+    A large file is split by ``spark.sql.files.maxPartitionBytes``.  With ``multiline`` quoted
+    fields may hold line breaks: record ends are found in parallel (``sources/csv_ranges.py``; one
+    more pass over the files).  ``whole_files`` reads each file whole in one task instead.
     """
-    df = (spark.read.schema(string_schema(columns))
-          .option("header", True).option("escape", '"').option("multiLine", multiline)
-          .option("enforceSchema", False)
-          .csv(path))
+    if multiline and not whole_files:
+        df = read_quoted_csv(spark, path, columns)
+    else:
+        df = (spark.read.schema(string_schema(columns))
+              .option("header", True).option("escape", '"').option("multiLine", whole_files)
+              .option("enforceSchema", False)
+              .csv(path))
     if pandas_null_tokens:
         df = df.select(*[null_tokens(c, PANDAS_NULL_TOKENS).alias(c) for c in columns])
     return df

@@ -146,6 +146,11 @@ def commit(spark: SparkSession, path: str, version: Version) -> Version:
     return version
 
 
+def drop(spark: SparkSession, folder: str) -> None:
+    """Delete the files of a version that no pointer names any more."""
+    _files(spark, folder).delete(_path(spark, folder), True)
+
+
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), write: Callable = write_parquet,
             inputs: str | None = None, note: dict | None = None) -> Version:
     """Replace the table at ``path`` by the rows of ``df``; until the end readers see the old rows."""
