@@ -254,3 +254,26 @@ def test_components_of_a_long_chain():
     assert set(a) == {n - 1} and set(b) == {n - 1}
     a, b = alignment.components(np.array([1, 3, 4, 9]), np.array([2, 4, 5, 9]))
     assert a.tolist() == [2, 2, 2, 3] and b.tolist() == [2, 2, 3, 3]
+
+
+# -- the word tokenizer over all of Unicode -------------------------------------------
+def test_word_tokenizer_on_every_code_point():
+    """Ids equal the library's for every code point between letters, and for those that this Python does not know alone and among digits."""
+    import unicodedata
+
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from tidemark.llm import bpe
+    library = Tokenizer.from_file(P.path(bpe.WORD_MODEL))
+    library.no_padding()
+    library.no_truncation()
+    mine = bpe.word_tokenizer(bpe.WORD_MODEL)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    new = [c for c in points if unicodedata.category(c) == "Cn" and ord(c) < 0x40000]
+    for chars, context in ((points, "a{}B"), (new, "{}"), (new, "1{} 2{}Σ!")):
+        for i in range(0, len(chars), 20_000):
+            texts = [context.replace("{}", c) for c in chars[i:i + 20_000]]
+            want = library.encode_batch(texts, add_special_tokens=False)
+            wrong = [t for t, e in zip(texts, want) if mine.encode(t).tolist() != e.ids]
+            assert not wrong, [hex(ord(max(t))) for t in wrong[:10]]

@@ -15,6 +15,10 @@ The result equals the merge procedure's.  Tokens that the merges can never
 produce are left out of the automaton.  Decoding joins the
 token strings by a gather over one byte buffer and its offsets.
 
+Letters and digits are those of the library's Unicode version, which is not this Python's: the
+code points that Python does not know are put to the library's own normaliser and word pattern
+once, when the model is loaded.
+
 Rules: null text is empty; special tokens inside texts are matched first, as the
 library does; rows that repeat a doc_id are encoded each; extra columns are
 ignored.
@@ -127,6 +131,47 @@ class Vocabulary:
         return ids
 
 
+OTHER = "\ue000"             # a private-use character: neither letter, digit nor white space
+
+
+class Unknown:
+    """Code points that this Python does not assign, as the library sees them.
+
+    ``lower`` maps those with a lower-case form to it; ``stand`` maps those that the library takes for
+    another class than the ``regex`` package does to a letter, a digit or ``OTHER``.
+    """
+
+    def __init__(self, name: str, pattern: str, words):
+        from tokenizers import Regex, Tokenizer, pre_tokenizers
+        # unassigned code points of the planes that hold letters
+        new = [chr(c) for c in range(0x40000) if unicodedata.category(chr(c)) == "Cn"]
+        normal = Tokenizer.from_file(model_file(name)).normalizer
+        mapped = normal.normalize_str("!".join(new)).split("!") if normal else new
+        if len(mapped) != len(new):
+            raise ValueError("the normaliser joins characters that this Python does not know")
+        self.lower = str.maketrans({a: b for a, b in zip(new, mapped) if a != b})
+        new = list(dict.fromkeys(mapped))
+        split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        letters = self._joined(split, "a", new)
+        others = self._joined(split, "!", new)
+        kind = [bool(words.fullmatch("a" + c)) * 2 + bool(words.fullmatch("!" + c)) for c in new]
+        here = [2 if c in letters else 1 if c in others else 0 for c in new]
+        self.stand = str.maketrans({c: ("0", OTHER, "a")[h] for c, k, h in zip(new, kind, here) if k != h})
+        self.chars = frozenset(map(chr, self.lower.keys() | self.stand.keys()))
+
+    @staticmethod
+    def _joined(split, side: str, chars: list[str]) -> set[str]:
+        """The characters that form one word with ``side``."""
+        return {w[1] for w, _ in split.pre_tokenize_str(" ".join(side + c for c in chars)) if len(w) == 2 and w[0] == side}
+
+    def within(self, text: str) -> bool:
+        try:
+            text.encode("latin-1")      # quick for most texts
+            return False
+        except UnicodeEncodeError:
+            return not self.chars.isdisjoint(text)
+
+
 class WordTokenizer:
     """The word-end tokenizer: NFC, one space for white space, lower case, words by class."""
 
@@ -140,6 +185,7 @@ class WordTokenizer:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         (self.pattern,) = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.words = regex.compile(self.pattern.replace(r"\s", r"\p{White_Space}"))
+        self.unknown = Unknown(name, self.pattern, self.words)
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
         names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         strings = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
@@ -150,10 +196,18 @@ class WordTokenizer:
     def _word_ids(self, word: str) -> tuple[int, ...]:
         return tuple(self.vocabulary.encode(word.encode().decode("latin-1").translate(self.letters) + END))
 
+    @staticmethod
+    def _lower(text: str) -> str:
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()   # letter by letter: no final sigma
+
     def _plain(self, text: str, out: list[int]) -> None:
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()   # letter by letter: no final sigma
         word_ids = self.word_ids
-        for word in self.words.findall(text):
+        if self.unknown.within(text):
+            text = self._lower(text).translate(self.unknown.lower)
+            words = (text[m.start():m.end()] for m in self.words.finditer(text.translate(self.unknown.stand)))
+        else:
+            words = self.words.findall(self._lower(text))
+        for word in words:
             out += word_ids(word)
 
     def encode(self, text: str) -> np.ndarray:
