@@ -277,3 +277,30 @@ def test_word_tokenizer_on_every_code_point():
             want = library.encode_batch(texts, add_special_tokens=False)
             wrong = [t for t, e in zip(texts, want) if mine.encode(t).tolist() != e.ids]
             assert not wrong, [hex(ord(max(t))) for t in wrong[:10]]
+
+
+# -- token counts of texts without boundaries --------------------------------------------
+def test_token_counts_send_a_text_without_boundaries_twice(spark, monkeypatch):
+    """16 MiB without a space, stretches without one over several chunks, and boundaries right at seams."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import token_counts
+    rng = random.Random(11)
+    solid = lambda n: "".join(rng.choices("abcdefgh0123456789+/", k=1024)) * (n // 1024)
+    chunk = token_counts.CHUNK
+    rows = [(1, solid(1 << 24)), (2, solid(3 * chunk) + " x " + solid(5 * chunk) + " " + "y z " * 9000), (3, ("w" * (chunk - 1) + " ") * 7),
+            (4, "中文" * (2 * chunk)), (5, (solid(2048) + " ") * 60), (None, solid(2 * chunk) + " end"), (5, "a" * chunk + " b")]
+    docs = spread(spark, rows, "doc_id long, text string", 3)
+    sent, cut = [], token_counts._pieces
+
+    def counted(*args):
+        out = cut(*args)
+        sent.append(out.agg(F.sum(F.length("piece"))).first()[0])
+        return out
+
+    monkeypatch.setattr(token_counts, "_pieces", counted)
+    sp = token_counts.processor(token_counts.MODEL)
+    want = collections.Counter((i, len(t.encode()), len(sp.encode([t], num_threads=1, return_type="numpy")[0])) for i, t in rows)
+    got = token_counts.token_counts(docs).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in got) == want
+    assert sum(sent) < 4 * sum(len(t) for _, t in rows) and len(sent) <= 3
