@@ -12,9 +12,10 @@ with a smaller id is a repeat, and its *source coordinates* are the first
    document, so a passage held by a third of all documents is sent once per
    task.  That document's further places of the edge go too, since another
    task may hold the edge in a smaller document.  An edge costs about 9 bytes of
-   shuffle.  The edges of one document in ``SAMPLE`` are counted per bucket first:
-   a bucket with far more than the others, as around a very common line, is
-   split by the edges themselves (equal edges still meet).
+   shuffle.  The edges of one document in ``SAMPLE`` are counted per bucket first: the
+   number of buckets follows from their sum, so that a bucket holds about half of ``BUCKET_EDGES``
+   whatever the corpus; one with more, as around a very common line, is split by
+   the edges themselves (equal edges still meet).
 2. *Repeats* (``_repeats``).  Each bucket finds the source coordinates of its
    edges; consecutive repeats with consecutive sources leave as one piece.
 3. *Paths* (``_join_pieces``).  Pieces are shuffled by document and joined into
@@ -52,7 +53,8 @@ PART = 5                      # words of a minimiser
 SLICE_BYTES = 1 << 21         # text hashed at a time
 CHUNK_BYTES = 6 << 20         # text pre-aggregated at a time
 SAMPLE = 8
-BUCKET_EDGES = 1 << 20        # a bucket is split if it holds more edges and twice the mean
+BUCKET_EDGES = 1 << 20        # edges of a bucket; one with more is split by the edges themselves
+FINE = 64                     # most buckets, in terms of the least
 
 _BLOB = "bucket int, hashes binary, docs binary, rows binary, counts binary, places binary, pieces binary"
 _PIECE = "doc_id long, _row long, start int, n int, src_doc long, src_row long, src_start int"
@@ -133,14 +135,21 @@ def _bucket_counts(k: int, buckets: int):
     return run
 
 
-def _ways(docs: DataFrame, k: int, buckets: int) -> np.ndarray:
-    """Into how many parts each bucket is split."""
+def _ways(docs: DataFrame, k: int, least: int) -> np.ndarray:
+    """Into how many parts each bucket is split; as many buckets as keep their mean at half of BUCKET_EDGES.
+
+    The sample is counted in FINE buckets for each of the ``least`` ones; a coarser number of
+    buckets that divides the fine one adds fine counts up.
+    """
+    fine = least * FINE
     some = docs.where(F.pmod(F.xxhash64("doc_id", "_row"), F.lit(SAMPLE)) == 0)
-    n = np.zeros(buckets)
-    for r in some.mapInArrow(_bucket_counts(k, buckets), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        n[r["bucket"]] = SAMPLE * r["n"]                  # at most ``buckets`` rows
-    limit = max(BUCKET_EDGES, 2 * n.mean())
-    return np.maximum(np.ceil(n / limit), 1).astype(np.int64)
+    n = np.zeros(fine)
+    for r in some.mapInArrow(_bucket_counts(k, fine), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        n[r["bucket"]] = SAMPLE * r["n"]                  # at most ``fine`` rows
+    buckets = least
+    while buckets < fine and n.sum() > buckets * BUCKET_EDGES / 2:
+        buckets *= 2
+    return np.maximum(np.ceil(n.reshape(-1, buckets).sum(0) / BUCKET_EDGES), 1).astype(np.int64)
 
 
 def _edge_blobs(k: int, ways: np.ndarray):
