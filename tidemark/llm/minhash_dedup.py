@@ -271,15 +271,20 @@ def _cross_links(num: int, den: int):
     return run
 
 
-def _second_round(rest: DataFrame, reps: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    rows = rest.join(reps.select("doc_id", "bands", "bits"), "doc_id").join(texts.hint("merge"), "doc_id") \
-        .withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _sides(rest: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Outsiders in blocks i against all members in blocks j: a member is sent once per block of
+    outsiders, an outsider once per block of members."""
+    block = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = rest.join(reps.select("doc_id", "bands", "bits"), "doc_id").join(texts.hint("merge"), "doc_id")
     carry = ["doc_id", "component", "largest", "bands", "bits", "text"]
-    left = rows.select("band", F.col("block").alias("i"), F.col("other").alias("j"), F.lit(True).alias("mine"), *carry)
-    right = rows.select("band", F.col("other").alias("i"), F.col("block").alias("j"), F.lit(False).alias("mine"), *carry)
-    return written(left.where("component <> largest").unionByName(right).groupBy("band", "i", "j")
-                   .applyInArrow(_cross_links(num, den), "a long, b long").distinct(), "second")
+    left = rows.where("component <> largest").select("band", block("is").alias("i"), each("js").alias("j"), F.lit(True).alias("mine"), *carry)
+    right = rows.select("band", each("is").alias("i"), block("js").alias("j"), F.lit(False).alias("mine"), *carry)
+    return left.unionByName(right)
+
+
+def _second_round(rest: DataFrame, reps: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    return written(_sides(rest, reps, texts).groupBy("band", "i", "j").applyInArrow(_cross_links(num, den), "a long, b long").distinct(), "second")
 
 
 def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
@@ -304,8 +309,9 @@ def near_duplicates(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     tally = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = tally.groupBy("band").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("members"),
                                       F.max(F.struct("n", "component")).alias("top")).where("parts > 1")
-    rest = written(labelled.join(mixed.select("band", F.col("top.component").alias("largest"),
-                                              F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "band"), "rest")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    rest = written(labelled.join(mixed.select("band", F.col("top.component").alias("largest"), blocks(F.col("members") - F.col("top.n")).alias("is"),
+                                              blocks(F.col("members")).alias("js")), "band"), "rest")
     links = first if rest.isEmpty() else first.unionByName(_second_round(rest, reps, texts, num, den))
     comp = components(links)
     # a copy's class is its representative's
