@@ -368,7 +368,7 @@ def test_html_head_without_an_end_tag():
 
 
 def test_pipeline_language_without_labels(spark):
-    import corpus_pipeline as c
+    from tidemark.llm import pipeline as c
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 4 == 2)
     for rows in ([(1, "some words", None), (2, "12 34", None), (3, None, None)], [(held, "some words", "en"), (held, "12 34", "fr"), (held, "mots", "fr")]):
         docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
@@ -377,7 +377,7 @@ def test_pipeline_language_without_labels(spark):
 
 
 def test_pipeline_stages(spark, docs):
-    import corpus_pipeline as c
+    from tidemark.llm import pipeline as c
     full = docs.select("doc_id", F.concat("text", F.lit(".")).alias("text"), F.lit("en").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"))
     kept = c.quality_rules(spark, full, "")
     assert kept.columns == list(c.COLUMNS)
@@ -441,7 +441,7 @@ def plain_substrings(rows):
 
 
 def test_pipeline_run_equals_plain_python(spark, tmp_path):
-    import corpus_pipeline as c
+    from tidemark.llm import pipeline as c
     import tokenizers
     rng = random.Random(12)
     words = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(900)]
@@ -483,8 +483,9 @@ def test_pipeline_run_equals_plain_python(spark, tmp_path):
         ids = [*ref.encode(t, add_special_tokens=False).ids, 2]
         at = packing.cuts(len(ids), 1024)
         for k, (s, e) in enumerate(zip(at, [*at[1:], len(ids)])):
-            want[i, k, s, e - s, zlib.crc32(np.array(ids[s:e], "<u4").tobytes())] += 1
-    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+            want[i, k, s, e - s, tuple(ids[s:e])] += 1
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, tuple(r.ids)) for r in got) == want
+    assert all(r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in got)
     by = collections.defaultdict(list)
     for r in got:
         by[r.sequence_id].append((r.offset, r.length))

@@ -304,3 +304,22 @@ def test_token_counts_send_a_text_without_boundaries_twice(spark, monkeypatch):
     got = token_counts.token_counts(docs).collect()
     assert collections.Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in got) == want
     assert sum(sent) < 4 * sum(len(t) for _, t in rows) and len(sent) <= 3
+
+
+# -- the second round of the near-dedup ---------------------------------------------------
+def test_second_round_sends_a_member_once_per_block_of_outsiders(spark):
+    """A bucket of many near copies and one outsider: the outsider meets all, members travel once."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import minhash_dedup as m
+    rng = random.Random(13)
+    n = 3 * m.BLOCK
+    rest = spark.createDataFrame([(i, 7, 0 if i else 9, 0, 1, 3) for i in range(n)], "doc_id long, band long, component long, largest long, is int, js int")
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    texts = spark.createDataFrame([(i, " ".join(words + [f"own{i}"])) for i in range(n)], "doc_id long, text string")
+    reps = m.signatures(texts).select("doc_id", F.array(F.lit(7).cast(m.signatures(texts).schema["bands"].dataType.elementType)).alias("bands"), "bits")
+    sent = m._sides(rest, reps, texts)
+    count = {r.mine: r.n for r in sent.groupBy("mine").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert count == {True: 3, False: n}
+    links = m._second_round(rest, reps, texts, 4, 5).collect()
+    assert links and all(0 in (r.a, r.b) for r in links)

@@ -23,6 +23,7 @@ doc_id are packed each; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from functools import lru_cache
 
@@ -35,8 +36,7 @@ from tidemark.llm.tables import written
 from tidemark.llm.token_counts import model_file
 from tidemark.operators.ranking import group_row_number
 
-RANKS = "byte_bpe_50k.tiktoken"
-SPECIAL = {"<|endoftext|>": 50256}
+RANKS, MODEL = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"     # the same vocabulary as ranks and as the library's file
 SIZE, END_ID = 1024, 2
 TRIPLES = 6000
 STEPS = 300
@@ -50,7 +50,9 @@ def encoder(name: str):
     import tiktoken
     with open(model_file(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+    with open(model_file(MODEL), encoding="utf-8") as f:
+        special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cuts(n: int, size: int) -> list[int]:
@@ -232,4 +234,8 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
 
 def pack_documents(docs: DataFrame, size: int = SIZE, model: str = RANKS, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, ids (null unless ``with_ids``), sequence_id, offset."""
-    return pack(written(pieces(docs, model, size, with_ids), "pieces"), size)
+    if not with_ids:
+        return pack(written(pieces(docs, model, size), "pieces"), size)
+    # the ids are written once and meet their places again by row; only the narrow columns are ranked
+    cut = written(pieces(docs, model, size, True).withColumn("_at", F.monotonically_increasing_id()), "pieces")
+    return pack(cut.drop("ids"), size).join(cut.select("_at", "ids"), "_at").drop("_at")

@@ -12,7 +12,7 @@ the columns of ``documents``.
    the smallest doc_id (rows that repeat a doc_id: the least row).
 4. substring_dedup: passages that a document with a smaller id holds leave the
    text; documents with nothing left go.
-5. best_fit_packing: the pieces with their places in sequences.
+5. best_fit_packing: the pieces with their token ids and their places in sequences.
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs).drop("ids")
+    return pack_documents(docs, with_ids=True)
 
 
 STAGES = [
