@@ -42,3 +42,25 @@ def test_rows_without_an_id_count_alike_in_summary_and_mart(spark):
     assert summary == {k: mart[k] for k in summary}
     assert (mart["tracks_tracked"], mart["multi_market_tracks"], mart["cross_market_champions"], mart["peak_tracks"]) == (2, 2, 1, 3)
     assert mart["top_track_chart_points"] == 50 and M.join_top_track(M.country_week_summary(life), life).first().asDict() == mart
+
+
+def test_text_codes_keep_the_order(spark, tmp_path):
+    """MAX of codes is MAX of texts (bytes, not letters, decide), nulls stay null, and nothing is sorted for the aggregate."""
+    from tidemark.operators import textcodes as X
+    from tidemark.operators import weekly as W
+    rng = random.Random(1)
+    names = [None, "", "Z", "a", "é", "中", "a b", "A", "zz", "\U0001F600", "￿"]
+    kinds = "spotify_id string, track_name string, artists string, daily_rank int, country string, snapshot_date date, popularity int, " \
+            "album_name string, album_release_date date, " + ", ".join(f"{f} double" for f in W.FEATURES)
+    rows = [(rng.choice("XY"), rng.choice(names), rng.choice(names), rng.randint(1, 200), rng.choice("KL"), dt.date(2025, 1, 1) + dt.timedelta(rng.randint(0, 30)),
+             1, rng.choice(names), None, *[1.0] * len(W.FEATURES)) for _ in range(200)]
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "charts"))
+    charts = spark.read.parquet(str(tmp_path / "charts"))
+    codes = X.text_codes(charts).cache()
+    assert [r.text for r in codes.orderBy("code").collect()] == sorted((n for n in names if n is not None), key=lambda t: t.encode())
+    X.encode(charts, codes).write.parquet(str(tmp_path / "coded"))
+    coded = spark.read.parquet(str(tmp_path / "coded"))
+    got, want = X.weekly_from_codes(coded, codes), W.weekly_aggregates(charts)
+    assert got.schema.names == want.schema.names and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan(want) and "SortAggregate" not in plan(W.weekly_aggregates(coded))

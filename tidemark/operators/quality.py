@@ -110,11 +110,15 @@ def preview(df: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
 
 
 def join_integrity(campaigns: DataFrame, charts: DataFrame) -> DataFrame:
-    """``val_join_integrity``: campaigns INNER JOIN charts on (item, market, date), counted."""
-    c = campaigns.select("spotify_id", "country", "snapshot_date")
-    s = charts.select("spotify_id", "country", "snapshot_date")
-    return c.join(s, ["spotify_id", "country", "snapshot_date"]) \
-        .agg(F.count(F.lit(1)).alias("matching_campaign_rows"))
+    """``val_join_integrity``: campaigns INNER JOIN charts on (item, market, date), counted.
+
+    Both sides are counted per key first (combined map-side), so a key that many campaigns share
+    meets one row and nothing fans out.
+    """
+    keys = ["spotify_id", "country", "snapshot_date"]
+    c = campaigns.groupBy(*keys).agg(F.count(F.lit(1)).alias("_campaigns"))
+    s = charts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_charts"))
+    return c.join(s, keys).agg(F.coalesce(F.sum(F.col("_campaigns") * F.col("_charts")), F.lit(0)).alias("matching_campaign_rows"))
 
 
 def generation_mix(campaigns: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ from tidemark.operators import lifecycle as L
 from tidemark.operators import marts as M
 from tidemark.operators import quality as Q
 from tidemark.operators import staging as S
+from tidemark.operators import textcodes as X
 from tidemark.operators import weekly as W
 from tidemark.operators.chain import WeeklyChain
 from tidemark.params import LIFECYCLE_STAGES, DashboardFilter
@@ -174,6 +175,14 @@ class Tables:
     def camp(self) -> DataFrame:
         return self._scan("camp", lambda: C.campaign_performance(self.campaigns, self.life))
 
+    @property
+    def text_codes(self) -> DataFrame:
+        return self._scan("text_codes", lambda: X.text_codes(self.charts))
+
+    @property
+    def coded_charts(self) -> DataFrame:
+        return self._scan("coded_charts", lambda: X.encode(self.charts, self.text_codes))
+
     @property
     def item_codes(self) -> DataFrame:
         return self._scan("item_codes", lambda: DI.item_codes(self.life))
@@ -488,6 +497,13 @@ def weekly_aggregates(spark, sf):
     return _m(spark, sf).weekly
 
 
+@q("weekly_aggregates_coded", "SELECT * FROM weekly")
+def weekly_aggregates_coded(spark, sf):
+    """The weekly rollup over the chart table with coded texts: no sort for the text maxima."""
+    t = tables(spark, sf)
+    return X.weekly_from_codes(t.coded_charts, t.text_codes)
+
+
 @q("model_weekly_growth", "SELECT * FROM growth")
 def model_weekly_growth(spark, sf):
     return _m(spark, sf).growth
