@@ -61,7 +61,7 @@ def _slices(texts: list[str]):
 def feature_counts(texts: list[str]):
     """For each text its (places ascending, counts), both empty without letters."""
     for a, b in _slices(texts):
-        some = [t.replace("\0", " ").lower() for t in texts[a:b]]
+        some = [t.replace("\0", " ").lower() + " " for t in texts[a:b]]      # each text ends in its own gap
         codes = np.frombuffer("\0".join(some).encode("utf-32-le", "replace"), np.uint32)
         doc = np.cumsum(codes == 0) if len(some) > 1 else np.zeros(len(codes), np.int64)
         letter = _letters()[codes]
