@@ -198,7 +198,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     chosen = written(train.select("lang", "doc_id", F.md5(F.col("doc_id").cast("string")).alias("order"))
                      .withColumn("turn", turn).where(F.col("turn") <= per_language).select("doc_id", "turn"), "sample")
-    side = chosen.dropDuplicates(["doc_id"])
+    side = chosen.groupBy("doc_id").agg(F.min("turn").alias("turn"))     # rows that repeat a doc_id: the same turn in every run
     if side.count() <= BROADCAST_ROWS:                     # per_language times the languages there are
         side = F.broadcast(side)
     rows = train.join(side, "doc_id").select("lang", "turn", "text") \
