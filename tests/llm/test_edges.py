@@ -120,6 +120,11 @@ def test_html_with_clashing_columns_repeated_pages_and_deep_nesting(spark):
     assert long.text.count("Sentence") == 30_000 and long.n_chars == len(long.text)
 
 
+def test_html_formulas_and_labels_of_figures_are_text():
+    texts = [t for t in html_extract.Dom("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds<figure><svg><style>s</style><text>axis</text></svg></figure>").texts if t]
+    assert " ".join(texts) == "so x=2 holds axis"
+
+
 # -- very long texts -----------------------------------------------------------------
 def test_very_long_texts(spark):
     rng = random.Random(6)

@@ -15,7 +15,7 @@ import numpy as np
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul""".split())
-SILENT = set("head title script style noscript template svg math iframe object canvas select textarea button datalist".split())
+SILENT = set("head title script style noscript template iframe object canvas select textarea button datalist".split())
 HEAD_TAGS = set("html head base basefont bgsound link meta title style script noscript noframes template".split())      # do not end a head
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # an element of the key ends at the start of one of these, unless a container named last is between
