@@ -74,6 +74,24 @@ def test_embedding_dedup_with_clashing_columns_repeated_ids_and_other_lengths(sp
     assert got[22, 0, 22, True] == 1 and got[None, 0, None, True] == 1 and sum(got.values()) == len(rows)
 
 
+def test_embedding_audit_sees_components_that_were_not_joined(spark):
+    """Two loose groups that touch at one end: whole they are one component, and cut apart the audit says so."""
+    rng = np.random.default_rng(3)
+    angle = np.concatenate([np.linspace(0, 1.2, 60), 1.2 + np.linspace(0.1, 1.3, 60)])
+    x = np.stack([np.cos(angle), np.sin(angle), *0.001 * rng.standard_normal((4, 120))], axis=1)
+    v = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = (v @ v.T >= 0.98) & ~np.eye(120, dtype=bool)
+    assert link[:60, 60:].any()
+    rows = spread(spark, [(i, y.tolist(), 0) for i, y in enumerate(x.astype(np.float32))], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(rows).collect()}
+    assert got == {i: (int(n), 0) for i, n in enumerate(link.sum(1))}
+    nodes = rows.selectExpr("vec_id node", "cast(label as long) label", "size(embedding) dim", "embedding", "1L copies")
+    counts = spread(spark, [(i, int(n)) for i, n in enumerate(link.sum(1))], "node long, n long")
+    apart = spread(spark, [(i, 0 if i < 60 else 60) for i in range(120)], "node long, component long")
+    assert embedding_dedup._audit(nodes, counts, 0.98, apart) == 0
+    assert embedding_dedup._audit(nodes, counts, 0.98, apart.withColumn("component", F.lit(0).cast("long"))) == 1
+
+
 def pages(layout, n=24):
     out = []
     for i in range(n):

@@ -23,8 +23,9 @@ precision, is at least 0.98.
    one link per pair of components.
 6. *Audit.*  ``AUDIT`` nodes with links and as many without, first by hash, are
    compared with all vectors; while the mean recall of a linked node is below
-   ``target``, as many tables again are added to the graph.  After ``MORE``
-   attempts the call fails rather than return a short result.
+   ``target``, or one of them links with a node of another component, as many tables
+   again are added to the graph.  After ``MORE`` attempts the call fails rather
+   than return a short result.
 
 Rules: vectors that are null, empty, zero or hold null or non-finite components link
 with nothing, nor do null labels, null ids and vectors of another length;
@@ -250,34 +251,43 @@ def _joining(nodes: DataFrame, full: DataFrame, tables: int, threshold: float) -
     return written(both.groupBy("hub", "i", "j").applyInArrow(_block_links(threshold), "a long, b long"), "joining")
 
 
-def _audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Mean recall of a linked node's links, from AUDIT nodes with found links and AUDIT nodes without."""
+def _audit(nodes: DataFrame, counts: DataFrame, threshold: float, comp: DataFrame | None = None) -> float:
+    """Mean recall of a linked node's links, from AUDIT nodes with found links and AUDIT nodes without.
+
+    With ``comp`` (node, component) a link between two components is a missed join: the recall is 0 then.
+    """
+    nodes = nodes.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")) if comp is not None \
+        else nodes.withColumn("component", F.lit(0).cast("long"))
     known = nodes.join(counts.withColumnRenamed("n", "found"), "node", "left") \
-        .select("node", "label", "dim", "embedding", F.coalesce("found", F.lit(0)).alias("found"))
+        .select("node", "label", "dim", "embedding", "component", F.coalesce("found", F.lit(0)).alias("found"))
     sizes = {r["some"]: r["n"] for r in known.groupBy((F.col("found") > 0).alias("some")).agg(F.count(F.lit(1)).alias("n")).collect()}
     asked = [r for side in (F.col("found") > 0, F.col("found") == 0)
              for r in known.where(side).orderBy(F.xxhash64("node"), "node").limit(AUDIT).collect()]
     by = {}
     for r in asked:
-        by.setdefault((r["label"], r["dim"]), []).append((r["node"], np.array(r["embedding"], np.float64)))
+        by.setdefault((r["label"], r["dim"]), []).append((r["node"], r["component"], np.array(r["embedding"], np.float64)))
 
     def count(batches):
-        got = {}
+        got, apart = {}, {}
         for batch in batches:
             labels, dims, ids = (batch.column(c).to_numpy() for c in ("label", "dim", "node"))
-            many = batch.column("copies").to_numpy()
+            many, comps = batch.column("copies").to_numpy(), batch.column("component").to_numpy()
             for (label, dim), queries in by.items():
                 at = np.flatnonzero((labels == label) & (dims == dim))
                 if not len(at):
                     continue
                 x = _matrix(batch.column("embedding").take(pa.array(at)))
-                for node, q in queries:
+                for node, component, q in queries:
                     hit = (x @ (q / np.linalg.norm(q)) >= threshold) & (ids[at] != node)
                     got[node] = got.get(node, 0) + int(many[at][hit].sum())
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int64()), pa.array(list(got.values()), pa.int64())], names=["node", "n"])
-
-    true = {r["node"]: r["n"] for r in nodes.select("label", "dim", "node", "copies", "embedding").mapInArrow(count, "node long, n long")
-            .groupBy("node").agg(F.sum("n").alias("n")).collect()}                # the nodes asked for
+                    apart[node] = apart.get(node, 0) + int((comps[at][hit] != component).sum())
+        yield pa.RecordBatch.from_arrays([pa.array(list(d), pa.int64()) for d in (got, got.values(), apart.values())], names=["node", "n", "apart"])
+
+    told = nodes.select("label", "dim", "node", "copies", "component", "embedding").mapInArrow(count, "node long, n long, apart long") \
+        .groupBy("node").agg(F.sum("n").alias("n"), F.sum("apart").alias("apart")).collect()       # the nodes asked for
+    true = {r["node"]: r["n"] for r in told}
+    if comp is not None and any(r["apart"] for r in told):
+        return 0.0
     shares = [min(r["found"], true[r["node"]]) / true[r["node"]] for r in asked if r["found"] and true.get(r["node"])]
     without = [bool(true.get(r["node"])) for r in asked if not r["found"]]
     linked = sizes.get(True, 0)
@@ -320,7 +330,7 @@ def near_vectors(vectors: DataFrame, threshold: float = COSINE, target: float =
     graph, tables = _first_graph(nodes, 0, TABLES), TABLES
     for attempt in range(MORE):
         edges, counts, comp = _links(nodes, graph, tables, threshold)
-        recall = _audit(nodes, counts, threshold)
+        recall = _audit(nodes, counts, threshold, comp)
         if recall >= target:
             break
         if attempt == MORE - 1:
