@@ -2,8 +2,7 @@
 
 The reference streams a CSV through pandas in 100,000-row chunks in two
 passes (max date, then clean + filter).  Here the file is one partitioned
-scan: the max date is a scalar aggregate (one tiny exchange) joined back as a
-one-row table, and the cleaning is a projection + filter that Spark runs per
+scan: the max date is a scalar subquery (one tiny exchange), and the cleaning is a projection + filter that Spark runs per
 partition with codegen.
 """
 
