@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import time
+from contextvars import ContextVar
 from dataclasses import dataclass
 from typing import Callable
 
@@ -96,9 +96,9 @@ _SQL_RAW_CSV = ", ".join(f"CAST({src} AS VARCHAR) AS {dst}" for src, dst in RAW_
 _SQL_RAW_CAMP = ", ".join(f"CAST({src} AS VARCHAR) AS {dst}" for src, dst in RAW_CAMPAIGN_NAMES.items())
 
 SOURCES = ("nation", "customer", "part", "orders", "lineitem")
-LOOK_AGAIN = 0.5            # seconds for which one look at the input files holds, so that the tables of a query agree
+#: What a query saw when it first looked at its input files, so that all its tables agree.
+_look: ContextVar[dict[str, str] | None] = ContextVar("look", default=None)
 _epoch = 0
-_seen: dict[tuple, tuple[float, str]] = {}
 _frames: dict[tuple, DataFrame] = {}     # scans of written versions
 
 
@@ -109,11 +109,13 @@ def _app(spark) -> str:
 
 def inputs_of(spark, sf) -> str:
     """What a written table of this application is made from: names, sizes and times of the input files."""
-    key, now = (_app(spark), _epoch, os.path.abspath(sf)), time.monotonic()
-    seen = _seen.get(key)
-    if seen is None or now - seen[0] > LOOK_AGAIN:
-        seen = _seen[key] = (now, f"{_app(spark)}:{_epoch}:" + V.fingerprint(spark, [table_path(sf, t) for t in SOURCES]))
-    return seen[1]
+    seen, key = _look.get(), os.path.abspath(sf)
+    if seen is not None and key in seen:
+        return seen[key]
+    found = f"{_app(spark)}:{_epoch}:" + V.fingerprint(spark, [table_path(sf, t) for t in SOURCES])
+    if seen is not None:
+        seen[key] = found
+    return found
 
 
 def refresh() -> None:
@@ -1054,7 +1056,13 @@ def _doubles() -> dict[str, list[str]]:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(build):
-        return lambda spark, sf_dir: finalize(build(spark, sf_dir))
+        def query(spark, sf_dir):
+            token = _look.set({})
+            try:
+                return finalize(build(spark, sf_dir))
+            finally:
+                _look.reset(token)
+        return query
     return {k: wrap(v.build) for k, v in REG.items()}
 
 
