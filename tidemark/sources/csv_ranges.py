@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import write_once
 
-RECORD = "file string, at long, part int, starts boolean, whole boolean, head boolean, record string"
+RECORD = "file long, at long, part int, starts boolean, whole boolean, head boolean, record string"
 
 
 class UnevenQuotes(ValueError):
@@ -39,8 +39,9 @@ class UnevenQuotes(ValueError):
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their range; a file goes by the hash of its name, to keep rows short."""
     return spark.read.option("lineSep", "\n").text(path).select(
-        F.input_file_name().alias("file"), F.input_file_block_start().alias("at"), F.col("value").alias("line"))
+        F.xxhash64(F.input_file_name()).alias("file"), F.input_file_block_start().alias("at"), F.col("value").alias("line"))
 
 
 def ranges(spark: SparkSession, path: str) -> DataFrame:
@@ -51,52 +52,74 @@ def ranges(spark: SparkSession, path: str) -> DataFrame:
     return counts.withColumn("before", F.coalesce(F.sum("quotes").over(before), F.lit(0)))
 
 
-def _glue(inside: set[tuple[str, int]], columns: Sequence[str] | None):
-    """Lines in file order -> whole records, and the fragments at the edges of ranges.
+def _parts(batch: pa.RecordBatch):
+    """The runs of lines of one range in a batch: ((file, at), lines)."""
+    file, at = batch.column("file").to_numpy(), batch.column("at").to_numpy()
+    new = np.flatnonzero((file[1:] != file[:-1]) | (at[1:] != at[:-1])) + 1
+    for i, j in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows]):
+        if i < j:
+            yield (int(file[i]), int(at[i])), batch.column("line").slice(i, j - i)
+
+
+def _glue(inside: set[tuple[int, int]], columns: Sequence[str] | None):
+    """Lines in file order -> whole records, and the fragments at the edges of ranges; whole arrays at a time.
 
     ``inside`` holds the ranges that start inside a record.  The head of a file must name
-    ``columns`` (None: any).
+    ``columns`` (None: any) and is left out.
     """
+    names = ["file", "at", "part", "starts", "whole", "head", "record"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
+    none = pa.array([], pa.string())
+
+    def rows(where, part, starts, whole, head, texts):
+        fixed = [pa.array([v] * len(texts), k) for v, k in zip((*where, part, starts, whole, head), kinds)]
+        return pa.RecordBatch.from_arrays([*fixed, texts], names=names)
+
+    def joined(lines: pa.Array, ends: np.ndarray) -> pa.Array:
+        """Lines up to each of ``ends`` (the last line of a record) as one text."""
+        if len(ends) == len(lines):
+            return lines
+        offsets = pa.array(np.concatenate([[0], ends + 1]), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n")
+
     def check(head: str) -> None:
-        names = next(csv.reader(io.StringIO(head, newline="")), [])
-        if columns is not None and names != list(columns):
-            raise ValueError(f"the head of a file names {names}, not {list(columns)}")
+        found = next(csv.reader(io.StringIO(head, newline="")), [])
+        if columns is not None and found != list(columns):
+            raise ValueError(f"the head of a file names {found}, not {list(columns)}")
 
     def run(batches):
-        rows: list[tuple] = []
-        at_range, held, open_, starts, part, first = None, [], False, True, 0, False
-
-        def leave(whole: bool) -> None:
-            nonlocal held, first, starts, part
-            if held:
-                text = "\n".join(held)
-                if whole and first:
-                    check(text.removesuffix("\r"))
-                rows.append((*at_range, part, starts, whole, first, text.removesuffix("\r") if whole else text))
-                held = []
-            first, starts, part = False, True, 1
-
-        def flush() -> pa.RecordBatch:
-            cols = list(zip(*rows)) or [()] * 7
-            rows.clear()
-            kinds = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["file", "at", "part", "starts", "whole", "head", "record"])
+        where, held, open_, starts, first = None, none, False, True, False
+
+        def fragment():
+            if len(held):
+                yield rows(where, int(starts), starts, False, first, joined(held, np.array([len(held) - 1])))
 
         for batch in batches:
-            line = batch.column("line")
-            odd = (np.asarray(pc.count_substring(line, '"')) % 2).astype(bool).tolist()
-            for f, a, text, o in zip(batch.column("file").to_pylist(), batch.column("at").to_pylist(), line.to_pylist(), odd):
-                if (f, a) != at_range:
-                    leave(False)                            # the last record of the range before goes on in another
-                    at_range, open_ = (f, a), (f, a) in inside
-                    starts, part, first = not open_, int(not open_), a == 0
-                held.append(text)
-                open_ ^= o
-                if not open_:
-                    leave(starts)                           # else it ends a record that an earlier range started
-            yield flush()
-        leave(False)
-        yield flush()
+            for here, lines in _parts(batch):
+                if here != where:
+                    yield from fragment()                   # the last record of the range before goes on in another
+                    where, held, open_ = here, none, here in inside
+                    starts, first = not open_, here[1] == 0
+                odd = np.asarray(pc.count_substring(lines, '"')) % 2
+                after = (np.cumsum(odd) + open_) % 2        # 1: the line ends inside a record
+                ends = np.flatnonzero(after == 0) + len(held)
+                lines, open_ = pa.concat_arrays([held, lines]), bool(after[-1])
+                if not len(ends):
+                    held = lines
+                    continue
+                held = lines.slice(ends[-1] + 1)
+                texts = joined(lines.slice(0, ends[-1] + 1), ends)
+                if not starts:                              # the end of a record that an earlier range started
+                    yield rows(where, 0, False, False, False, texts.slice(0, 1))
+                    texts = texts.slice(1)
+                elif first:
+                    check(texts[0].as_py().removesuffix("\r"))
+                    texts = texts.slice(1)
+                starts, first = True, False
+                if pc.any(pc.ends_with(texts, "\r")).as_py():
+                    texts = pc.replace_substring_regex(texts, r"\r\z", "")
+                yield rows(where, 1, True, True, False, texts)
+        yield from fragment()
 
     return run
 
@@ -104,9 +127,10 @@ def _glue(inside: set[tuple[str, int]], columns: Sequence[str] | None):
 def records(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """record: the text of every CSV record under ``path`` without heads, blank lines and line ends."""
     table = write_once(ranges(spark, path), "csv-ranges")
-    uneven = table.groupBy("file").agg(F.sum("quotes").alias("n")).where("n % 2 = 1").orderBy("file").limit(5).collect()
+    uneven = [r["file"] for r in table.groupBy("file").agg(F.sum("quotes").alias("n")).where("n % 2 = 1").limit(5).collect()]
     if uneven:
-        raise UnevenQuotes("files with an odd number of quote signs: " + ", ".join(r["file"] for r in uneven))
+        named = spark.read.text(path).select(F.input_file_name().alias("name")).where(F.xxhash64("name").isin(uneven)).distinct()
+        raise UnevenQuotes("files with an odd number of quote signs: " + ", ".join(sorted(r["name"] for r in named.collect())))
     # only ranges that start inside a record reach the driver
     inside = {(r["file"], r["at"]) for r in table.where("before % 2 = 1").select("file", "at").collect()}
     glued = _lines(spark, path).mapInArrow(_glue(inside, columns), RECORD)
