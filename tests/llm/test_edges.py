@@ -216,3 +216,22 @@ def test_language_tie_is_stable(spark):
     docs = spread(spark, rows, "doc_id long, text string, lang string")
     first, second = (counted(language_id.identify(d), "doc_id", "lang_pred", "score") for d in (docs, docs.repartition(5)))
     assert first == second and {k[1] for k in first} <= {"aa", "bb"}
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """The most frequent languages are learned, one text of a doc_id counts, and the sample keeps to its bound."""
+    rows = [(i, t, lang) for i, (_, t, lang) in enumerate(two_languages())]
+    rare = [(10_000 + i, "zzz qqq xxx", f"rare{i}") for i in range(6)]
+    hot = [(10_100, f"hot text {i}", "rare0") for i in range(4)]
+    docs = spread(spark, rows + rare + hot, "doc_id long, text string, lang string")
+    seen = []
+    fit = language_id.fit
+    monkeypatch.setattr(language_id, "fit", lambda rows, idf: seen.append(rows) or fit(rows, idf))
+    monkeypatch.setattr(language_id, "LANGUAGES", 2)
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 20)
+    assert len(language_id.learn(docs).languages) == 2 and not any("rare" in lang for lang in language_id.learn(docs).languages)
+    assert all(len(s) <= 20 for s in seen)
+    monkeypatch.setattr(language_id, "LANGUAGES", 512)
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 20_000)
+    language_id.learn(spread(spark, hot * 3, "doc_id long, text string, lang string"))
+    assert len(seen[-1]) <= 1

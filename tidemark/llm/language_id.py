@@ -8,7 +8,8 @@ no letter counts as one gap), hashed to 2**14 places; a document's vector holds
   aggregate over the 2**14 places).
 * *Fit*: FTRL-proximal with L1 and L2 penalties, on a bounded sample: at
   most ``per_language`` training documents of each language, the first by MD5 of
-  the doc_id.  The vectors of the sample are all the driver gets.
+  the doc_id, and at most ``SAMPLE_ROWS`` of all; the ``LANGUAGES`` most frequent
+  languages are learned (ties by name).  The vectors of the sample are all the driver gets.
 * *Calibration*: a fifth of the sample stays out of the fit and sets the
   temperature that minimises its log loss.
 
@@ -17,7 +18,8 @@ a prediction reads the text alone.
 
 Rules: null or letterless text is ``und`` with score 0; so is every text where
 nothing can be learned; a null doc_id is held out; rows that repeat a doc_id are
-predicted each; extra columns are ignored.
+predicted each, and the sample takes one text of a doc_id and language (the least);
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +40,8 @@ PLACES = 1 << 14
 ORDERS = 3
 SLICE_CHARS = 1 << 20
 PER_LANGUAGE = 250
-BROADCAST_ROWS = 100_000
+LANGUAGES = 512
+SAMPLE_ROWS = 20_000          # also the bound of the broadcast sample ids
 _U = np.uint64
 
 
@@ -194,14 +197,15 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         else:
             df[r["place"]] = r["n"]
     idf = np.log((1 + total) / (1 + df)) + 1
+    langs = [r["lang"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
+    train = train.where(F.col("lang").isin(langs))
+    most = max(1, min(per_language, SAMPLE_ROWS // max(len(langs), 1)))
     # row_number <= k plans as a partial limit per task: a frequent language is cut before the exchange
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     chosen = written(train.select("lang", "doc_id", F.md5(F.col("doc_id").cast("string")).alias("order"))
-                     .withColumn("turn", turn).where(F.col("turn") <= per_language).select("doc_id", "turn"), "sample")
-    side = chosen.groupBy("doc_id").agg(F.min("turn").alias("turn"))     # rows that repeat a doc_id: the same turn in every run
-    if side.count() <= BROADCAST_ROWS:                     # per_language times the languages there are
-        side = F.broadcast(side)
-    rows = train.join(side, "doc_id").select("lang", "turn", "text") \
+                     .withColumn("turn", turn).where(F.col("turn") <= most).select("lang", "doc_id", "turn"), "sample")
+    side = F.broadcast(chosen.groupBy("lang", "doc_id").agg(F.min("turn").alias("turn")))     # SAMPLE_ROWS rows at most
+    rows = train.join(side, ["lang", "doc_id"]).groupBy("lang", "doc_id", "turn").agg(F.min("text").alias("text")).select("lang", "turn", "text") \
         .mapInArrow(_vectors, "lang string, turn int, places array<long>, counts array<long>").collect()
     rows.sort(key=lambda r: (r["turn"], r["lang"], r["places"]))
     return fit([(r["lang"], np.array(r["places"], np.int64), np.array(r["counts"], np.int64)) for r in rows], idf)
