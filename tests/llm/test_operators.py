@@ -101,6 +101,35 @@ def test_substring_false_paths_go_per_row(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 30, 0), (2, 30, 20), (2, 50, 30)]
 
 
+def test_substring_finds_the_true_source_after_a_collision(spark, monkeypatch):
+    """Hashes of eight bits collide all the time: every window with a true source goes all the same."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    shared = [fresh(40) for _ in range(6)]
+    rows = [(i, " ".join(fresh(15) + shared[i % 6][i % 5:] + fresh(10) + shared[(i + 1) % 6][:20])) for i in range(24)]
+    rows += [(5, rows[7][1]), (None, rows[3][1])]
+    want = collections.Counter((i, *r) for i, *r in plain_cut([r for r in rows if r[0] is not None]))
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), "doc_id long, text string")
+    monkeypatch.setattr(substring_dedup, "HASH_BITS", 8)
+    got = substring_dedup.substring_dedup(docs).collect()
+    assert collections.Counter((r.doc_id, r.n_words, r.n_removed, " ".join(r.kept_text.split())) for r in got if r.doc_id is not None) == want
+    assert [r.n_removed for r in got if r.doc_id is None] == [0]
+
+
+def plain_cut(rows, k=13):
+    first = {}
+    for i, t in rows:
+        w = t.split()
+        for p in range(len(w) - k + 1):
+            g = tuple(w[p:p + k])
+            first[g] = min(first.get(g, i), i)
+    for i, t in rows:
+        w = t.split()
+        gone = {q for p in range(len(w) - k + 1) if first[tuple(w[p:p + k])] < i for q in range(p, p + k)}
+        kept = [x for q, x in enumerate(w) if q not in gone]
+        yield i, len(w), len(gone), " ".join(kept)
+
+
 def test_substring_bucket_of_a_common_line_is_split(spark, monkeypatch):
     rng = random.Random(10)
     fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]

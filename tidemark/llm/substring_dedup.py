@@ -22,9 +22,12 @@ with a smaller id is a repeat, and its *source coordinates* are the first
    maximal paths as long as the node between two edges does not branch, that is,
    as long as the document and its source go on with the same next edge.
 4. *Verification*.  Paths are joined to the texts by document and by source;
-   both spans are digested from the words themselves.  Documents with a span
-   that differs from its source (a 64-bit hash collision) are computed again
-   with the verified paths alone.
+   both spans are digested from the words themselves.  A path that differs from
+   its source (a 64-bit hash collision) is dropped, and since its edges may have
+   another, true source, they are looked up again (``_again``) with hashes of
+   another family: the edges of all documents pass a bitmap of ``SIEVE`` bits over
+   the dropped ones first, so the second search moves little.  Rows are done when all
+   their paths of one family are verified.
 
 Rules: null text has no words; a null ``doc_id`` is neither a source nor cut;
 rows that repeat a doc_id are cut each by its own words and never by one
@@ -37,6 +40,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -55,6 +60,8 @@ CHUNK_BYTES = 6 << 20         # text pre-aggregated at a time
 SAMPLE = 8
 BUCKET_EDGES = 1 << 20        # edges of a bucket; one with more is split by the edges themselves
 FINE = 64                     # most buckets, in terms of the least
+HASH_BITS = 64                # of an edge in the first search
+SIEVE = 1 << 26               # bits (8 MB)
 
 _BLOB = "bucket int, hashes binary, docs binary, rows binary, counts binary, places binary, pieces binary"
 _PIECE = "doc_id long, _row long, start int, n int, src_doc long, src_row long, src_start int"
@@ -91,7 +98,25 @@ def _firsts(h):
     return first
 
 
-def _edges(table: pa.Table, k: int):
+@dataclass(frozen=True)
+class Search:
+    """Hash family of a search, bits of its hashes, and the edges it is about (None: all)."""
+    turn: int = 0
+    bits: int = 64
+    sieve: bytes | None = None
+
+    def edges(self, w, words_of, k: int):
+        """Hashes of the windows of ``w`` (words of turn 0) and which of them take part."""
+        h = windows(w.hashes, k)
+        if self.turn == 0:
+            return h & np.uint64(2 ** self.bits - 1), None
+        place = (h & np.uint64(2 ** self.bits - 1)) % np.uint64(SIEVE)
+        table = np.frombuffer(self.sieve, np.uint8)
+        hit = (table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return windows(words_of(self.turn).hashes, k) if hit.any() else h, hit
+
+
+def _edges(table: pa.Table, k: int, search: Search = Search()):
     """(hash, minimiser, doc_id, row, start) of every edge; documents ascending by id and row."""
     table = table.sort_by([("doc_id", "ascending"), ("_row", "ascending")])
     ids, rows = table["doc_id"].to_numpy(), table["_row"].to_numpy()
@@ -101,14 +126,15 @@ def _edges(table: pa.Table, k: int):
     size = min(PART, k)
     for a, b in slices(offs, SLICE_BYTES):
         w = word_hashes(col.slice(a, b - a))
-        h = windows(w.hashes, k)
+        h, hit = search.edges(w, lambda turn: word_hashes(col.slice(a, b - a), turn), k)
         if not len(h):
             continue
         g = windows(w.hashes, size)
         low = g[:len(h)].copy()
         for j in range(1, k - size + 1):
             np.minimum(low, g[j:j + len(h)], out=low)
-        ok = np.flatnonzero(within(w.first, k, len(w.hashes)))
+        ok = within(w.first, k, len(w.hashes))
+        ok = np.flatnonzero(ok if hit is None else ok & hit)
         doc = w.doc()[ok]
         parts.append((h[ok], low[ok], ids[a:b][doc], rows[a:b][doc], (ok - w.first[doc]).astype(np.int32)))
     if not parts:
@@ -120,13 +146,13 @@ def _bucket_of(low, buckets: int) -> np.ndarray:
     return (mix(low) % np.uint64(buckets)).astype(np.int32)
 
 
-def _bucket_counts(k: int, buckets: int):
+def _bucket_counts(k: int, buckets: int, search: Search):
     """Edges per bucket, before pre-aggregation."""
     def run(batches):
         n = np.zeros(buckets, np.int64)
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
-                got = _edges(pa.Table.from_batches([batch.slice(a, 256)]), k)
+                got = _edges(pa.Table.from_batches([batch.slice(a, 256)]), k, search)
                 if got is not None:
                     n += np.bincount(_bucket_of(got[1], buckets), minlength=buckets)
         at = np.flatnonzero(n)
@@ -135,7 +161,7 @@ def _bucket_counts(k: int, buckets: int):
     return run
 
 
-def _ways(docs: DataFrame, k: int, least: int) -> np.ndarray:
+def _ways(docs: DataFrame, k: int, least: int, search: Search) -> np.ndarray:
     """Into how many parts each bucket is split; as many buckets as keep their mean at half of BUCKET_EDGES.
 
     The sample is counted in FINE buckets for each of the ``least`` ones; a coarser number of
@@ -144,7 +170,7 @@ def _ways(docs: DataFrame, k: int, least: int) -> np.ndarray:
     fine = least * FINE
     some = docs.where(F.pmod(F.xxhash64("doc_id", "_row"), F.lit(SAMPLE)) == 0)
     n = np.zeros(fine)
-    for r in some.mapInArrow(_bucket_counts(k, fine), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in some.mapInArrow(_bucket_counts(k, fine, search), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         n[r["bucket"]] = SAMPLE * r["n"]                  # at most ``fine`` rows
     buckets = least
     while buckets < fine and n.sum() > buckets * BUCKET_EDGES / 2:
@@ -152,11 +178,11 @@ def _ways(docs: DataFrame, k: int, least: int) -> np.ndarray:
     return np.maximum(np.ceil(n.reshape(-1, buckets).sum(0) / BUCKET_EDGES), 1).astype(np.int64)
 
 
-def _edge_blobs(k: int, ways: np.ndarray):
+def _edge_blobs(k: int, ways: np.ndarray, search: Search):
     groups, begin = int(ways.sum()), np.cumsum(ways) - ways
 
     def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        got = _edges(table, k)
+        got = _edges(table, k, search)
         if got is None:
             return
         h, low, doc, row, start = got
@@ -256,16 +282,20 @@ def _join_pieces(batches):
         yield pa.RecordBatch.from_arrays([pa.array(held[n]) for n in _PIECE_NP.names], names=list(_PIECE_NP.names))
 
 
-def _blobs(docs: DataFrame, k: int) -> DataFrame:
+def _blobs(docs: DataFrame, k: int, search: Search | None = None) -> DataFrame:
+    search = search or Search(bits=HASH_BITS)
     docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .withColumn("_row", F.xxhash64("text"))
             .where(F.col("doc_id").isNotNull() & (F.length("text") >= 2 * k - 1)))
-    return docs.mapInArrow(_edge_blobs(k, _ways(docs, k, 2 * partitions(docs))), _BLOB)
+    return docs.mapInArrow(_edge_blobs(k, _ways(docs, k, 2 * partitions(docs), search), search), _BLOB)
 
 
 def repeat_paths(docs: DataFrame, k: int = K) -> DataFrame:
     """Maximal repeated paths (doc_id, _row, start, n edges, src_doc, src_row, src_start); not yet verified."""
-    blobs = _blobs(docs, k)
+    return _paths(_blobs(docs, k))
+
+
+def _paths(blobs: DataFrame) -> DataFrame:
     pieces = blobs.groupBy("bucket").applyInArrow(_repeats, _PIECE)
     return (pieces.repartition("doc_id")
             .sortWithinPartitions("doc_id", "_row", "src_doc", "src_row", F.col("start") - F.col("src_start"), "start")
@@ -329,14 +359,8 @@ def _apply(docs: DataFrame, paths: DataFrame, k: int, with_text: bool) -> DataFr
     return base.mapInArrow(_cut(k, with_text), schema)
 
 
-def substring_dedup(docs: DataFrame, k: int = K, with_text: bool = True) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with n_words, n_removed, kept_sha256 and kept_text (null unless
-    ``with_text``; the text itself where nothing goes, else the kept words joined by one space) in
-    place of ``text``; see the module docstring for the rules."""
-    docs = docs.drop(*[c for c in (*_RESULT, "own", "asked", "own_digests", "asked_digests", "_key", "_key_row", "_row") if c in docs.columns])
-    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
-    paths = written(repeat_paths(docs, k), "paths")
-    cut = written(_apply(docs, paths, k, with_text), "cut")
+def _unverified(cut: DataFrame) -> DataFrame | None:
+    """Paths of ``cut`` (doc_id, _row, start, src_doc, src_row, src_start, n) whose span differs from its source, if there are any."""
     asked = (cut.select(F.col("doc_id").alias("src_doc"), F.col("_row").alias("src_row"), F.explode(F.arrays_zip("asked", "asked_digests")).alias("a"))
              .select("src_doc", "src_row", "a.asked.src_start", "a.asked.n", F.col("a.asked_digests").alias("src_digest")).distinct())
     own = (cut.select("doc_id", "_row", F.explode(F.arrays_zip("own", "own_digests")).alias("o"))
@@ -346,13 +370,63 @@ def substring_dedup(docs: DataFrame, k: int = K, with_text: bool = True) -> Data
     distinct = own.select(*key, "digest").distinct().join(told, key, "left")
     bad = distinct.where(~F.coalesce(F.array_contains("sources", F.col("digest")), F.lit(False))).select(*key, "digest")
     bad = written(bad, "unverified")
-    out = [f.name for f in docs.schema.fields if f.name != "text"] + list(_RESULT)
     if bad.isEmpty():
-        return cut.select(*out)
-    wrong = own.join(bad, [*key, "digest"]).select("doc_id", "_row", "start", *key).distinct()
-    redo = written(wrong, "redo")
+        return None
+    return written(own.join(bad, [*key, "digest"]).select("doc_id", "_row", "start", *key).distinct(), "wrong")
+
+
+def _sieve_of(docs: DataFrame, wrong: DataFrame, k: int) -> bytes:
+    """Bitmap of the hashes (turn 0) of the edges of the dropped paths; SIEVE bits whatever their number."""
+    bits = HASH_BITS
+
+    def places(batches):
+        for batch in batches:
+            got = []
+            for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist()):
+                h = windows(word_hashes(pa.array([text.as_py()], pa.string())).hashes, k) & np.uint64(2 ** bits - 1)
+                got += [h[s["start"]:s["start"] + s["n"]] % np.uint64(SIEVE) for s in spans]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got).astype(np.int64) if got else np.zeros(0, np.int64))], names=["place"])
+
     row = ["doc_id", "_row"]
-    ids = redo.select(*row).distinct()
-    good = paths.join(ids, row, "left_semi").join(redo, [*row, "start", *key], "left_anti")
-    again = _apply(docs.withColumn("_row", F.xxhash64("text")).join(ids, row, "left_semi").drop("_row"), good.select(*paths.columns), k, with_text)
-    return cut.join(ids, row, "left_anti").select(*out).unionByName(again.select(*out))
+    spans = wrong.groupBy(*row).agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    found = docs.withColumn("_row", F.xxhash64("text")).select(*row, "text").dropDuplicates(row).join(spans, row) \
+        .select("text", "spans").mapInArrow(places, "place long")
+    page = 1 << 15                                         # bits of a bitmap: at most SIEVE / page rows
+    maps = found.groupBy(F.expr(f"place div {page}").alias("page")).agg(F.expr(f"bitmap_construct_agg(place % {page})").alias("bits")).collect()
+    out = np.zeros(SIEVE // 8, np.uint8)
+    for r in maps:
+        out[r["page"] * page // 8:(r["page"] + 1) * page // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out.tobytes()
+
+
+def _again(docs: DataFrame, paths: DataFrame, wrong: DataFrame, k: int, with_text: bool, turn: int):
+    """Rows with dropped paths, cut by their verified paths and those that another family of hashes finds:
+    (cut of those rows and their sources, paths used, keys of those rows)."""
+    row = ["doc_id", "_row"]
+    keyed = docs.withColumn("_row", F.xxhash64("text"))
+    ids = written(wrong.select(*row).distinct(), "ids")
+    names = list(_PIECE_NP.names)
+    good = paths.join(ids, row, "left_semi").join(wrong, [*row, "start", "src_doc", "src_row", "src_start", "n"], "left_anti").select(*names)
+    more = _paths(_blobs(docs, k, Search(turn, HASH_BITS, _sieve_of(docs, wrong, k)))).join(ids, row, "left_semi").select(*names)
+    found = written(good.unionByName(more).distinct(), "paths")
+    sides = ids.unionByName(found.select(F.col("src_doc").alias("doc_id"), F.col("src_row").alias("_row"))).distinct()
+    cut = written(_apply(keyed.join(sides, row, "left_semi").drop("_row"), found, k, with_text), "cut")
+    return cut, found, ids
+
+
+def substring_dedup(docs: DataFrame, k: int = K, with_text: bool = True) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with n_words, n_removed, kept_sha256 and kept_text (null unless
+    ``with_text``; the text itself where nothing goes, else the kept words joined by one space) in
+    place of ``text``; see the module docstring for the rules."""
+    docs = docs.drop(*[c for c in (*_RESULT, "own", "asked", "own_digests", "asked_digests", "_key", "_key_row", "_row") if c in docs.columns])
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
+    paths = written(repeat_paths(docs, k), "paths")
+    cut = written(_apply(docs, paths, k, with_text), "cut")
+    out = [f.name for f in docs.schema.fields if f.name != "text"] + list(_RESULT)
+    row, mine, done, turn = ["doc_id", "_row"], cut, [], 0
+    while (wrong := _unverified(cut)) is not None:
+        turn += 1
+        cut_again, paths, ids = _again(docs, paths, wrong, k, with_text, turn)
+        done.append(mine.join(ids, row, "left_anti"))     # null ids have no paths: the anti join keeps them
+        cut, mine = cut_again, cut_again.join(ids, row, "left_semi")
+    return reduce(DataFrame.unionByName, [d.select(*out) for d in (*done, mine)])

@@ -8,6 +8,7 @@ uses the same six separators.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +16,15 @@ import pyarrow as pa
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _U = np.uint64
-BYTE = np.random.Generator(np.random.PCG64(20240611)).integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
 BASE = _U(0x9E3779B97F4A7C15)
 WORD_BASE = _U(0xD6E8FEB86659FD93)
 
 
+@lru_cache(maxsize=8)
+def _byte_values(turn: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64(20240611 + turn)).integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes (splitmix64's finaliser)."""
     h = h ^ (h >> _U(30))
@@ -56,8 +61,8 @@ def text_buffers(col) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
-def word_hashes(col) -> Words:
-    """64-bit polynomial hash of every word of every text of ``col``."""
+def word_hashes(col, turn: int = 0) -> Words:
+    """64-bit polynomial hash of every word of every text of ``col``; another family of hashes per ``turn``."""
     data, offs = text_buffers(col)
     if len(data) == 0:
         return Words(np.zeros(0, np.uint64), np.zeros(len(offs), np.int64))
@@ -72,7 +77,7 @@ def word_hashes(col) -> Words:
     lens = np.diff(np.append(where, len(keep)))
     place = np.arange(len(keep)) - np.repeat(where, lens)
     pw = powers(int(lens.max()) if len(lens) else 1)
-    h = np.add.reduceat(BYTE[data[keep]] * pw[place], where) if len(where) else np.zeros(0, np.uint64)
+    h = np.add.reduceat(_byte_values(turn)[data[keep]] * pw[place], where) if len(where) else np.zeros(0, np.uint64)
     return Words(mix(h + lens.astype(np.uint64)), np.searchsorted(starts, offs))
 
 
