@@ -8,7 +8,7 @@ import random
 import pytest
 
 from tidemark.sources import files as FS
-from tidemark.sources.csv_ranges import UnevenQuotes, ranges, read_quoted_csv
+from tidemark.sources.csv_ranges import UnevenQuotes, ranges, read_quoted_csv, records
 
 COLUMNS = ["id", "name", "note"]
 
@@ -82,3 +82,11 @@ def test_odd_quotes_and_other_heads_are_errors(spark, tmp_path):
 def test_empty_file(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     assert read_quoted_csv(spark, str(tmp_path), COLUMNS).collect() == []
+
+
+def test_head_longer_than_a_range_is_left_out(spark, tmp_path, small_ranges):
+    head = 'id,"' + "long name\n" * 2000 + '"\n'
+    (tmp_path / "a.csv").write_text(head + "".join(f'{i},"v\n{i}"\n' for i in range(3000)))
+    assert sum(r["before"] % 2 for r in ranges(spark, str(tmp_path)).collect()) > 2
+    got = collections.Counter(r["record"] for r in records(spark, str(tmp_path)).collect())
+    assert got == collections.Counter(f'{i},"v\n{i}"' for i in range(3000))

@@ -4,12 +4,15 @@ Spark splits a CSV file at line ends, which breaks records whose fields hold lin
 ``multiLine`` it reads a file whole in one task.  Here the ranges stay:
 
 1. Spark's text source cuts the files into ranges of lines.  Per range, one aggregate counts
-   the quote signs (one row a range leaves the tasks).
+   the quote signs and finds the first and the last line with an odd number of them (one row a
+   range leaves the tasks).
 2. A line starts a record exactly if the number of quote signs before it in its file is even.  The
    prefix sums over the ranges of a file say whether a range starts inside a record.
 3. Every task reads its ranges again and glues lines to records, carrying one record at a time.
-   Records inside a range leave the task whole.  What reaches over a range's edge leaves as
-   fragments, at most two a range, which one small grouping by file joins in order.
+   What reaches over a range's edge is left out there: a range that starts inside a record gives its
+   lines up to the first odd one, a range that ends inside a record those from the last odd one.
+   A filter on the lines, all in the JVM, finds these; joined per range they are at most two
+   fragments, which one small grouping by file joins in order.
 4. Records are parsed by Spark's own CSV parser (``from_csv``).
 
 Quote signs must stand around fields or doubled inside them (RFC 4180), as the writer here
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import write_once
 
-RECORD = "file long, at long, part int, starts boolean, whole boolean, head boolean, record string"
+RECORD = "record string"
 
 
 class UnevenQuotes(ValueError):
@@ -44,10 +47,18 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         F.xxhash64(F.input_file_name()).alias("file"), F.input_file_block_start().alias("at"), F.col("value").alias("line"))
 
 
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with a number that ascends within a range, the same in every read of the same ranges."""
+    return _lines(spark, path).withColumn("id", F.monotonically_increasing_id())
+
+
 def ranges(spark: SparkSession, path: str) -> DataFrame:
-    """file, at (first byte), quotes, before (quote signs of the file before the range); one row a range."""
+    """One row a range: file, at (first byte), quotes, first_id, first_odd and last_odd (lines with an odd
+    number of quote signs), before (quote signs of the file before the range)."""
     quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
-    counts = _lines(spark, path).groupBy("file", "at").agg(F.sum(quotes).alias("quotes"))
+    odd = F.when(F.col("n") % 2 == 1, F.col("id"))
+    counts = _numbered(spark, path).withColumn("n", quotes).groupBy("file", "at").agg(
+        F.sum("n").alias("quotes"), F.min("id").alias("first_id"), F.min(odd).alias("first_odd"), F.max(odd).alias("last_odd"))
     before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)     # one row a range
     return counts.withColumn("before", F.coalesce(F.sum("quotes").over(before), F.lit(0)))
 
@@ -62,19 +73,13 @@ def _parts(batch: pa.RecordBatch):
 
 
 def _glue(inside: set[tuple[int, int]], columns: Sequence[str] | None):
-    """Lines in file order -> whole records, and the fragments at the edges of ranges; whole arrays at a time.
+    """Lines in file order -> the records that lie in one range; whole arrays at a time.
 
     ``inside`` holds the ranges that start inside a record.  The head of a file must name
     ``columns`` (None: any) and is left out.
     """
-    names = ["file", "at", "part", "starts", "whole", "head", "record"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.bool_()]
     none = pa.array([], pa.string())
 
-    def rows(where, part, starts, whole, head, texts):
-        fixed = [pa.array([v] * len(texts), k) for v, k in zip((*where, part, starts, whole, head), kinds)]
-        return pa.RecordBatch.from_arrays([*fixed, texts], names=names)
-
     def joined(lines: pa.Array, ends: np.ndarray) -> pa.Array:
         """Lines up to each of ``ends`` (the last line of a record) as one text."""
         if len(ends) == len(lines):
@@ -89,15 +94,9 @@ def _glue(inside: set[tuple[int, int]], columns: Sequence[str] | None):
 
     def run(batches):
         where, held, open_, starts, first = None, none, False, True, False
-
-        def fragment():
-            if len(held):
-                yield rows(where, int(starts), starts, False, first, joined(held, np.array([len(held) - 1])))
-
         for batch in batches:
             for here, lines in _parts(batch):
-                if here != where:
-                    yield from fragment()                   # the last record of the range before goes on in another
+                if here != where:                           # what is held goes on in another range
                     where, held, open_ = here, none, here in inside
                     starts, first = not open_, here[1] == 0
                 odd = np.asarray(pc.count_substring(lines, '"')) % 2
@@ -109,21 +108,30 @@ def _glue(inside: set[tuple[int, int]], columns: Sequence[str] | None):
                     continue
                 held = lines.slice(ends[-1] + 1)
                 texts = joined(lines.slice(0, ends[-1] + 1), ends)
-                if not starts:                              # the end of a record that an earlier range started
-                    yield rows(where, 0, False, False, False, texts.slice(0, 1))
-                    texts = texts.slice(1)
-                elif first:
+                if starts and first:
                     check(texts[0].as_py().removesuffix("\r"))
+                if not starts or first:                     # the head, or the end of a record of an earlier range
                     texts = texts.slice(1)
                 starts, first = True, False
                 if pc.any(pc.ends_with(texts, "\r")).as_py():
                     texts = pc.replace_substring_regex(texts, r"\r\z", "")
-                yield rows(where, 1, True, True, False, texts)
-        yield from fragment()
+                yield pa.RecordBatch.from_arrays([texts], names=["record"])
 
     return run
 
 
+def _fragments(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
+    """file, at, part, head, record: what the ranges of ``table`` hold of records that reach over an edge; part 0
+    goes on with a record, part 1 starts one."""
+    edges = table.select("file", "at", "first_id", "first_odd", "last_odd", F.expr("before % 2 = 1").alias("inside"),
+                         F.expr("(before + quotes) % 2 = 1 and last_odd is not null").alias("opens")).where("inside or opens")
+    lines = _numbered(spark, path).join(F.broadcast(edges), ["file", "at"])         # one row a range at most
+    lines = lines.withColumn("part", F.expr("case when opens and id >= last_odd then 1 when inside and (first_odd is null or id <= first_odd) then 0 end"))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("id", "line"))), lambda x: x["line"])
+    return lines.where("part is not null").groupBy("file", "at", "part").agg(
+        F.max(F.expr("at = 0 and part = 1 and last_odd = first_id")).alias("head"), F.array_join(texts, "\n").alias("record"))
+
+
 def records(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """record: the text of every CSV record under ``path`` without heads, blank lines and line ends."""
     table = write_once(ranges(spark, path), "csv-ranges")
@@ -133,15 +141,14 @@ def records(spark: SparkSession, path: str, columns: Sequence[str] | None = None
         raise UnevenQuotes("files with an odd number of quote signs: " + ", ".join(sorted(r["name"] for r in named.collect())))
     # only ranges that start inside a record reach the driver
     inside = {(r["file"], r["at"]) for r in table.where("before % 2 = 1").select("file", "at").collect()}
-    glued = _lines(spark, path).mapInArrow(_glue(inside, columns), RECORD)
-    whole = glued.where("whole").select("head", "record")
+    found = _lines(spark, path).mapInArrow(_glue(inside, columns), RECORD)
     if inside:
         order = Window.partitionBy("file").orderBy("at", "part")            # fragments: at most two a range
-        pieces = glued.where("not whole").withColumn("nth", F.sum(F.col("starts").cast("int")).over(order))
+        pieces = _fragments(spark, path, table).withColumn("nth", F.sum("part").over(order))
         parts = F.transform(F.array_sort(F.collect_list(F.struct("at", "part", "record"))), lambda x: x["record"])
         joined = pieces.groupBy("file", "nth").agg(F.max("head").alias("head"), F.array_join(parts, "\n").alias("record"))
-        whole = whole.unionByName(joined.select("head", F.regexp_replace("record", "\r$", "").alias("record")))
-    return whole.where("not head and record <> ''").select("record")
+        found = found.unionByName(joined.where("not head").select(F.regexp_replace("record", "\r$", "").alias("record")))
+    return found.where("record <> ''")
 
 
 def read_quoted_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
