@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 __all__ = ["strip_text", "upper_code", "parse_date", "to_number", "to_int", "null_tokens"]
 
-# Python's str.strip() removes every Unicode whitespace character; (?U) makes
-# \s Unicode-aware in Java regex so tabs, NBSP and U+3000 are stripped too.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+# Python's str.strip() removes every Unicode whitespace character: the White_Space
+# characters of Unicode (Java's (?U)\s), so tabs, NBSP and U+3000 are stripped too.
+# Trimmed as a set: a pattern for both ends is tried at every place of the text, and its
+# code, once a column, makes the generated method of a whole cleaning too long to be compiled.
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 
 # The text tokens pandas' CSV reader turns into missing values.
 PANDAS_NULL_TOKENS = (
@@ -20,7 +22,7 @@ PANDAS_NULL_TOKENS = (
 
 def strip_text(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def upper_code(c) -> Column:
@@ -36,7 +38,12 @@ def null_tokens(c, tokens=PANDAS_NULL_TOKENS) -> Column:
 def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
     """Text -> DATE, unparsable or partial values -> null (never an error)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(strip_text(c), F.lit(fmt)).cast("date")
+    parsed = F.try_to_timestamp(strip_text(c), F.lit(fmt)).cast("date")
+    if fmt != "yyyy-MM-dd":
+        return parsed
+    # a date that reads back as the same text needs no formatter (which knows no year 0)
+    day = c.try_cast("date")
+    return F.when((c >= "0001") & (day.cast("string") == c), day).otherwise(parsed)
 
 
 def to_number(c) -> Column:
