@@ -1,9 +1,11 @@
 """What keeps the queries' cost in step with large order tables."""
 
 import contextlib
+import glob
 import io
 import os
 import re
+import time
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from tidemark.operators import ingest as I
 from tidemark.operators import lifecycle as L
 from tidemark.operators import weekly as W
 from tidemark.plans import registry
+from tidemark.session import SHUFFLE_CLEANUP, shuffles_removed
 from tidemark.sources import binding
 from tidemark.sources import files as FS
 from tidemark.sources import versions as V
@@ -70,6 +73,81 @@ def _tables(spark, folder):
         spark.sql(sql).write.parquet(f"{folder}/{name}.parquet")
 
 
+def _weeks_of_tables(spark, folder):
+    """Four markets (two of one name, one without), four parts (one without a brand), lines over five weeks; keys that repeat, lines without order or part."""
+    made = {
+        "nation": "SELECT * FROM VALUES (1, 'FRANCE'), (2, 'PERU'), (3, 'PERU'), (4, null) AS t(n_nationkey, n_name)",
+        "customer": "SELECT id AS c_custkey, CAST(id % 5 AS INT) AS c_nationkey FROM range(1, 11)",
+        "orders": "SELECT id AS o_orderkey, id % 11 AS o_custkey, TIMESTAMP '1996-01-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(1, 121)",
+        "part": "SELECT * FROM VALUES (1L, 'b', 'Brand#1', 'Z', 5), (2L, 'a', 'Brand#1', null, 7), (3L, null, 'Brand#2', 'x', 1), (4L, 'c', null, 'y', 2) "
+                "AS t(p_partkey, p_name, p_brand, p_type, p_size)",
+        "lineitem": "SELECT IF(id % 37 = 0, null, id % 120 + 1) AS l_orderkey, IF(id % 41 = 0, null, id % 4 + 1) AS l_partkey, CAST(id % 7 AS INT) AS l_linenumber, "
+                    "CAST(id % 50 AS DOUBLE) AS l_quantity, (id * 7919 % 10007) / 100D AS l_extendedprice, 0.06D AS l_discount, 0.01D AS l_tax, "
+                    "CAST(IF(id % 43 = 0, null, date_add(DATE '1996-01-01', CAST(id * 13 % 35 AS INT))) AS TIMESTAMP) AS l_shipdate FROM range(900)",
+    }
+    for name, sql in made.items():
+        spark.sql(sql).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_join_control_writes_only_growth_rates(spark, tmp_path):
+    """No wide table is written for it, and its rows are those of the written tables."""
+    _weeks_of_tables(spark, tmp_path)
+    sf = str(tmp_path)
+    df = registry.queries()["join_control"](spark, sf)
+    assert not any(_built(spark, sf, x) for x in ("raw_campaigns", "raw_charts", "life")) and _built(spark, sf, "growth_rates")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scans = re.findall(r"ReadSchema: struct<([^>]*)>", registry.queries()["join_control"](spark, sf)._jdf.queryExecution().executedPlan().treeString())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "l_orderkey:bigint,l_partkey:bigint,l_shipdate:timestamp" in scans
+    got = sorted(map(str, df.collect()))
+    t = registry.tables(spark, sf)
+    assert sorted(map(str, registry.finalize(C.join_control(t.campaigns, t.life)).collect())) == got and len(got) > 20
+    # now that the tables are there, they are read
+    folders = {t.campaigns.inputFiles()[0].rsplit("/", 1)[0], t.life.inputFiles()[0].rsplit("/", 1)[0]}
+    df = registry.queries()["join_control"](spark, sf)
+    assert {x.rsplit("/", 1)[0] for x in df.inputFiles()} == folders
+    assert sorted(map(str, df.collect())) == got
+
+
+def test_growth_rates_are_those_of_the_lifecycle_table(spark, tmp_path):
+    _weeks_of_tables(spark, tmp_path)
+    t = registry.tables(spark, str(tmp_path))
+    narrow = t.growth_rates
+    assert not _built(spark, str(tmp_path), "life") and narrow.columns == list(L.RATE_COLUMNS)
+    rows = sorted(map(str, narrow.collect()))
+    assert rows == sorted(map(str, t.life.select(*L.RATE_COLUMNS).collect())) and len(rows) > 10
+
+
+def test_some_chart_columns_are_those_of_all(spark, tmp_path):
+    _weeks_of_tables(spark, tmp_path)
+    whole = binding.chart_rows(spark, str(tmp_path))
+    for some in (W.RATE_CHART_COLUMNS, ("album_name", "spotify_id", "daily_movement", "tempo", "mode"), whole.columns):
+        got = binding.chart_rows(spark, str(tmp_path), some)
+        assert got.columns == list(some) and got.dtypes == whole.select(*some).dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.select(*some).collect()))
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    held = lambda: {f for d in env.blockManager().diskBlockManager().localDirs() for f in glob.glob(f"{d.getPath()}/*/shuffle_*")}
+    before = held()
+    V.replace(spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).count(), str(tmp_path / "t"))
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+    spark.conf.set(SHUFFLE_CLEANUP, "false")
+    try:
+        with shuffles_removed(spark), shuffles_removed(spark):
+            assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def test_chart_texts_are_the_greatest_of_the_group(spark, tmp_path):
     _tables(spark, tmp_path)
     rows = {r.spotify_id: r for r in binding.chart_rows(spark, str(tmp_path)).collect()}
